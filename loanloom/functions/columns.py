@@ -72,7 +72,8 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
 
 def as_percent(value: Column, digits: int = 1) -> Column:
     """Display text such as ``12.3%``."""
-    return F.format_string(f"%.{digits}f%%", half_even(value * 100, digits))
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.concat(F.call_function("format_number", value * 100, F.lit(pattern)), F.lit("%"))
 
 
 def as_rupees(value: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,3 +174,7 @@ def arima_forecast(monthly: DataFrame, steps: int = 12, by: Sequence[str] = ())
     fitted = keyed.groupBy(*group).applyInPandas(fit, schema)
     calendar = forecast_calendar(monthly, steps, by)
     return calendar.join(fitted, [*by, "step"]).select(*by, "month", "revenue", "lower_95", "upper_95")
+
+
+# The fit travels with its task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -48,14 +48,17 @@ def raw_risk() -> Column:
             + F.lit(WEIGHTS["loan"]) * F.col("has_loan"))
 
 
-def fit_risk_scale(customers: DataFrame) -> RiskScale:
-    row = customers.agg(F.min(raw_risk()).alias("low"), F.max(raw_risk()).alias("high")).first()
+def fit_risk_scale(customers: DataFrame, raw: Column | None = None) -> RiskScale:
+    """Range of the raw score; ``raw`` names a column that already holds it."""
+    raw = raw_risk() if raw is None else raw
+    row = customers.agg(F.min(raw).alias("low"), F.max(raw).alias("high")).first()
     return RiskScale(row["low"], row["high"])
 
 
-def risk_score(scale: RiskScale) -> Column:
+def risk_score(scale: RiskScale, raw: Column | None = None) -> Column:
     """Raw score mapped to [0, 1] by the fitted range."""
-    return (raw_risk() - F.lit(scale.low)) / (F.lit(scale.high) - F.lit(scale.low) + F.lit(EPSILON))
+    raw = raw_risk() if raw is None else raw
+    return (raw - F.lit(scale.low)) / (F.lit(scale.high) - F.lit(scale.low) + F.lit(EPSILON))
 
 
 def fit_label_cuts(scored: DataFrame, score: str = "risk_score") -> LabelCuts:

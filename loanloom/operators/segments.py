@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -91,15 +93,20 @@ def standardised_vectors(df: DataFrame, scaler: Scaler, keep: Sequence[str] = ("
     return materialise(assembled.select(*keep, "features"))
 
 
-def fit_kmeans(vectors: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42) -> tuple[KMeansModel, float]:
-    """Best of several seeded fits by within-cluster cost."""
-    best = None
-    for attempt in range(restarts):
-        model = KMeans(k=k, seed=seed + attempt, maxIter=300).fit(vectors)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
+def fit_kmeans(vectors: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42,
+               parallelism: int = 4) -> tuple[KMeansModel, float]:
+    """Best of several seeded fits by within-cluster cost.
+
+    ``parallelism`` fits run side by side as separate Spark jobs.
+    """
+    def attempt(offset: int) -> tuple[float, int, KMeansModel]:
+        model = KMeans(k=k, seed=seed + offset, maxIter=300).fit(vectors)
+        return float(model.summary.trainingCost), offset, model
+
+    with ThreadPool(parallelism) as pool:
+        tried = pool.map(inheritable_thread_target(vectors.sparkSession)(attempt), range(restarts))
+    cost, _, model = min(tried, key=lambda t: t[:2])
+    return model, cost
 
 
 def silhouette(model: KMeansModel, vectors: DataFrame) -> float:

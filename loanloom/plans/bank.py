@@ -1,17 +1,20 @@
-"""The bank of the driver tables: all relations, wired together lazily.
+"""The bank of the driver tables: all relations, wired together.
 
-DataFrames are rebuilt from the tables on every use.  Only fitted parameters (score
-range, label cuts, quartiles, standardisation) are kept, a few numbers each.
+Stages follow the life of a batch run: customers, features, value and segments
+are written once per application as Parquet in the shared checkpoint folder and
+read by everything after them, as a nightly run would do.  All else is a lazy
+plan.  Fitted parameters (score range, label cuts, quartiles) are a few numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.operators import book, clv, features, scoring, segments
+from loanloom.operators import book, clv, features, models, scoring, segments
+from loanloom.session import materialise
 from loanloom.sources import bank_views
 
 TIE_BREAK = ["o_orderkey"]
@@ -27,13 +30,23 @@ CENTROIDS = {
 _banks: dict[tuple[str, str], "Bank"] = {}
 
 
+def kept(method):
+    """Build a relation or a fitted parameter once per bank."""
+    @functools.wraps(method)
+    def once(self):
+        if method.__name__ not in self._kept:
+            self._kept[method.__name__] = method(self)
+        return self._kept[method.__name__]
+    return once
+
+
 class Bank:
     """Relations of one table folder in one application."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir
-        self._fits: dict[str, object] = {}
+        self.tables = bank_views.DriverTables(spark, sf_dir)
+        self._kept: dict[str, object] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Bank":
@@ -42,84 +55,132 @@ class Bank:
             _banks[key] = cls(spark, sf_dir)
         return _banks[key]
 
-    def _fit(self, name: str, build: Callable[[], object]):
-        if name not in self._fits:
-            self._fits[name] = build()
-        return self._fits[name]
-
     # -- base tables ----------------------------------------------------------
 
+    @kept
+    def people(self) -> DataFrame:
+        """Customers without a label, with their raw risk score (stage output)."""
+        base = bank_views.customers(self.tables)
+        return materialise(base.withColumn("raw_score", scoring.raw_risk()), "customers")
+
     def unlabelled(self) -> DataFrame:
-        return bank_views.customers(self.spark, self.sf_dir)
+        return self.people().drop("raw_score")
 
+    @kept
     def repayments(self) -> DataFrame:
-        return bank_views.repayments(self.spark, self.sf_dir)
+        return bank_views.repayments(self.tables)
 
-    def transactions(self, columns: Sequence[str] = ("customer_id", "transaction_date", "amount",
-                                                     "transaction_type", "category")) -> DataFrame:
-        return bank_views.transactions(self.spark, self.sf_dir, columns)
+    def transactions(self, *columns: str) -> DataFrame:
+        return bank_views.transactions(self.tables, columns or bank_views.TRANSACTION_COLUMNS)
 
+    @kept
     def spending(self) -> DataFrame:
         """Transactions without the category, which the features do not read."""
-        return self.transactions(("customer_id", "transaction_date", "amount", "transaction_type"))
+        return self.transactions("customer_id", "transaction_date", "amount", "transaction_type")
 
     # -- score and label --------------------------------------------------------
 
+    @kept
     def risk_scale(self) -> scoring.RiskScale:
-        return self._fit("risk_scale", lambda: scoring.fit_risk_scale(self.unlabelled()))
+        return scoring.fit_risk_scale(self.people(), F.col("raw_score"))
+
+    @kept
+    def scored(self) -> DataFrame:
+        return self.people().withColumn("risk_score", scoring.risk_score(self.risk_scale(), F.col("raw_score")))
 
+    @kept
     def label_cuts(self) -> scoring.LabelCuts:
-        def fit():
-            scored = self.unlabelled().select(scoring.risk_score(self.risk_scale()).alias("risk_score"))
-            return scoring.fit_label_cuts(scored)
-        return self._fit("label_cuts", fit)
+        return scoring.fit_label_cuts(self.scored())
 
+    @kept
     def customers(self) -> DataFrame:
         """Customers with ``risk_score`` and ``defaulted``; the coin is the parity of the key."""
-        return scoring.with_label(self.unlabelled(), self.risk_scale(), self.label_cuts(),
-                                  coin=F.col("c_custkey") % 2).drop("c_custkey")
+        label = scoring.default_label(F.col("risk_score"), self.label_cuts(), F.col("c_custkey") % 2)
+        return self.scored().withColumn("defaulted", label).drop("c_custkey", "raw_score")
 
+    @kept
     def risk(self) -> DataFrame:
         return scoring.assign_risk_tiers(self.customers(), "risk_score")
 
     # -- value ------------------------------------------------------------------
 
+    @kept
     def clv_values(self) -> DataFrame:
-        return clv.estimate_clv(self.customers(), self.risk())
+        """Estimated value per customer (stage output)."""
+        return materialise(clv.estimate_clv(self.customers(), self.risk()), "clv")
 
+    @kept
     def clv_cuts(self) -> list[float]:
-        return self._fit("clv_cuts", lambda: clv.fit_clv_cuts(self.clv_values()))
+        return clv.fit_clv_cuts(self.clv_values())
 
+    @kept
     def clv(self) -> DataFrame:
         return clv.with_clv_tier(self.clv_values(), self.clv_cuts())
 
     # -- features and segments ---------------------------------------------------
 
+    @kept
     def levels(self) -> dict[str, list[str]]:
-        return self._fit("levels", lambda: features.fit_levels(self.unlabelled()))
+        return features.fit_levels(self.unlabelled())
+
+    @kept
+    def build_features(self) -> DataFrame:
+        """The feature build itself, from the tables."""
+        return features.customer_features(self.customers().drop("risk_score"), self.repayments(),
+                                          self.spending(), TIE_BREAK)
 
+    @kept
     def features(self) -> DataFrame:
-        return features.customer_features(self.customers(), self.repayments(), self.spending(), TIE_BREAK)
+        """One row of features per customer (stage output)."""
+        return materialise(self.build_features(), "features")
 
+    @kept
     def matrix(self) -> DataFrame:
-        return features.one_hot(self.features().drop("risk_score"), self.levels())
+        return features.one_hot(self.features(), self.levels())
 
+    @kept
     def cluster_inputs(self) -> DataFrame:
         return segments.cluster_inputs(self.features(), self.clv_values(), self.risk())
 
+    @kept
     def scaler(self) -> segments.Scaler:
-        return self._fit("scaler", lambda: segments.fit_scaler(self.cluster_inputs()))
+        return segments.fit_scaler(self.cluster_inputs())
 
+    @kept
+    def segmented(self) -> DataFrame:
+        """Clustering inputs and label with the nearest segment (stage output)."""
+        segment = segments.nearest_centroid_column(self.scaler(), CENTROIDS)
+        wanted = dict.fromkeys(["customer_id", *segments.CLUSTER_FEATURES, "defaulted"])
+        return materialise(self.cluster_inputs().select(*wanted, segment.alias("segment")), "segments")
+
+    @kept
     def segments(self) -> DataFrame:
-        return segments.nearest_centroid(self.cluster_inputs(), self.scaler(), CENTROIDS)
+        return self.segmented().select("customer_id", "segment")
 
-    def segmented_inputs(self) -> DataFrame:
-        """Clustering inputs and label with the segment, without a second feature build."""
-        scaled = segments.nearest_centroid_column(self.scaler(), CENTROIDS)
-        return self.cluster_inputs().withColumn("segment", scaled)
+    @kept
+    def vectors(self) -> DataFrame:
+        return segments.standardised_vectors(self.cluster_inputs(), self.scaler())
 
     # -- the 360 view -------------------------------------------------------------
 
-    def book(self, with_segments: bool = False) -> DataFrame:
-        base = self.customers().drop("risk_score")
-        return book.customer_360(base, self.risk(), self.clv(), self.segments() if with_segments else None)
+    @kept
+    def book(self) -> DataFrame:
+        return book.customer_360(self.customers().drop("risk_score"), self.risk(), self.clv())
+
+    @kept
+    def segmented_book(self) -> DataFrame:
+        return book.customer_360(self.book(), segments=self.segments())
+
+    # -- trained models -------------------------------------------------------------
+
+    @kept
+    def training(self) -> tuple[DataFrame, list[str]]:
+        return models.training_set(self.matrix())
+
+    def trained(self, name: str):
+        """A model fitted on the training rows, kept for the reports that read it."""
+        if name not in self._kept:
+            data, inputs = self.training()
+            train = data.where(F.col("split") == "train")
+            self._kept[name] = models.estimators(inputs, train.count())[name].fit(train)
+        return self._kept[name]

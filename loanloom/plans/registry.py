@@ -123,12 +123,12 @@ def q5_city_npa_dash(b: Bank):
 
 @query
 def q6_category_spend(b: Bank):
-    return portfolio.category_spend(b.transactions(("amount", "transaction_type", "category")))
+    return portfolio.category_spend(b.transactions("amount", "transaction_type", "category"))
 
 
 @query
 def q6_category_spend_dash(b: Bank):
-    return rounded(portfolio.category_spend_dash(b.transactions(("amount", "transaction_type", "category"))), 2)
+    return rounded(portfolio.category_spend_dash(b.transactions("amount", "transaction_type", "category")), 2)
 
 
 @query
@@ -183,7 +183,7 @@ def q12_churner_clv_by_city(b: Bank):
 
 @query
 def q12_churner_clv_by_city_dash(b: Bank):
-    return rounded(portfolio.churner_clv_by_city_dash(b.book(with_segments=True)), 2)
+    return rounded(portfolio.churner_clv_by_city_dash(b.segmented_book()), 2)
 
 
 # -- features -------------------------------------------------------------------
@@ -223,7 +223,7 @@ def ratio_features(b: Bank):
 
 @query
 def feature_matrix(b: Bank):
-    return rounded(b.matrix(), SPEND_DIGITS, 6)
+    return rounded(features.one_hot(b.build_features(), b.levels()), SPEND_DIGITS, 6)
 
 
 @query
@@ -246,8 +246,7 @@ def loan_customer_repayments(b: Bank):
 
 @query
 def risk_score(b: Bank):
-    return rounded(b.unlabelled().select("customer_id", scoring.raw_risk().alias("raw_score"),
-                                         scoring.risk_score(b.risk_scale()).alias("risk_score")), 9)
+    return rounded(b.scored().select("customer_id", "raw_score", "risk_score"), 9)
 
 
 @query
@@ -348,7 +347,7 @@ def clv_tiers(b: Bank):
 
 @query
 def customer_360(b: Bank):
-    return rounded(b.book(with_segments=True), 4)
+    return rounded(b.segmented_book(), 4)
 
 
 @query
@@ -428,7 +427,7 @@ def risk_clv_quadrants(b: Bank):
 
 @query
 def filtered_customers(b: Bank):
-    kept = book.filter_book(b.book(with_segments=True), city="NATION_7", tier="Medium Risk", segment="Growth")
+    kept = book.filter_book(b.segmented_book(), city="NATION_7", tier="Medium Risk", segment="Growth")
     return rounded(kept.select("customer_id", "city", "risk_tier", "segment", "estimated_clv"), 2)
 
 
@@ -446,7 +445,7 @@ def high_risk_top15(b: Bank):
 
 @query
 def drill_down(b: Bank):
-    return rounded(book.drill_down(b.book(with_segments=True)), 2)
+    return rounded(book.drill_down(b.segmented_book()), 2)
 
 
 @query
@@ -478,33 +477,33 @@ def assign_centroid(b: Bank):
 
 @query
 def segment_profile(b: Bank):
-    return rounded(segments.profile_segments(b.segmented_inputs()), 3)
+    return rounded(segments.profile_segments(b.segmented()), 3)
 
 
 @query
 def segment_headline(b: Bank):
-    return rounded(segments.segment_headline(b.segmented_inputs()), 4)
+    return rounded(segments.segment_headline(b.segmented()), 4)
 
 
 @query
 def segment_radar(b: Bank):
-    return rounded(segments.segment_radar(b.segmented_inputs()), 6)
+    return rounded(segments.segment_radar(b.segmented()), 6)
 
 
 @query
 def segment_radar_dash(b: Bank):
-    return rounded(segments.segment_radar(b.segmented_inputs(), segments.RADAR_DASH), 6)
+    return rounded(segments.segment_radar(b.segmented(), segments.RADAR_DASH), 6)
 
 
 # -- forecasting -------------------------------------------------------------------------
 
 def _portfolio_revenue(b: Bank) -> DataFrame:
-    return forecast.monthly_revenue(b.transactions(("transaction_date", "amount", "transaction_type")))
+    return forecast.monthly_revenue(b.transactions("transaction_date", "amount", "transaction_type"))
 
 
 def _category_revenue(b: Bank) -> DataFrame:
-    wanted = ("transaction_date", "amount", "transaction_type", "category")
-    return forecast.monthly_revenue(b.transactions(wanted), ["category"])
+    rows = b.transactions("transaction_date", "amount", "transaction_type", "category")
+    return forecast.monthly_revenue(rows, ["category"])
 
 
 @query
@@ -580,22 +579,9 @@ def integrity_audit(b: Bank):
 
 # -- trained models --------------------------------------------------------------------------
 
-def _training(b: Bank):
-    return b._fit("training", lambda: models.training_set(b.matrix()))
-
-
-def _trained(b: Bank, name: str):
-    """A model fitted on the training rows, kept for the reports that read it."""
-    def fit():
-        data, inputs = _training(b)
-        train = data.where(F.col("split") == "train")
-        return models.estimators(inputs, train.count())[name].fit(train)
-    return b._fit(f"model {name}", fit)
-
-
 def _scores(b: Bank, name: str) -> DataFrame:
-    data, _ = _training(b)
-    return models.score(_trained(b, name), data).select("customer_id", "split", "defaulted", "p_default", "predicted")
+    data, _ = b.training()
+    return models.score(b.trained(name), data).select("customer_id", "split", "defaulted", "p_default", "predicted")
 
 
 @query
@@ -616,73 +602,70 @@ def train_gbt(b: Bank):
 @query
 def cv_auc(b: Bank):
     """Five-fold AUC of the logistic model."""
-    data, inputs = _training(b)
+    data, inputs = b.training()
     return models.compare(data, inputs, [models.LOGISTIC])[0]
 
 
 @query
 def model_comparison(b: Bank):
     """Hold-out metrics of the three models, without cross-validation."""
-    data, inputs = _training(b)
-    return models.compare(data, inputs, cross_validated=False)[0]
+    data, inputs = b.training()
+    return models.compare(data, inputs, cross_validated=False, fitted=b.trained)[0]
 
 
 @query
 def feature_importance(b: Bank):
-    _, inputs = _training(b)
-    return models.feature_importance(_trained(b, models.FOREST), inputs, b.spark)
+    _, inputs = b.training()
+    return models.feature_importance(b.trained(models.FOREST), inputs, b.spark)
 
 
 @query
 def coefficient_importance(b: Bank):
-    _, inputs = _training(b)
-    return models.feature_importance(_trained(b, models.LOGISTIC), inputs, b.spark)
+    _, inputs = b.training()
+    return models.feature_importance(b.trained(models.LOGISTIC), inputs, b.spark)
 
 
 @query
 def linear_model_shap(b: Bank):
-    data, inputs = _training(b)
-    return rounded(models.explain(models.LOGISTIC, _trained(b, models.LOGISTIC), data, inputs), 6)
+    data, inputs = b.training()
+    return rounded(models.explain(models.LOGISTIC, b.trained(models.LOGISTIC), data, inputs), 6)
 
 
 @query
 def mc_shapley(b: Bank):
-    data, inputs = _training(b)
-    return models.explain(models.FOREST, _trained(b, models.FOREST), data, inputs)
+    data, inputs = b.training()
+    return models.explain(models.FOREST, b.trained(models.FOREST), data, inputs)
 
 
 @query
 def model_risk_tiers(b: Bank):
     """Tiers of the whole book under the trained logistic model."""
-    data, _ = _training(b)
-    scored = models.score(_trained(b, models.LOGISTIC), data)
+    data, _ = b.training()
+    scored = models.score(b.trained(models.LOGISTIC), data)
     return scoring.assign_risk_tiers(scored, "p_default")
 
 
 @query
 def what_if_trained(b: Bank):
-    """The scenarios under the trained logistic model."""
-    data, _ = _training(b)
-    values = b.clv_values().select("customer_id", "estimated_clv", "default_probability")
-    return scoring.what_if_model(data.join(values, "customer_id"), SCENARIOS, _trained(b, models.LOGISTIC),
-                                 models.probability())
-
-
-def _vectors(b: Bank) -> DataFrame:
-    return b._fit("vectors", lambda: segments.standardised_vectors(b.cluster_inputs(), b.scaler()))
+    """The scenarios under the trained logistic model, against its own base score."""
+    data, _ = b.training()
+    model = b.trained(models.LOGISTIC)
+    base = models.score(model, data).withColumnRenamed("p_default", "default_probability")
+    book_rows = base.join(b.clv_values().select("customer_id", "estimated_clv"), "customer_id")
+    return rounded(scoring.what_if_model(book_rows, SCENARIOS, model, models.probability()), 6)
 
 
 @query
 def kmeans_segments(b: Bank):
-    model, _ = segments.fit_kmeans(_vectors(b))
-    return segments.assign_segments(model, _vectors(b), b.scaler())
+    model, _ = segments.fit_kmeans(b.vectors())
+    return segments.assign_segments(model, b.vectors(), b.scaler())
 
 
 @query
 def k_sweep(b: Bank):
-    return segments.k_sweep(_vectors(b))
+    return segments.k_sweep(b.vectors())
 
 
 @query
 def pca_projection(b: Bank):
-    return segments.pca_projection(_vectors(b))[0]
+    return segments.pca_projection(b.vectors())[0]

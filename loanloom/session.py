@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,11 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and continue from the copy.
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the checkpoint folder and continue from the copy.
 
-    Used before multi-pass training, so that neither a later pass nor a lost
-    executor has to recompute the joins behind it.
+    Used for stage outputs that many jobs read and before multi-pass training.
+    A lost executor then costs a re-read instead of the joins behind the table,
+    and later readers still prune columns and push filters down.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

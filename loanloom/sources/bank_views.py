@@ -27,24 +27,34 @@ EMPLOYMENT_LEVELS = sorted(EMPLOYMENT.values())
 ACCOUNT_LEVELS = sorted(ACCOUNTS)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class DriverTables:
+    """Scans of one table folder, opened once each."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._scans: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
 
 def customer_key(key: str):
     return padded_id("CUST", F.col(key) + 1, 7)
 
 
-def _urgent_open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+def _urgent_open_orders(table: DriverTables) -> DataFrame:
+    orders = table("orders")
     return orders.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"))
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(table: DriverTables) -> DataFrame:
     """All customer columns except the label, plus ``c_custkey``."""
-    people = table(spark, sf_dir, "customer")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    loans = _urgent_open_orders(spark, sf_dir).groupBy("o_custkey").agg(F.max("o_totalprice").alias("loan"))
+    people = table("customer")
+    nations = table("nation").select("n_nationkey", F.col("n_name").alias("city"))
+    loans = _urgent_open_orders(table).groupBy("o_custkey").agg(F.max("o_totalprice").alias("loan"))
     employment = F.create_map(*[F.lit(x) for pair in EMPLOYMENT.items() for x in pair])
     account = F.create_map(*[F.lit(x) for pair in enumerate(ACCOUNTS) for x in pair])
     key = F.col("c_custkey")
@@ -74,10 +84,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limited.withColumn("cc_balance", F.col("credit_limit") * (key * 13 % 96).cast("double") / 100)
 
 
-def repayments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repayments(table: DriverTables) -> DataFrame:
     """One row per order of a loan customer; ``o_orderkey`` breaks date ties."""
-    orders = table(spark, sf_dir, "orders")
-    borrowers = _urgent_open_orders(spark, sf_dir).select(F.col("o_custkey").alias("loan_custkey"))
+    orders = table("orders")
+    borrowers = _urgent_open_orders(table).select(F.col("o_custkey").alias("loan_custkey"))
     pending = F.col("o_orderstatus") == "P"
     status = (F.when(pending & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Late")
                .when(pending & F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW"), "Missed")
@@ -94,16 +104,17 @@ def repayments(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .withColumn("paid_amount", paid))
 
 
-def transactions(spark: SparkSession, sf_dir: str,
-                 columns: Sequence[str] = ("customer_id", "transaction_date", "amount",
-                                           "transaction_type", "category")) -> DataFrame:
+TRANSACTION_COLUMNS = ("customer_id", "transaction_date", "amount", "transaction_type", "category")
+
+
+def transactions(table: DriverTables, columns: Sequence[str] = TRANSACTION_COLUMNS) -> DataFrame:
     """Line items as card movements; joins only what ``columns`` needs."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table("lineitem")
     if "customer_id" in columns:
-        owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        owners = table("orders").select("o_orderkey", "o_custkey")
         lines = lines.join(owners, lines.l_orderkey == owners.o_orderkey)
     if "category" in columns:
-        kinds = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("category"))
+        kinds = table("part").select("p_partkey", F.col("p_type").alias("category"))
         lines = lines.join(kinds, lines.l_partkey == kinds.p_partkey)
     built = {
         "transaction_id": lambda: F.concat(F.lit("TXN"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")),
