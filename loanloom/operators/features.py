@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanloom.functions.columns import clip, count_where, flag, half_even, month_of, ratio_or, share, sum_where
+from loanloom.functions.columns import clip, flag, half_even, month_of, ratio_or, sum_where
+from loanloom.operators.ordered import range_bounds, range_index
 
 REPAYMENT_FEATURES = ["repayment_consistency_score", "total_missed_payments", "avg_payment_coverage",
                       "late_payment_rate", "payment_delay_frequency", "max_consecutive_missed"]
@@ -19,9 +21,8 @@ RATIO_FEATURES = ["credit_utilisation_ratio", "income_to_loan_ratio", "emi_to_in
                   "interest_burden_score", "loan_to_value_ratio", "credit_age_score"]
 CATEGORICALS = ["employment_type", "account_type", "city"]
 
-# A customer is treated as hot above this many rows, or above one
-# hundred-thousandth of the table, whichever is larger.  So at most 100,000
-# customers are ever hot, and their list always fits a broadcast.
+# A customer is hot above this many rows, or above one hundred-thousandth of the
+# table if that is more.  So at most 100,000 customers are ever hot.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-5
 
@@ -34,71 +35,124 @@ def coverage(paid: Column, due: Column) -> Column:
              .when((due == 0) & (paid > 0), F.lit(1.0)))
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> list:
     """Keys that own too many rows for one task; at most ``1 / hot_share`` of them."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.where(F.col("__rows") > F.greatest(F.lit(hot_rows), total * F.lit(hot_share))).select(key)
+    floor = F.greatest(F.lit(hot_rows), total * F.lit(hot_share))
+    return [row[0] for row in counts.where(F.col("__rows") > floor).select(key).collect()]
 
 
-def missed_streak(repayments: DataFrame, tie_break: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Longest run of consecutive missed payments per customer, by due date.
+# Sums a customer's rates are made of; they add up over any cut of the rows.
+_PARTS = ["__n", "__on_time", "__missed", "__late", "__delayed", "__covered", "__coverable"]
+
 
-    Customers are cut into chunks along time: one chunk for an ordinary customer,
-    one per day for a hot one, so no task sorts more than a day of a hot customer.
-    A chunk keeps only its best run and the runs touching its two ends; the
-    ends of neighbouring chunks are then joined up per customer.
+def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rates, counts and the longest run of missed payments per customer.
+
+    A run is a stretch of missed rows between two others in due-date order; within a date the
+    ``tie_break`` columns decide.  One shuffle by customer serves the runs and the rates: the
+    rows of a run are summed up first, then the runs of a customer.
     """
-    hot = hot_keys(repayments, "customer_id", hot_rows).withColumn("__hot", F.lit(True))
-    missed = flag(F.col("payment_status") == "Missed")
-    rows = (repayments.join(F.broadcast(hot), "customer_id", "left")
-                      .select("customer_id", "due_date", *tie_break, missed.alias("__missed"),
-                              F.when(F.col("__hot"), F.unix_date("due_date")).otherwise(F.lit(0)).alias("__chunk")))
-    in_chunk = (Window.partitionBy("customer_id", "__chunk").orderBy("due_date", *tie_break)
-                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    runs = (rows.withColumn("__breaks", F.sum(1 - F.col("__missed")).over(in_chunk))
-                .groupBy("customer_id", "__chunk", "__breaks").agg(F.sum("__missed").alias("__run")))
-    chunks = runs.groupBy("customer_id", "__chunk").agg(
-        F.max("__breaks").alias("__last"),
-        F.max("__run").alias("__best"),
-        F.max(F.when(F.col("__breaks") == 0, F.col("__run"))).alias("__head"),
-        F.max_by("__run", "__breaks").alias("__tail"),
+    status = F.col("payment_status")
+    rows = repayments.select(
+        "customer_id", "due_date", *tie_break,
+        flag(status == "On-Time").alias("__on_time"), flag(status == "Missed").alias("__missed"),
+        flag(status == "Late").alias("__late"), flag(~status.eqNullSafe("On-Time")).alias("__delayed"),
+        coverage(F.col("paid_amount"), F.col("emi_amount")).alias("__covered"))
+    hot = hot_keys(repayments, "customer_id", hot_rows)
+    if hot:
+        customers = _runs_of_chunks(_cut_hot(rows, hot, tie_break), tie_break)
+    else:
+        runs = _runs(rows, ["customer_id"], tie_break)
+        customers = runs.groupBy("customer_id").agg(
+            F.max("__run").alias("max_consecutive_missed"), *[F.sum(c).alias(c) for c in _PARTS])
+    return customers.select(
+        "customer_id",
+        (F.col("__on_time") / F.col("__n")).alias("repayment_consistency_score"),
+        F.col("__missed").alias("total_missed_payments"),
+        (F.col("__covered") / F.nullif("__coverable", F.lit(0))).alias("avg_payment_coverage"),
+        (F.col("__late") / F.col("__n")).alias("late_payment_rate"),
+        (F.col("__delayed") / F.col("__n")).alias("payment_delay_frequency"),
+        "max_consecutive_missed",
     )
+
+
+def missed_streak(repayments: DataFrame, tie_break: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Only the longest run; the unused sums are pruned from the plan."""
+    return repayment_features(repayments, tie_break, hot_rows).select("customer_id", "max_consecutive_missed")
+
+
+def _runs(rows: DataFrame, by: list[str], tie_break: Sequence[str]) -> DataFrame:
+    """Rows summed up per stretch between two payments that were not missed."""
+    ordered = (Window.partitionBy(*by).orderBy("due_date", *tie_break)
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (rows.withColumn("__breaks", F.sum(1 - F.col("__missed")).over(ordered))
+                .groupBy(*by, "__breaks").agg(
+                    F.sum("__missed").alias("__run"), F.count(F.lit(1)).alias("__n"),
+                    F.count("__covered").alias("__coverable"),
+                    F.coalesce(F.sum("__covered"), F.lit(0.0)).alias("__covered"),
+                    *[F.sum(c).alias(c) for c in ("__on_time", "__missed", "__late", "__delayed")]))
+
+
+def _cut_hot(rows: DataFrame, hot: list, tie_break: Sequence[str]) -> DataFrame:
+    """Add ``__chunk``: 0 for ordinary customers, a slice of the time line for hot ones.
+
+    The slices follow (date, first tie-break) and hold about equal parts of the hot rows.
+    """
+    listed = rows.sparkSession.createDataFrame([(k, True) for k in hot], "customer_id string, __hot boolean")
+    marked = rows.join(F.broadcast(listed), "customer_id", "left")
+    place = F.unix_date("due_date").cast("double")
+    if tie_break:
+        tie = F.col(tie_break[0])
+        edges = rows.agg(F.struct(F.min(tie).alias("low"), F.max(tie).alias("high")).alias("e")).first()["e"]
+        place = place + (tie - F.lit(edges["low"])) / F.lit(float(edges["high"] - edges["low"] + 1))
+    placed = marked.withColumn("__place", place)
+    bounds = range_bounds(placed.where("__hot"), "__place")
+    return placed.withColumn("__chunk", F.when(F.col("__hot"), range_index(F.col("__place"), bounds) + 1)
+                             .otherwise(F.lit(0))).drop("__hot", "__place")
+
+
+def _runs_of_chunks(rows: DataFrame, tie_break: Sequence[str]) -> DataFrame:
+    """Longest run and sums per customer from chunks of its time line.
+
+    A chunk keeps its best run and the runs touching its two ends; the ends of
+    neighbouring chunks are joined up through a running count of breaks.
+    """
+    chunks = _runs(rows, ["customer_id", "__chunk"], tie_break).groupBy("customer_id", "__chunk").agg(
+        F.max("__breaks").alias("__last"), F.max("__run").alias("__best"),
+        F.coalesce(F.max(F.when(F.col("__breaks") == 0, F.col("__run"))), F.lit(0)).alias("__head"),
+        F.max_by("__run", "__breaks").alias("__tail"), *[F.sum(c).alias(c) for c in _PARTS])
     earlier = Window.partitionBy("customer_id").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("__last").over(earlier), F.lit(0))
-    head = F.struct(F.col("__start").alias("island"), F.coalesce("__head", F.lit(0)).alias("run"))
-    tail = F.struct((F.col("__start") + F.col("__last")).alias("island"), F.col("__tail").alias("run"))
+    started = chunks.withColumn("__start", F.coalesce(F.sum("__last").over(earlier), F.lit(0)))
+    head = F.struct(F.col("__start").alias("at"), F.col("__head").alias("run"),
+                    *[F.col(c).alias(c) for c in _PARTS])
+    tail = F.struct((F.col("__start") + F.col("__last")).alias("at"), F.col("__tail").alias("run"),
+                    *[F.lit(0).cast("double" if c == "__covered" else "long").alias(c) for c in _PARTS])
     ends = F.when(F.col("__last") == 0, F.array(head)).otherwise(F.array(head, tail))
-    joined = (chunks.withColumn("__start", start)
-                    .select("customer_id", "__best", F.explode(ends).alias("__end")))
-    return (joined.groupBy("customer_id", F.col("__end.island").alias("__island"))
-                  .agg(F.sum("__end.run").alias("__run"), F.max("__best").alias("__best"))
-                  .groupBy("customer_id")
-                  .agg(F.max(F.greatest("__run", "__best")).alias("max_consecutive_missed")))
+    touching = (started.select("customer_id", "__best", F.explode(ends).alias("__end"))
+                .groupBy("customer_id", F.col("__end.at").alias("__at"))
+                .agg(F.sum("__end.run").alias("__run"), F.max("__best").alias("__best"),
+                     *[F.sum(f"__end.{c}").alias(c) for c in _PARTS]))
+    return touching.groupBy("customer_id").agg(
+        F.max(F.greatest("__run", "__best")).alias("max_consecutive_missed"),
+        *[F.sum(c).alias(c) for c in _PARTS])
 
 
-def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rates, counts and the longest missed run per customer."""
-    status = F.col("payment_status")
-    rates = repayments.groupBy("customer_id").agg(
-        share(status == "On-Time").alias("repayment_consistency_score"),
-        count_where(status == "Missed").alias("total_missed_payments"),
-        F.avg(coverage(F.col("paid_amount"), F.col("emi_amount"))).alias("avg_payment_coverage"),
-        share(status == "Late").alias("late_payment_rate"),
-        share(~status.eqNullSafe("On-Time")).alias("payment_delay_frequency"),
-    )
-    return rates.join(missed_streak(repayments, tie_break, hot_rows), "customer_id", "left")
+# -- spending behaviour -------------------------------------------------------
 
+def latest_date(transactions: DataFrame) -> datetime.date:
+    return transactions.agg(F.max("transaction_date")).first()[0]
 
-# -- spending behaviour -------------------------------------------------------
 
-def recent(transactions: DataFrame, months: int = 6) -> DataFrame:
+def recent(transactions: DataFrame, months: int = 6, latest: datetime.date | None = None) -> DataFrame:
     """Rows within ``months`` of the latest date in the whole table, edge included.
 
-    The latest date is a scalar subquery, so the comparison reaches the scan.
+    The cutoff enters the plan as a literal, so the scan can skip files and row
+    groups before it.
     """
-    latest = transactions.agg(F.max("transaction_date").alias("latest")).scalar()
-    return transactions.where(F.col("transaction_date") >= F.add_months(latest, -months))
+    latest = latest or latest_date(transactions)
+    return transactions.where(F.col("transaction_date") >= F.add_months(F.lit(latest), -months))
 
 
 def monthly_activity(transactions: DataFrame) -> DataFrame:
@@ -111,14 +165,15 @@ def monthly_activity(transactions: DataFrame) -> DataFrame:
     )
 
 
-def transaction_features(transactions: DataFrame, months: int = 6, keep_credit_only: bool = False) -> DataFrame:
+def transaction_features(transactions: DataFrame, months: int = 6, keep_credit_only: bool = False,
+                         latest: datetime.date | None = None) -> DataFrame:
     """Spending signals of the trailing window per customer.
 
     A customer with no debit in the window has no row, as the spend table is the
     root of the join; ``keep_credit_only`` keeps them.  Spend statistics
     cover months with spend only.
     """
-    monthly = monthly_activity(recent(transactions, months))
+    monthly = monthly_activity(recent(transactions, months, latest))
     debit = F.col("debit")
     per_customer = monthly.groupBy("customer_id").agg(
         F.coalesce(F.stddev_samp(debit), F.lit(0.0)).alias("spending_volatility"),
@@ -184,7 +239,7 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
 
 
 def customer_features(customers: DataFrame, repayments: DataFrame, transactions: DataFrame,
-                      tie_break: Sequence[str] = ()) -> DataFrame:
+                      tie_break: Sequence[str] = (), latest: datetime.date | None = None) -> DataFrame:
     """Customers with ratios and both behaviour blocks; categoricals kept as text.
 
     Both fact tables are reduced to a row per customer before they meet the
@@ -192,7 +247,7 @@ def customer_features(customers: DataFrame, repayments: DataFrame, transactions:
     """
     joined = (with_ratios(customers)
               .join(repayment_features(repayments, tie_break), "customer_id", "left")
-              .join(transaction_features(transactions), "customer_id", "left"))
+              .join(transaction_features(transactions, latest=latest), "customer_id", "left"))
     return joined.na.fill(0, REPAYMENT_FEATURES + TRANSACTION_FEATURES)
 
 

@@ -13,13 +13,15 @@ literals.  They only decide how even the ranges are, never the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__range"
+TOTAL = "__total"
 DEFAULT_BUCKETS = 256
+SMALL_ROWS = 100_000
 
 
 def range_bounds(df: DataFrame, column: str, buckets: int = DEFAULT_BUCKETS) -> list[float]:
@@ -84,48 +86,71 @@ def running_totals(df: DataFrame, order: str, measures: dict[str, str], by: Sequ
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group (NULLs ignored).
+def values_at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column], Column]],
+                    by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Per group, the values at given zero-based ranks, and the row count as ``TOTAL``.
 
-    Equal values are folded to a count first.  The range totals tell which
-    ranges hold the wanted ranks, and only those ranges are ordered.
+    A first pass only counts rows per (group, range): a tiny shuffle.  The counts
+    tell which ranges hold a wanted rank, and the second pass shuffles and orders
+    those ranges alone, with equal values folded to a count.  ``ranks`` maps a
+    name to a function from the group's row count to a rank.
     """
     present = df.where(F.col(value).isNotNull())
-    counts = present.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    tagged = counts.withColumn(BUCKET, range_index(F.col(value), range_bounds(present, value, buckets)))
-    offsets = _range_offsets(tagged, by, {"__n": ""}, descending=False)
-
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("__all___n") - 1)
-
-    def holds(rank: Column, start: Column, size: Column) -> Column:
-        return (rank >= start) & (rank < start + size)
+    bounds = range_bounds(present, value, buckets)
+    tagged = present.select(*by, value, range_index(F.col(value), bounds).alias(BUCKET))
+    sizes = tagged.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *by, BUCKET, F.col("__n").alias("__size"),
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+        F.sum("__n").over(Window.partitionBy(*by)).alias(TOTAL))
+
+    def holds(rank: Column, start: str, size: str) -> Column:
+        return (rank >= F.col(start)) & (rank < F.col(start) + F.col(size))
 
     wanted = F.lit(False)
-    for p in probs.values():
-        for rank in (F.floor(position(p)), F.ceil(position(p))):
-            wanted = wanted | holds(rank, F.col("__off___n"), F.col("__sum___n"))
+    for rank in ranks.values():
+        wanted = wanted | holds(rank(F.col(TOTAL)), "__off", "__size")
+    picked = _small_copy(offsets.where(wanted).drop("__size"))
+    counts = (tagged.join(picked, [*by, BUCKET])
+              .groupBy(*by, BUCKET, "__off", TOTAL, value).agg(F.count(F.lit(1)).alias("__n")))
     inside = (Window.partitionBy(*by, BUCKET).orderBy(value)
                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (tagged.join(offsets.where(wanted), [*by, BUCKET])
-                    .withColumn("__start", F.sum("__n").over(inside) + F.col("__off___n") - F.col("__n")))
+    placed = counts.withColumn("__start", F.sum("__n").over(inside) + F.col("__off") - F.col("__n"))
+    return placed.groupBy(*by).agg(F.max(TOTAL).alias(TOTAL), *[
+        F.max(F.when(holds(rank(F.col(TOTAL)), "__start", "__n"), F.col(value))).alias(name)
+        for name, rank in ranks.items()])
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank, F.col("__start"), F.col("__n")), F.col(value).cast("double")))
 
-    picked = ranked.groupBy(*by).agg(
-        F.max("__all___n").alias("__count"),
-        *[at(F.floor(position(p))).alias(f"__lo_{name}") for name, p in probs.items()],
-        *[at(F.ceil(position(p))).alias(f"__hi_{name}") for name, p in probs.items()],
-    )
+def _small_copy(df: DataFrame) -> DataFrame:
+    """A broadcast copy of a table whose size has been checked by fetching it.
+
+    Beyond the limit the table stays distributed and Spark picks the join.
+    """
+    rows = df.limit(SMALL_ROWS + 1).toArrow()
+    if rows.num_rows > SMALL_ROWS:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
+                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact, linearly interpolated quantiles per group (NULLs ignored)."""
+    def place(p: float, total: Column) -> Column:
+        return F.lit(float(p)) * (total - 1)
+
+    ranks: dict[str, Callable[[Column], Column]] = {}
+    for name, p in probs.items():
+        ranks[f"__lo_{name}"] = lambda total, p=p: F.floor(place(p, total))
+        ranks[f"__hi_{name}"] = lambda total, p=p: F.ceil(place(p, total))
+    found = values_at_ranks(df, value, ranks, by, buckets)
 
     def interpolate(name: str, p: float) -> Column:
-        place = F.lit(float(p)) * (F.col("__count") - 1)
-        low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        return (low + (high - low) * (place - F.floor(place))).alias(name)
+        low, high = (F.col(f"__{end}_{name}").cast("double") for end in ("lo", "hi"))
+        at = place(p, F.col(TOTAL))
+        return (low + (high - low) * (at - F.floor(at))).alias(name)
 
-    return picked.select(*by, *[interpolate(name, p) for name, p in probs.items()])
+    return found.select(*by, *[interpolate(name, p) for name, p in probs.items()])
 
 
 def quantile_values(df: DataFrame, value: str, probs: Sequence[float],
@@ -133,23 +158,18 @@ def quantile_values(df: DataFrame, value: str, probs: Sequence[float],
     """Exact quantiles of one column as plain numbers, for use as model parameters."""
     named = {f"q{i}": p for i, p in enumerate(probs)}
     row = exact_quantiles(df, value, named, buckets=buckets).first()
-    if row is None:
+    if row is None or row["q0"] is None:
         raise ValueError(f"no values in {value}")
     return [row[name] for name in named]
 
 
 def order_cuts(df: DataFrame, key: str, fractions: dict[str, float], by: Sequence[str] = (),
                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Per group, the largest key among the first ``round(fraction * rows)`` rows in key order.
+    """Per group, the last key among the first ``round(fraction * rows)`` rows in key order.
 
     Comparing a row's key with a cut selects an exact share of every group
-    without ranking the rows themselves.
+    without ranking the rows themselves.  A share of no rows has a NULL cut.
     """
-    counts = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = running_totals(counts, key, {"__n": "__run"}, by=by, buckets=buckets, totals={"__n": "__all"})
-
-    def cut(fraction: float) -> Column:
-        target = F.floor(F.lit(float(fraction)) * F.col("__all") + F.lit(0.5))
-        return F.max(F.when(F.col("__run") <= target, F.col(key)))
-
-    return ranked.groupBy(*by).agg(*[cut(f).alias(name) for name, f in fractions.items()])
+    ranks = {name: (lambda total, f=f: F.floor(F.lit(float(f)) * total + F.lit(0.5)) - 1)
+             for name, f in fractions.items()}
+    return values_at_ranks(df, key, ranks, by, buckets).drop(TOTAL)

@@ -8,6 +8,7 @@ plan.  Fitted parameters (score range, label cuts, quartiles) are a few numbers.
 
 from __future__ import annotations
 
+import datetime
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,13 +56,21 @@ class Bank:
             _banks[key] = cls(spark, sf_dir)
         return _banks[key]
 
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table of one row per customer, bucketed like all the others."""
+        return materialise(df, f"loanloom_{name}", "customer_id", self.size())
+
+    @kept
+    def size(self) -> int:
+        return self.tables("customer").count()
+
     # -- base tables ----------------------------------------------------------
 
     @kept
     def people(self) -> DataFrame:
         """Customers without a label, with their raw risk score (stage output)."""
         base = bank_views.customers(self.tables)
-        return materialise(base.withColumn("raw_score", scoring.raw_risk()), "customers")
+        return self._stage(base.withColumn("raw_score", scoring.raw_risk()), "customers")
 
     def unlabelled(self) -> DataFrame:
         return self.people().drop("raw_score")
@@ -78,6 +87,10 @@ class Bank:
         """Transactions without the category, which the features do not read."""
         return self.transactions("customer_id", "transaction_date", "amount", "transaction_type")
 
+    @kept
+    def latest_date(self) -> datetime.date:
+        return features.latest_date(self.transactions("transaction_date"))
+
     # -- score and label --------------------------------------------------------
 
     @kept
@@ -107,7 +120,7 @@ class Bank:
     @kept
     def clv_values(self) -> DataFrame:
         """Estimated value per customer (stage output)."""
-        return materialise(clv.estimate_clv(self.customers(), self.risk()), "clv")
+        return self._stage(clv.estimate_clv(self.customers(), self.risk()), "clv")
 
     @kept
     def clv_cuts(self) -> list[float]:
@@ -127,12 +140,12 @@ class Bank:
     def build_features(self) -> DataFrame:
         """The feature build itself, from the tables."""
         return features.customer_features(self.customers().drop("risk_score"), self.repayments(),
-                                          self.spending(), TIE_BREAK)
+                                          self.spending(), TIE_BREAK, self.latest_date())
 
     @kept
     def features(self) -> DataFrame:
         """One row of features per customer (stage output)."""
-        return materialise(self.build_features(), "features")
+        return self._stage(self.build_features(), "features")
 
     @kept
     def matrix(self) -> DataFrame:
@@ -151,7 +164,7 @@ class Bank:
         """Clustering inputs and label with the nearest segment (stage output)."""
         segment = segments.nearest_centroid_column(self.scaler(), CENTROIDS)
         wanted = dict.fromkeys(["customer_id", *segments.CLUSTER_FEATURES, "defaulted"])
-        return materialise(self.cluster_inputs().select(*wanted, segment.alias("segment")), "segments")
+        return self._stage(self.cluster_inputs().select(*wanted, segment.alias("segment")), "segments")
 
     @kept
     def segments(self) -> DataFrame:

@@ -200,20 +200,20 @@ def missed_streak(b: Bank):
 
 @query
 def transaction_features(b: Bank):
-    return rounded(features.transaction_features(b.spending()), SPEND_DIGITS)
+    return rounded(features.transaction_features(b.spending(), latest=b.latest_date()), SPEND_DIGITS)
 
 
 @query
 def transaction_features_all_customers(b: Bank):
     """Credit-only customers kept."""
-    out = features.transaction_features(b.spending(), keep_credit_only=True)
+    out = features.transaction_features(b.spending(), keep_credit_only=True, latest=b.latest_date())
     return rounded(out, SPEND_DIGITS)
 
 
 @query
 def monthly_activity(b: Bank):
     """Debit, credit and rows per customer and month of the trailing window."""
-    return rounded(features.monthly_activity(features.recent(b.spending())), 2)
+    return rounded(features.monthly_activity(features.recent(b.spending(), latest=b.latest_date())), 2)
 
 
 @query

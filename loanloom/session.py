@@ -54,14 +54,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+ROWS_PER_BUCKET = 1_000_000
+
+
+def bucket_count(rows: int) -> int:
+    """Power of two that keeps a bucket near ``ROWS_PER_BUCKET`` rows."""
+    return 1 << max(0, (rows // ROWS_PER_BUCKET).bit_length())
+
+
+def materialise(df: DataFrame, name: str = "stage", key: str | None = None, rows: int = 0) -> DataFrame:
     """Write ``df`` once as Parquet under the checkpoint folder and continue from the copy.
 
     Used for stage outputs that many jobs read and before multi-pass training.
     A lost executor then costs a re-read instead of the joins behind the table,
-    and later readers still prune columns and push filters down.
+    and later readers still prune columns and push filters down.  With a ``key``
+    (unique per row, ``rows`` of them) the copy is bucketed by it, so that
+    stage outputs join each other without a shuffle.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{table}"
+    if key is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = bucket_count(rows)
+    # One task per bucket, so that a bucket is one file.
+    (df.repartition(buckets, key).write.format("parquet").option("path", path)
+       .bucketBy(buckets, key).saveAsTable(table))
+    return spark.table(table)
