@@ -41,9 +41,10 @@ def dickey_fuller(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Regresses the change on the previous level with a constant.
     """
     level = F.lag("revenue").over(_by_month(by))
-    steps = monthly.select(*by, level.alias("x"), (F.col("revenue") - level).alias("dy")).where(F.col("x").isNotNull())
+    steps = monthly.select(*by, level.alias("x"), (F.col("revenue") - level).alias("dy"))
+    # The first month has no step: the regression aggregates skip it.
     stats = steps.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.regr_slope("dy", "x").alias("slope"),
+        F.count("x").alias("n"), F.regr_slope("dy", "x").alias("slope"),
         F.regr_sxx("dy", "x").alias("sxx"), F.regr_syy("dy", "x").alias("syy"))
     residual = (F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx")) / (F.col("n") - 2)
     error = F.sqrt(F.greatest(residual, F.lit(0.0)) / F.col("sxx"))
@@ -96,11 +97,11 @@ def seasonal_forecast(monthly: DataFrame, steps: int = 12, by: Sequence[str] = (
 
 
 def _join_series(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join per-series parameters; a single unnamed series has exactly one parameter row."""
+    """Attach per-series parameters; those of a single unnamed series are a scalar subquery."""
     if by:
         return left.join(right, list(by))
-    one = F.lit(0)
-    return left.withColumn("__one", one).join(right.withColumn("__one", one), "__one").drop("__one")
+    one = right.select(F.struct(*right.columns).alias("one")).scalar()
+    return left.withColumns({c: one[c] for c in right.columns})
 
 
 # -- ARIMA --------------------------------------------------------------------

@@ -14,7 +14,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.operators import book, clv, features, models, scoring, segments
+from loanloom.operators import book, clv, features, forecast, models, scoring, segments
 from loanloom.session import materialise
 from loanloom.sources import bank_views
 
@@ -174,6 +174,23 @@ class Bank:
     def vectors(self) -> DataFrame:
         return segments.standardised_vectors(self.cluster_inputs(), self.scaler())
 
+    # -- revenue series ----------------------------------------------------------------
+
+    def build_revenue(self, *by: str) -> DataFrame:
+        """Monthly revenue straight from the transactions."""
+        rows = self.transactions("transaction_date", "amount", "transaction_type", *by)
+        return forecast.monthly_revenue(rows, by)
+
+    @kept
+    def revenue(self) -> DataFrame:
+        """Monthly revenue (stage output: a few rows that forecasts read many times)."""
+        return materialise(self.build_revenue(), "revenue")
+
+    @kept
+    def category_revenue(self) -> DataFrame:
+        """Monthly revenue per category (stage output)."""
+        return materialise(self.build_revenue("category"), "category_revenue")
+
     # -- the 360 view -------------------------------------------------------------
 
     @kept

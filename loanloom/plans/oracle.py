@@ -262,10 +262,10 @@ select {key} n as observations, round(slope, 6) as slope, round(t, 6) as t_stat,
   case when t < -2.9::double then 0 else 1 end as d
 from (
   select *, slope / sqrt(greatest((syy - slope * slope * sxx) / (n - 2), 0) / sxx) as t from (
-    select category, count(*) as n, regr_slope(dy, x) as slope, regr_sxx(dy, x) as sxx, regr_syy(dy, x) as syy
+    select category, count(x) as n, regr_slope(dy, x) as slope, regr_sxx(dy, x) as sxx, regr_syy(dy, x) as syy
     from (select category, revenue - lag(revenue) over w as dy, lag(revenue) over w as x
           from {source} window w as (partition by category order by month))
-    where x is not null group by category))"""
+    group by category))"""
 
 
 def seasonal_parts(source: str) -> str:

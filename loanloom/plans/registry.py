@@ -7,6 +7,7 @@ another order agree.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -463,6 +464,16 @@ def sample_per_segment(b: Bank):
     return distributions.sample_per_group(b.segments(), ["segment"], 100)
 
 
+@query
+def dashboard_documents(b: Bank):
+    """Each dashboard panel as one JSON document."""
+    panels = {
+        "kpis": kpis(b), "pd_histogram": pd_histogram(b), "risk_tiers": tier_counts(b), "clv_by_tier": clv_by_tier(b),
+        "city_npa": city_npa_rate(b), "score_box": score_box_stats(b), "high_risk": high_risk_table(b),
+    }
+    return functools.reduce(DataFrame.unionByName, [book.as_document(df, name) for name, df in panels.items()])
+
+
 # -- segmentation ----------------------------------------------------------------------
 
 @query
@@ -497,72 +508,63 @@ def segment_radar_dash(b: Bank):
 
 # -- forecasting -------------------------------------------------------------------------
 
-def _portfolio_revenue(b: Bank) -> DataFrame:
-    return forecast.monthly_revenue(b.transactions("transaction_date", "amount", "transaction_type"))
-
-
-def _category_revenue(b: Bank) -> DataFrame:
-    rows = b.transactions("transaction_date", "amount", "transaction_type", "category")
-    return forecast.monthly_revenue(rows, ["category"])
-
-
 @query
 def monthly_revenue(b: Bank):
-    return rounded(_portfolio_revenue(b), 2)
+    return rounded(b.build_revenue(), 2)
 
 
 @query
 def monthly_revenue_by_category(b: Bank):
-    return rounded(_category_revenue(b), 2)
+    return rounded(b.build_revenue("category"), 2)
 
 
 @query
 def dickey_fuller(b: Bank):
-    return rounded(forecast.dickey_fuller(_portfolio_revenue(b)), 6)
+    return rounded(forecast.dickey_fuller(b.revenue()), 6)
 
 
 @query
 def dickey_fuller_by_category(b: Bank):
-    return rounded(forecast.dickey_fuller(_category_revenue(b), ["category"]), 6)
+    return rounded(forecast.dickey_fuller(b.category_revenue(), ["category"]), 6)
 
 
 @query
 def seasonal_forecast(b: Bank):
-    return rounded(forecast.seasonal_forecast(_portfolio_revenue(b)), 2)
+    return rounded(forecast.seasonal_forecast(b.revenue()), 2)
 
 
 @query
 def seasonal_forecast_by_category(b: Bank):
-    return rounded(forecast.seasonal_forecast(_category_revenue(b), by=["category"]), 2)
+    return rounded(forecast.seasonal_forecast(b.category_revenue(), by=["category"]), 2)
 
 
 @query
 def forecast_calendar(b: Bank):
-    return forecast.forecast_calendar(_category_revenue(b), 12, ["category"])
+    return forecast.forecast_calendar(b.category_revenue(), 12, ["category"])
 
 
 @query
 def forecast_union(b: Bank):
-    monthly = _portfolio_revenue(b)
+    monthly = b.revenue()
     return rounded(forecast.with_history(monthly, forecast.seasonal_forecast(monthly)), 2)
 
 
 @query
 def forecast_rows_ahead(b: Bank):
     """The forecast part of the combined table, split off by its type."""
-    monthly = _category_revenue(b)
+    monthly = b.category_revenue()
     combined = forecast.with_history(monthly, forecast.seasonal_forecast(monthly, by=["category"]), ["category"])
     return rounded(combined.where(F.col("type") == "forecast"), 2)
 
 
 @query
 def arima_forecast(b: Bank):
-    return rounded(forecast.arima_forecast(_portfolio_revenue(b)), 2)
+    return rounded(forecast.arima_forecast(b.revenue()), 2)
 
 
 @query
 def arima_forecast_by_category(b: Bank):
-    return rounded(forecast.arima_forecast(_category_revenue(b), by=["category"]), 2)
+    return rounded(forecast.arima_forecast(b.category_revenue(), by=["category"]), 2)
 
 
 # -- audit -----------------------------------------------------------------------------------

@@ -55,6 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 ROWS_PER_BUCKET = 1_000_000
+_stage_tables: list[str] = []
 
 
 def bucket_count(rows: int) -> int:
@@ -81,4 +82,15 @@ def materialise(df: DataFrame, name: str = "stage", key: str | None = None, rows
     # One task per bucket, so that a bucket is one file.
     (df.repartition(buckets, key).write.format("parquet").option("path", path)
        .bucketBy(buckets, key).saveAsTable(table))
+    _stage_tables.append(table)
     return spark.table(table)
+
+
+def release_stages(spark: SparkSession) -> None:
+    """Forget the bucketed stage copies of this process in the catalog.
+
+    Only needed with a catalog that outlives the application; the files stay
+    in the checkpoint folder.
+    """
+    while _stage_tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_stage_tables.pop()}")
