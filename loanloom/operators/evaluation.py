@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import count_where
-from loanloom.operators.ordered import running_totals
+from loanloom.operators.ordered import range_bounds, running_totals
 
 SCORE = "threshold"
 
@@ -27,7 +27,7 @@ def _swept(df: DataFrame, label: str, score: str) -> DataFrame:
     """Score counts with running counts from the highest score down."""
     return running_totals(score_counts(df, label, score), SCORE,
                           {"pos": "tp", "neg": "fp"}, descending=True,
-                          totals={"pos": "all_pos", "neg": "all_neg"})
+                          totals={"pos": "all_pos", "neg": "all_neg"}, bounds=range_bounds(df, score))
 
 
 def roc_auc(df: DataFrame, label: str = "defaulted", score: str = "risk_score") -> DataFrame:

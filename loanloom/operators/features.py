@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions.columns import clip, flag, half_even, month_of, ratio_or, sum_where
-from loanloom.operators.ordered import range_bounds, range_index
+from loanloom.operators.ordered import range_bounds, with_range
 
 REPAYMENT_FEATURES = ["repayment_consistency_score", "total_missed_payments", "avg_payment_coverage",
                       "late_payment_rate", "payment_delay_frequency", "max_consecutive_missed"]
@@ -109,8 +109,9 @@ def _cut_hot(rows: DataFrame, hot: list, tie_break: Sequence[str]) -> DataFrame:
         place = place + (tie - F.lit(edges["low"])) / F.lit(float(edges["high"] - edges["low"] + 1))
     placed = marked.withColumn("__place", place)
     bounds = range_bounds(placed.where("__hot"), "__place")
-    return placed.withColumn("__chunk", F.when(F.col("__hot"), range_index(F.col("__place"), bounds) + 1)
-                             .otherwise(F.lit(0))).drop("__hot", "__place")
+    cut = with_range(placed, "__place", bounds, "__slice")
+    return (cut.withColumn("__chunk", F.when(F.col("__hot"), F.col("__slice") + 1).otherwise(F.lit(0)))
+               .drop("__hot", "__place", "__slice"))
 
 
 def _runs_of_chunks(rows: DataFrame, tie_break: Sequence[str]) -> DataFrame:

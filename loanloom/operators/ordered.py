@@ -13,8 +13,10 @@ literals.  They only decide how even the ranges are, never the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,20 +36,18 @@ def range_bounds(df: DataFrame, column: str, buckets: int = DEFAULT_BUCKETS) ->
     return sorted(set(found or []))
 
 
-def range_index(value: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds at or below ``value``: a binary search over a literal array."""
-    size = len(bounds)
-    if size == 0:
-        return F.lit(0)
-    table = F.array(*[F.lit(float(b)) for b in bounds])
-    steps = [1 << p for p in reversed(range(size.bit_length()))]
+def with_range(df: DataFrame, column: str, bounds: Sequence[float], name: str = BUCKET) -> DataFrame:
+    """Add the number of bounds at or below ``column``: a binary search inside generated code.
 
-    def probe(position: Column, step: Column) -> Column:
-        ahead = position + step
-        fits = (ahead <= size) & (F.get(table, ahead - 1) <= value.cast("double"))
-        return F.when(fits, ahead).otherwise(position)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), probe)
+    NULL goes to the first range, where an ascending order puts it too.
+    """
+    inner = [b for b in bounds if math.isfinite(b)]
+    if not inner:
+        return df.withColumn(name, F.lit(0))
+    search = Bucketizer(inputCol="__double", outputCol="__found", splits=[-math.inf, *inner, math.inf],
+                        handleInvalid="keep")
+    found = search.transform(df.withColumn("__double", F.col(column).cast("double")))
+    return found.withColumn(name, F.coalesce(F.col("__found").cast("int"), F.lit(0))).drop("__double", "__found")
 
 
 def _range_offsets(tagged: DataFrame, by: Sequence[str], measures: dict[str, str], descending: bool) -> DataFrame:
@@ -66,14 +66,15 @@ def _range_offsets(tagged: DataFrame, by: Sequence[str], measures: dict[str, str
 
 def running_totals(df: DataFrame, order: str, measures: dict[str, str], by: Sequence[str] = (),
                    descending: bool = False, buckets: int = DEFAULT_BUCKETS,
-                   totals: dict[str, str] | None = None) -> DataFrame:
+                   totals: dict[str, str] | None = None, bounds: Sequence[float] | None = None) -> DataFrame:
     """Add inclusive running sums over ``order`` inside each ``by`` group.
 
     ``measures`` maps an input column to the name of its running sum, ``totals``
     (optional) to the name of its group total.  ``(by, order)`` must be unique in
-    ``df``: aggregate first, which also folds hot values into single rows.
+    ``df``: aggregate first, which also folds hot values into single rows.  ``bounds``
+    may come from the rows before that aggregation, to save running it once more.
     """
-    tagged = df.withColumn(BUCKET, range_index(F.col(order), range_bounds(df, order, buckets)))
+    tagged = with_range(df, order, range_bounds(df, order, buckets) if bounds is None else bounds)
     offsets = _range_offsets(tagged, by, measures, descending)
     edge = F.col(order).desc() if descending else F.col(order).asc()
     inside = (Window.partitionBy(*by, BUCKET).orderBy(edge)
@@ -96,8 +97,7 @@ def values_at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column
     name to a function from the group's row count to a rank.
     """
     present = df.where(F.col(value).isNotNull())
-    bounds = range_bounds(present, value, buckets)
-    tagged = present.select(*by, value, range_index(F.col(value), bounds).alias(BUCKET))
+    tagged = with_range(present.select(*by, value), value, range_bounds(present, value, buckets))
     sizes = tagged.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

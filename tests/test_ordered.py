@@ -68,8 +68,10 @@ def test_order_cuts_split_exactly(spark):
     assert all(r["k"] == int(0.2 * r["n"] + 0.5) for r in counts)
 
 
-def test_range_index_is_a_binary_search(spark):
-    bounds = [1.0, 2.0, 5.0, 9.0, 9.5]
-    df = spark.createDataFrame([(float(v),) for v in (-1, 1, 1.5, 2, 8.9, 9, 10)], "v double")
-    got = [r[0] for r in df.select(ordered.range_index(F.col("v"), bounds)).collect()]
-    assert got == [int(np.searchsorted(bounds, v, side="right")) for v in (-1, 1, 1.5, 2, 8.9, 9, 10)]
+def test_ranges_follow_a_binary_search(spark):
+    bounds, values = [1.0, 2.0, 5.0, 9.0, 9.5], [-1.0, 1.0, 1.5, 2.0, 8.9, 9.0, 10.0, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in ordered.with_range(df, "v", [*bounds, float("inf")]).select(ordered.BUCKET).collect()]
+    assert got == [int(np.searchsorted(bounds, v, side="right")) for v in values]
+    empty = spark.createDataFrame([(None,)], "v double")
+    assert ordered.with_range(empty, "v", bounds).first()[ordered.BUCKET] == 0
