@@ -17,17 +17,17 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     A constant column is widened by one half on either side.
     """
     present = df.where(F.col(value).isNotNull())
-    edges = present.agg(F.struct(F.min(value).cast("double").alias("low"),
-                                 F.max(value).cast("double").alias("high")).alias("e")).scalar()
-    low = F.when(edges["low"] == edges["high"], edges["low"] - 0.5).otherwise(edges["low"])
-    high = F.when(edges["low"] == edges["high"], edges["high"] + 0.5).otherwise(edges["high"])
-    place = F.floor((F.col(value) - low) / (high - low) * bins)
+    low, high = present.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
+    if low is None:
+        low, high = 0.0, 1.0
+    elif low == high:
+        low, high = low - 0.5, high + 0.5
+    place = F.floor((F.col(value) - F.lit(low)) / F.lit(high - low) * bins)
     counts = (present.groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
                      .agg(F.count(F.lit(1)).alias("n")))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (high - low) / bins
     return every.join(counts, "bin", "left").select(
-        "bin", (low + width * (F.col("bin") + 0.5)).alias("midpoint"),
+        "bin", (F.lit(low) + F.lit((high - low) / bins) * (F.col("bin") + 0.5)).alias("midpoint"),
         F.coalesce("n", F.lit(0)).alias("n"))
 
 

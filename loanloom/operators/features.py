@@ -21,10 +21,10 @@ RATIO_FEATURES = ["credit_utilisation_ratio", "income_to_loan_ratio", "emi_to_in
                   "interest_burden_score", "loan_to_value_ratio", "credit_age_score"]
 CATEGORICALS = ["employment_type", "account_type", "city"]
 
-# A customer is hot above this many rows, or above one hundred-thousandth of the
-# table if that is more.  So at most 100,000 customers are ever hot.
+# A customer is hot above this many rows.  Should more than ``HOT_KEYS`` customers
+# be, only those above one part in ``HOT_KEYS`` of the table count, and of these there are fewer.
 HOT_ROWS = 1_000_000
-HOT_SHARE = 1e-5
+HOT_KEYS = 100_000
 
 
 # -- repayment behaviour ------------------------------------------------------
@@ -35,12 +35,14 @@ def coverage(paid: Column, due: Column) -> Column:
              .when((due == 0) & (paid > 0), F.lit(1.0)))
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> list:
-    """Keys that own too many rows for one task; at most ``1 / hot_share`` of them."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    floor = F.greatest(F.lit(hot_rows), total * F.lit(hot_share))
-    return [row[0] for row in counts.where(F.col("__rows") > floor).select(key).collect()]
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> list:
+    """Keys that own too many rows for one task; never more than ``most`` of them."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.where(F.col("n") > hot_rows).select(key)
+    found = hot.limit(most + 1).collect()
+    if len(found) > most:
+        found = counts.where(F.col("n") > df.count() / most).select(key).collect()
+    return [row[0] for row in found]
 
 
 # Sums a customer's rates are made of; they add up over any cut of the rows.

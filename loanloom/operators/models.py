@@ -18,7 +18,7 @@ from loanloom.functions.columns import half_even, stable_hash
 from loanloom.operators import evaluation
 from loanloom.operators.distributions import sample_rows
 from loanloom.operators.features import numeric_columns
-from loanloom.operators.ordered import order_cuts
+from loanloom.operators.ordered import order_cuts, small_copy
 from loanloom.operators.scoring import DECISION_THRESHOLD, class_weights, predicted_label
 from loanloom.session import materialise
 
@@ -56,7 +56,7 @@ def stratified_split(df: DataFrame, test_share: float = TEST_SHARE, label: str =
     partitioning; the cut per class comes from range totals, not from a window over a class.
     """
     hashed = df.withColumn("__hash", stable_hash(F.col(key), seed))
-    cuts = order_cuts(hashed, "__hash", {"__cut": test_share}, by=[label])
+    cuts = small_copy(order_cuts(hashed, "__hash", {"__cut": test_share}, by=[label]))
     return (hashed.join(cuts, label, "left")
             .withColumn("split", F.when(F.col("__hash") <= F.col("__cut"), "test").otherwise("train"))
             .drop("__hash", "__cut"))
@@ -67,15 +67,14 @@ def stratified_folds(df: DataFrame, folds: int = FOLDS, label: str = LABEL, seed
     """Add ``fold`` 0 .. folds-1, each holding the same share of every class."""
     hashed = df.withColumn("__hash", stable_hash(F.col(key), seed + 1))
     names = [f"__cut{i}" for i in range(1, folds)]
-    cuts = order_cuts(hashed, "__hash", {name: i / folds for i, name in enumerate(names, 1)}, by=[label])
+    cuts = small_copy(order_cuts(hashed, "__hash", {name: i / folds for i, name in enumerate(names, 1)}, by=[label]))
     passed = sum((F.when(F.col("__hash") > F.col(name), 1).otherwise(0) for name in names), F.lit(0))
     return hashed.join(cuts, label, "left").withColumn("fold", passed.cast("int")).drop("__hash", *names)
 
 
 def with_class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Attach the balanced class weight (two rows, so the join is a broadcast)."""
-    weights = class_weights(df, label).select(label, WEIGHT)
-    return df.join(F.broadcast(weights), label)
+    """Attach the balanced class weight."""
+    return df.join(small_copy(class_weights(df, label).select(label, WEIGHT)), label)
 
 
 def training_set(features: DataFrame, inputs: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
@@ -169,6 +168,24 @@ def compare(data: DataFrame, inputs: Sequence[str], names: Sequence[str] = (LOGI
     return report, models
 
 
+def metrics_document(report: DataFrame) -> DataFrame:
+    """The comparison as one nested record: metrics per model, the best one, test share, inputs."""
+    metrics = F.struct("auc_roc", "f1_score", "avg_precision", "cv_auc_mean", "cv_auc_std")
+    return report.agg(
+        F.map_from_entries(F.collect_list(F.struct("model", metrics))).alias("models"),
+        F.max(F.when(F.col("best"), F.col("model"))).alias("best_model"),
+        F.max("auc_roc").alias("best_auc"), F.max("test_size").alias("test_size"),
+        F.max("n_features").alias("n_features"))
+
+
+def importance_document(ranked: DataFrame, value: str) -> DataFrame:
+    """A ranked feature list as one record with two parallel arrays, largest first."""
+    pairs = F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("minus"), F.col("feature"))))
+    return ranked.agg(pairs.alias("pairs")).select(
+        F.transform("pairs", lambda p: p["feature"]).alias("features"),
+        F.transform("pairs", lambda p: -p["minus"]).alias(value))
+
+
 def best_model(report: DataFrame, models: dict[str, PipelineModel]) -> tuple[str, PipelineModel]:
     name = report.where("best").first()["model"]
     return name, models[name]

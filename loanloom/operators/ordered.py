@@ -22,12 +22,19 @@ from pyspark.sql import functions as F
 
 BUCKET = "__range"
 TOTAL = "__total"
-DEFAULT_BUCKETS = 256
+MIN_BUCKETS, MAX_BUCKETS = 256, 4096
 SMALL_ROWS = 100_000
 
 
-def range_bounds(df: DataFrame, column: str, buckets: int = DEFAULT_BUCKETS) -> list[float]:
+def bucket_default(df: DataFrame) -> int:
+    """As many ranges as shuffle partitions, within limits, so that all cores have work."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(partitions, MIN_BUCKETS), MAX_BUCKETS)
+
+
+def range_bounds(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
     """Ascending, distinct bounds that cut ``column`` into about equal parts."""
+    buckets = buckets or bucket_default(df)
     if buckets < 2:
         return []
     probs = [i / buckets for i in range(1, buckets)]
@@ -65,7 +72,7 @@ def _range_offsets(tagged: DataFrame, by: Sequence[str], measures: dict[str, str
 
 
 def running_totals(df: DataFrame, order: str, measures: dict[str, str], by: Sequence[str] = (),
-                   descending: bool = False, buckets: int = DEFAULT_BUCKETS,
+                   descending: bool = False, buckets: int | None = None,
                    totals: dict[str, str] | None = None, bounds: Sequence[float] | None = None) -> DataFrame:
     """Add inclusive running sums over ``order`` inside each ``by`` group.
 
@@ -88,7 +95,7 @@ def running_totals(df: DataFrame, order: str, measures: dict[str, str], by: Sequ
 
 
 def values_at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column], Column]],
-                    by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Per group, the values at given zero-based ranks, and the row count as ``TOTAL``.
 
     A first pass only counts rows per (group, range): a tiny shuffle.  The counts
@@ -111,7 +118,7 @@ def values_at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column
     wanted = F.lit(False)
     for rank in ranks.values():
         wanted = wanted | holds(rank(F.col(TOTAL)), "__off", "__size")
-    picked = _small_copy(offsets.where(wanted).drop("__size"))
+    picked = small_copy(offsets.where(wanted).drop("__size"))
     counts = (tagged.join(picked, [*by, BUCKET])
               .groupBy(*by, BUCKET, "__off", TOTAL, value).agg(F.count(F.lit(1)).alias("__n")))
     inside = (Window.partitionBy(*by, BUCKET).orderBy(value)
@@ -122,7 +129,7 @@ def values_at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column
         for name, rank in ranks.items()])
 
 
-def _small_copy(df: DataFrame) -> DataFrame:
+def small_copy(df: DataFrame) -> DataFrame:
     """A broadcast copy of a table whose size has been checked by fetching it.
 
     Beyond the limit the table stays distributed and Spark picks the join.
@@ -134,7 +141,7 @@ def _small_copy(df: DataFrame) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (NULLs ignored)."""
     def place(p: float, total: Column) -> Column:
         return F.lit(float(p)) * (total - 1)
@@ -154,7 +161,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequ
 
 
 def quantile_values(df: DataFrame, value: str, probs: Sequence[float],
-                    buckets: int = DEFAULT_BUCKETS) -> list[float]:
+                    buckets: int | None = None) -> list[float]:
     """Exact quantiles of one column as plain numbers, for use as model parameters."""
     named = {f"q{i}": p for i, p in enumerate(probs)}
     row = exact_quantiles(df, value, named, buckets=buckets).first()
@@ -164,7 +171,7 @@ def quantile_values(df: DataFrame, value: str, probs: Sequence[float],
 
 
 def order_cuts(df: DataFrame, key: str, fractions: dict[str, float], by: Sequence[str] = (),
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     """Per group, the last key among the first ``round(fraction * rows)`` rows in key order.
 
     Comparing a row's key with a cut selects an exact share of every group

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions import bands
@@ -95,8 +95,9 @@ def assign_risk_tiers(df: DataFrame, probability: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str = "defaulted") -> DataFrame:
     """Balanced weight ``n / (classes * n_class)`` per label value."""
     per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("support"))
-    total = per_class.agg(F.struct(F.sum("support").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
-    return per_class.withColumn("class_weight", total["rows"] / (total["classes"] * F.col("support")))
+    every_class = Window.partitionBy()
+    rows, classes = F.sum("support").over(every_class), F.count(F.lit(1)).over(every_class)
+    return per_class.withColumn("class_weight", rows / (classes * F.col("support")))
 
 
 def predicted_label(probability: Column, threshold: float = DECISION_THRESHOLD) -> Column:

@@ -49,12 +49,14 @@ def run(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
     data, inputs = models.training_set(matrix)
     report, fitted = models.compare(data, inputs, model_names, cross_validated)
     name, model = models.best_model(report, fitted)
-    tables.write_metrics(report, out.path("model_metrics"))
+    tables.write_metrics(models.metrics_document(report), out.path("model_metrics"))
     for label, each in fitted.items():
         tables.save_model(each, out.path("models/" + label.replace(" ", "_")))
-    tables.write_metrics(models.feature_importance(model, inputs, spark), out.path("feature_importance"))
-    tables.write_metrics(models.explain(name, model, data, inputs).withColumn("model", F.lit(name)),
-                         out.path("shap_feature_importance"))
+    ranked = models.feature_importance(model, inputs, spark)
+    tables.write_metrics(models.importance_document(ranked, "importance"), out.path("feature_importance"))
+    shares = models.importance_document(models.explain(name, model, data, inputs), "mean_abs_shap")
+    tables.write_metrics(shares.withColumn("model", F.lit(name)), out.path("shap_feature_importance"))
+    tables.write_metrics(audit.auc_target(report), out.path("auc_target"))
 
     # Scores cover the whole book, the training rows too.
     scored = models.score(model, models.prepare(matrix, inputs)[0])

@@ -42,6 +42,14 @@ def test_hot_customers_keep_the_same_rates(spark):
         assert a.asDict() == pytest.approx(b.asDict())
 
 
+def test_hot_list_is_bounded(spark):
+    data = repayments(spark, {f"c{i}": "O" * (50 if i == 0 else 3) for i in range(30)})
+    assert features.hot_keys(data, "customer_id", 10) == ["c0"]
+    assert len(features.hot_keys(data, "customer_id", 1)) == 30
+    # 30 keys pass the first limit but only one owns more than a fifth of the rows.
+    assert features.hot_keys(data, "customer_id", 1, most=5) == ["c0"]
+
+
 def test_same_day_rows_follow_the_tie_break(spark):
     rows = [("c", DAY, 1.0, 0.0, s, k) for k, s in enumerate(["Missed", "On-Time", "Missed", "Missed"])]
     df = spark.createDataFrame(rows, "customer_id string, due_date date, emi_amount double, paid_amount double, "

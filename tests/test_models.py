@@ -33,7 +33,14 @@ def test_logistic_model_learns_the_label(bank):
     assert weights["credit_score"] < 0 < weights["emi_to_income_ratio"]
     top = models.explain(name, model, data, inputs, k=5)
     assert top.first()["feature"] == "credit_score" and top.count() == 5
-    assert models.feature_importance(model, inputs, bank.spark).count() == 20
+    ranked = models.feature_importance(model, inputs, bank.spark)
+    assert ranked.count() == 20
+    listed = models.importance_document(ranked, "importance").first()
+    assert listed["features"] == [r["feature"] for r in ranked.collect()]
+    assert listed["importance"] == sorted(listed["importance"], reverse=True)
+    document = models.metrics_document(report).first()
+    assert document["best_model"] == models.LOGISTIC == name
+    assert document["models"][name]["auc_roc"] == document["best_auc"] == row["auc_roc"]
 
 
 def test_linear_contributions(spark):
