@@ -21,13 +21,18 @@ SEGMENT_LONG = {
 
 
 def customer_360(customers: DataFrame, risk: DataFrame | None = None, clv: DataFrame | None = None,
-                 segments: DataFrame | None = None) -> DataFrame:
-    """Customers with whichever model outputs exist.  Every side has one row per customer."""
+                 segments: DataFrame | None = None, skip_empty: bool = False) -> DataFrame:
+    """Customers with whichever model outputs exist.  Every side has one row per customer.
+
+    An empty side gives NULL columns; with ``skip_empty`` it gives none, at the
+    price of a look at each side.
+    """
     wanted = [(risk, ["default_probability", "risk_tier"]), (clv, ["estimated_clv", "clv_segment"]),
               (segments, ["segment"])]
     book = customers
     for side, columns in wanted:
-        if side is not None and set(columns) <= set(side.columns):
+        absent = side is None or not set(columns) <= set(side.columns) or (skip_empty and side.isEmpty())
+        if not absent:
             book = book.join(side.select("customer_id", *columns), "customer_id", "left")
     return book
 

@@ -270,8 +270,14 @@ def sampled_shapley(model: PipelineModel, data: DataFrame, inputs: Sequence[str]
 
 
 def explain(name: str, model: PipelineModel, data: DataFrame, inputs: Sequence[str], k: int = 20) -> DataFrame:
-    """Mean absolute contributions on the test rows: exact for the linear model, sampled for trees."""
+    """Mean absolute contributions on the test rows: exact for the linear model, sampled for trees.
+
+    A model that predicts no probability falls back to its own importances.
+    """
     test = data.where(F.col("split") == "test")
     if name == LOGISTIC:
         return linear_model_shapley(model, test, inputs, k)
+    if not model.stages[-1].hasParam("probabilityCol"):
+        native = feature_importance(model, inputs, data.sparkSession, k)
+        return native.withColumnRenamed("importance", "mean_abs_shap")
     return sampled_shapley(model, test, inputs, k=k)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import functools
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +36,10 @@ def kept(method):
     """Build a relation or a fitted parameter once per bank."""
     @functools.wraps(method)
     def once(self):
-        if method.__name__ not in self._kept:
-            self._kept[method.__name__] = method(self)
-        return self._kept[method.__name__]
+        with self._lock:
+            if method.__name__ not in self._kept:
+                self._kept[method.__name__] = method(self)
+            return self._kept[method.__name__]
     return once
 
 
@@ -48,6 +50,8 @@ class Bank:
         self.spark = spark
         self.tables = bank_views.DriverTables(spark, sf_dir)
         self._kept: dict[str, object] = {}
+        # Reports may be asked for from several threads; a stage is still built once.
+        self._lock = threading.RLock()
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Bank":
@@ -209,8 +213,9 @@ class Bank:
 
     def trained(self, name: str):
         """A model fitted on the training rows, kept for the reports that read it."""
-        if name not in self._kept:
-            data, inputs = self.training()
-            train = data.where(F.col("split") == "train")
-            self._kept[name] = models.estimators(inputs, train.count())[name].fit(train)
-        return self._kept[name]
+        with self._lock:
+            if name not in self._kept:
+                data, inputs = self.training()
+                train = data.where(F.col("split") == "train")
+                self._kept[name] = models.estimators(inputs, train.count())[name].fit(train)
+            return self._kept[name]

@@ -27,6 +27,9 @@ def test_book_skips_absent_sides(spark):
     assert book.customer_360(customers).columns == ["customer_id", "city"]
     empty = spark.createDataFrame([], "customer_id string")
     assert book.customer_360(customers, risk=empty).columns == ["customer_id", "city"]
+    none = spark.createDataFrame([], "customer_id string, segment int")
+    assert book.customer_360(customers, segments=none, skip_empty=True).columns == ["customer_id", "city"]
+    assert tuple(book.customer_360(customers, segments=none).first()) == ("a", "x", None)
 
 
 def test_filters(spark):

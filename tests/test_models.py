@@ -65,6 +65,18 @@ def test_sampled_contributions_add_up(spark):
     assert got[0]["mean_abs_shap"] > 2 * got[1]["mean_abs_shap"]
 
 
+def test_models_without_a_probability_fall_back(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+    df = spark.createDataFrame([(f"c{i}", i % 2, float(i % 2), float(i), "test") for i in range(40)],
+                               "customer_id string, defaulted int, a double, b double, split string")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"),
+                             DecisionTreeRegressor(labelCol="defaulted")]).fit(df)
+    got = models.explain("tree", model, df, ["a", "b"])
+    assert got.columns == ["feature", "mean_abs_shap"] and got.first()["feature"] == "a"
+
+
 def test_clusters_and_names(spark):
     rng = np.random.default_rng(1)
     centres = {"rich": (4.0, 0.0, 0.0), "risky": (0.0, 4.0, 0.0), "leaving": (0.0, 0.0, -6.0), "rest": (0.0, 0.0, 3.0)}
