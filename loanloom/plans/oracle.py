@@ -677,6 +677,19 @@ sql("forecast_calendar", ["series_cat"], """
 select category, step::int as step, cast(last + to_months(cast(step as int)) as date) as month
 from (select category, last, unnest(range(1, 13)) as step
   from (select category, max(month) as last from series_cat group by 1))""")
+sql("csv_scan", ["customers"], """
+select customer_id, age, round(income, 4) as income, employment_type, city, account_type, tenure_months, credit_score,
+  has_loan, round(loan_amount, 4) as loan_amount, loan_tenure_months, round(interest_rate_pct, 4) as interest_rate_pct,
+  has_credit_card, round(credit_limit, 4) as credit_limit, round(cc_balance, 4) as cc_balance, defaulted
+from customers""")
+sql("csv_scan_with_dates", ["series"], "select month, round(revenue, 2) as revenue from series")
+sql("json_scan", ["clv_estimates"], """
+select customer_id, round(estimated_clv, 2) as estimated_clv, clv_segment,
+  round(annual_revenue_est, 2) as annual_revenue_est, round(default_probability, 2) as default_probability
+from clv_estimates""")
+sql("uploaded_csv", ["risk_scored"], """
+select risk_tier, count(*) as n, round(avg(credit_score), 4) as avg_credit_score from risk_scored group by 1""")
+
 ORPHANS = """(select count(*) from {t} x where not exists (select 1 from people p where p.customer_id = x.customer_id))"""
 AUDITED = {"customers": "people", "repayment_history": "repayment_history", "transactions": "transactions",
            "risk_scored": "risk_scored", "clv_estimates": "clv_values", "customer_segments": "customer_segments"}

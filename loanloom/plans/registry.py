@@ -8,16 +8,20 @@ another order agree.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanloom import schemas
 from loanloom.functions.columns import half_up
 from loanloom.operators import (audit, book, distributions, evaluation, features, forecast, models,
                                 portfolio, scoring, segments)
 from loanloom.plans.bank import TIE_BREAK, Bank
+from loanloom.session import ensure_checkpoint_dir
+from loanloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -567,6 +571,40 @@ def arima_forecast_by_category(b: Bank):
     return rounded(forecast.arima_forecast(b.category_revenue(), by=["category"]), 2)
 
 
+# -- files -------------------------------------------------------------------------------------
+
+def _through_file(b: Bank, df: DataFrame, table: str, fmt: str) -> DataFrame:
+    """Write a table and scan it back with its declared schema."""
+    path = f"{ensure_checkpoint_dir(b.spark)}/{table}-{uuid.uuid4().hex}.{fmt}"
+    tables.write_table(df.select(*schemas.BY_NAME[table].names), path, fmt)
+    return tables.read_table(b.spark, path, table, fmt)
+
+
+@query
+def csv_scan(b: Bank):
+    return rounded(_through_file(b, b.customers(), "customers", "csv"), 4)
+
+
+@query
+def csv_scan_with_dates(b: Bank):
+    return rounded(_through_file(b, b.revenue(), "monthly_revenue", "csv"), 2)
+
+
+@query
+def json_scan(b: Bank):
+    return rounded(_through_file(b, b.clv(), "clv_estimates", "json"), 2)
+
+
+@query
+def uploaded_csv(b: Bank):
+    """A CSV of unknown types replaces the working table."""
+    path = f"{ensure_checkpoint_dir(b.spark)}/uploaded-{uuid.uuid4().hex}.csv"
+    tables.write_table(b.risk(), path, "csv")
+    uploaded = tables.read_uploaded_csv(b.spark, path)
+    return (uploaded.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"),
+                                              half_up(F.avg("credit_score"), 4).alias("avg_credit_score")))
+
+
 # -- audit -----------------------------------------------------------------------------------
 
 def _audited(b: Bank) -> dict[str, DataFrame]:
@@ -601,6 +639,15 @@ def train_gbt(b: Bank):
     return _scores(b, models.BOOSTING)
 
 
+@query
+def saved_model_scores(b: Bank):
+    """Scores of the logistic model after saving and loading it."""
+    path = f"{ensure_checkpoint_dir(b.spark)}/model-{uuid.uuid4().hex}"
+    tables.save_model(b.trained(models.LOGISTIC), path)
+    data, _ = b.training()
+    return models.score(tables.load_model(path), data).select("customer_id", "p_default", "predicted")
+
+
 @query
 def cv_auc(b: Bank):
     """Five-fold AUC of the logistic model."""

@@ -1,8 +1,7 @@
 """Banking tables derived from the driver's order tables.
 
-Each builder takes the columns it should produce, so that joins whose columns nobody asked for are
-left out of the plan (every order has a customer and every line an order and a
-part, so leaving the join out keeps the same rows).
+``transactions`` takes the columns it should produce and leaves out joins nobody
+needs: every line has an order and a part, so the rows stay the same.
 """
 
 from __future__ import annotations

@@ -101,6 +101,19 @@ def test_labels_do_not_depend_on_partitioning(spark):
     assert set(r["y"] for r in once.collect()) == {0, 1}
 
 
+def test_scorer_fits_and_labels(spark):
+    rows = [(f"c{i}", 1000.0 * i, 300 + 6 * i, 0, 0.0, 0, 0.0, 0.0, "Retired") for i in range(101)]
+    df = spark.createDataFrame(rows, "customer_id string, income double, credit_score long, has_loan long, "
+                                     "loan_amount double, loan_tenure_months long, credit_limit double, "
+                                     "cc_balance double, employment_type string")
+    scale = scoring.fit_risk_scale(df)
+    cuts = scoring.fit_label_cuts(df.withColumn("risk_score", scoring.risk_score(scale)))
+    out = {r["customer_id"]: r for r in scoring.with_label(df, scale, cuts).collect()}
+    assert out["c100"]["risk_score"] == 0.0 and out["c0"]["risk_score"] == pytest.approx(1.0)
+    assert out["c0"]["defaulted"] == 1 and out["c100"]["defaulted"] == 0
+    assert 45 <= sum(r["defaulted"] for r in out.values()) <= 56
+
+
 def test_scenarios(spark):
     book = spark.createDataFrame(
         [("a", 1000.0, 600, 0.0, 0.5, 100.0, 12.0, 24, 12, "Retired", 0.2, 50.0)],

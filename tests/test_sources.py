@@ -77,6 +77,16 @@ def test_bucketed_stages_join_without_a_shuffle(spark, monkeypatch):
     assert joined.where("v = w").count() == 100
 
 
+def test_stages_can_be_released(spark):
+    session.materialise(spark.range(3).selectExpr("cast(id as string) customer_id"), "gone", "customer_id", 3)
+    assert any(t.name.startswith("gone_") for t in spark.catalog.listTables())
+    kept = list(session._stage_tables)
+    session._stage_tables[:] = kept[-1:]
+    session.release_stages(spark)
+    session._stage_tables[:] = kept[:-1]
+    assert not any(t.name.startswith("gone_") for t in spark.catalog.listTables())
+
+
 def test_checkpoint_folder_is_found_once(spark):
     folder = session.ensure_checkpoint_dir(spark)
     assert session.ensure_checkpoint_dir(spark) == folder
