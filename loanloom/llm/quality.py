@@ -5,7 +5,8 @@ covariance is shrunk towards the pooled one, and that towards its diagonal
 mean.  The score is the logistic of the difference of the two log-densities (and log-priors),
 each from a Mahalanobis distance through the Cholesky factor kept in the model.
 
-Means and covariances come from moments that Spark sums over all labelled rows.
+Means and covariances come from moments that Spark sums over at most ``SAMPLE_PER_CLASS``
+labelled rows of each class, taken by key hash; class shares come from all labels.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.frames import map_arrow, quoted, unused
+from loanloom.llm.frames import map_arrow, unused
+from loanloom.llm.sampling import sampled_texts
 from loanloom.llm.tokens import SPACES, slices, span_hashes, spans, utf8
 
+SAMPLE_PER_CLASS = 20_000
 #: Shrinkage of a class covariance to the pooled one, and of the pooled one to its diagonal.
 TO_POOLED, TO_DIAGONAL = 0.1, 0.02
 #: Log-density differences are divided by this before the logistic: the statistics are not independent draws.
@@ -103,10 +106,11 @@ class QualityModel:
         return 1.0 / (1.0 + np.exp(-gap))
 
 
-def fit(training: DataFrame, text_column: str = "text", label_column: str = "quality") -> QualityModel | None:
-    """Fit on all rows with label 0 or 1 (a null text counts as empty); None if a class has no row."""
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+        label_column: str = "quality", sample: int = SAMPLE_PER_CLASS) -> QualityModel | None:
+    """Fit on documents whose id has label 0 or 1 (a null text counts as empty); None if a class has no row."""
     d = len(STATISTICS)
-    rows = training.select(quoted(text_column).alias("text"), quoted(label_column).cast("int").alias("label")).where("label in (0, 1)")
+    rows, counts = sampled_texts(docs, labels, sample, id_column, text_column, label_column)
 
     def moments(batches):
         total = np.zeros((2, 1 + d + d * d))
@@ -135,7 +139,8 @@ def fit(training: DataFrame, text_column: str = "text", label_column: str = "qua
     pooled = scatter.sum(axis=0) / max(n.sum() - 2, 1)
     pooled = (1 - TO_DIAGONAL) * pooled + TO_DIAGONAL * np.diag(np.diag(pooled)) + 1e-3 * np.eye(d)
     factors = [np.linalg.cholesky((1 - TO_POOLED) * scatter[k] / max(n[k] - 1, 1) + TO_POOLED * pooled) for k in (0, 1)]
-    return QualityModel(centre, scale, [(m - centre) / scale for m in mean], factors, np.log(n / n.sum()))
+    shares = np.array([counts[k] for k in (0, 1)], dtype=float)
+    return QualityModel(centre, scale, [(m - centre) / scale for m in mean], factors, np.log(shares / shares.sum()))
 
 
 def score_rows(docs: DataFrame, model: QualityModel | None, text_column: str = "text",
