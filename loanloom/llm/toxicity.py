@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.frames import map_arrow, quoted, stored, unused
+from loanloom.llm.frames import map_arrow, stored, unused
+from loanloom.llm.sampling import sampled_texts
 from loanloom.llm.tokens import NON_WORD, mixed, slices, span_hashes, spans, utf8
 
 SAMPLE_PER_CLASS = 8_000
@@ -159,18 +160,13 @@ def _evd(scores: np.ndarray, shares: np.ndarray, drift_share: float) -> tuple[fl
     return low, float(np.clip(1.0 - drift_share * np.exp(-low * DRIFT), 1e-3, 1.0))
 
 
-def fit(training: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
-        sample: int = SAMPLE_PER_CLASS) -> ToxicityModel | None:
-    """Fit on rows with label 0 or 1 and a text; None if a class has no row."""
-    rows = training.select(quoted(id_column).alias("id"), quoted(text_column).alias("text"),
-                           quoted(label_column).cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    all_counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+        label_column: str = "toxic", sample: int = SAMPLE_PER_CLASS) -> ToxicityModel | None:
+    """Fit on documents whose id has label 0 or 1 (a null text counts as empty); None if a class has no row."""
+    drawn, all_counts = sampled_texts(docs, labels, sample, id_column, text_column, label_column)
     if len(all_counts) < 2:
         return None
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    keys = rows.select("id", "label").withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
-    # At most two samples of keys: small enough to broadcast whatever the input.
-    drawn = stored(rows.join(F.broadcast(keys.select("id", "label").distinct()), ["id", "label"]).select("text", "label"), "toxicity-sample")
+    drawn = stored(drawn, "toxicity-sample")
 
     def count_tokens(batches):
         for batch in batches:
