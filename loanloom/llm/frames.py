@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,12 @@ def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator
 def bucket_of(column: Column, modulus: int) -> Column:
     """CRC-32 of the decimal text of an id, modulo ``modulus`` (null for a null id)."""
     return F.crc32(column.cast("string").cast("binary")) % modulus
+
+
+def sent(spark: SparkSession, value) -> Broadcast:
+    """Broadcast ``value`` with its classes, for :func:`received`; only for values of a fixed largest size."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(held: Broadcast):
+    return cloudpickle.loads(held.value)

@@ -7,22 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import language, quality, toxicity
+from loanloom.llm import decontamination, language, line_dedup, near_duplicates, pieces, quality, toxicity, url_filter
 from loanloom.llm.frames import bucket_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def labelled(spark: SparkSession, sf_dir: str, folds: int, held_out: int) -> DataFrame:
-    """Training documents: those with a label whose id does not fall into the held-out fold."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    keep = bucket_of(F.col("doc_id"), folds) != held_out
-    return docs.where(keep).join(read_table(spark, sf_dir, "labels").where(keep), "doc_id")
+def labels_outside(spark: SparkSession, sf_dir: str, folds: int, held_out: int) -> DataFrame:
+    """Labels of the ids that do not fall into the held-out fold."""
+    return read_table(spark, sf_dir, "labels").where(bucket_of(F.col("doc_id"), folds) != held_out)
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = line_dedup.without_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+  from documents),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines),
+repeated as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= 40
+  group by key having count(distinct doc_id) >= 5),
+judged as (
+  select k.*, r.key is not null and k.doc_id <> r.keeper as gone
+  from keyed k left join repeated r on k.key = r.key)
+select doc_id, count(*) as n_lines, cast(sum(gone::int) as bigint) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(read_table(spark, sf_dir, "documents"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(labelled(spark, sf_dir, 4, 2))
-    scored = quality.score_rows(read_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_rows(docs, quality.fit(docs, labels_outside(spark, sf_dir, 4, 2)))
     return scored.select("doc_id", (bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
@@ -34,13 +66,80 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+#: The rules of the query: host, path and verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _normal_form_sql(url: str) -> tuple[str, str, str]:
+    rest = f"(case when position('://' in {url}) > 0 then substr({url}, position('://' in {url}) + 3) else '' end)"
+    host = f"translate(regexp_extract({rest}, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = f"regexp_extract({rest}, '(?s)^[^/?#]*([^?#]*)', 1)"
+    query = f"regexp_extract({rest}, '(?s)^[^?#]*\\?([^#]*)', 1)"
+    kept = f"regexp_replace(regexp_replace({query}, '{url_filter.TRACKING}', '', 'g'), '^&', '')"
+    return host, path, f"{host} || regexp_replace({path}, '/+$', '') || case when {kept} <> '' then '?' || {kept} else '' end"
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _op8_sql() -> str:
+    host, path, node = _normal_form_sql("coalesce(url, '')")
+    _, _, target = _normal_form_sql("whole")
+    longest = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = [f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}')" for h, p, _ in longest]
+    rule = "case " + " ".join(f"{f} then '{h + p}'" for f, (h, p, _) in zip(fits, longest)) + " end"
+    own = "case " + " ".join(f"{f} then '{v}'" for f, (_, _, v) in zip(fits, longest)) + " end"
+    return f"""
+with recursive named as (select page_id, url, html, {host} as host, {path} as path, nullif({node}, '') as node from pages),
+ruled as (select *, {rule} as rule, {own} as own from named),
+tags as (
+  select url, host, path, node as u, unnest(regexp_extract_all(regexp_replace(html, {_sql_text(url_filter.NOISE)}, ' ', 'g'), {_sql_text(url_filter.TAGS)})) as tag
+  from named where node is not null),
+targets as (
+  select u, url, host, path, replace(case when regexp_matches(tag, {_sql_text(url_filter.CANONICAL)}) then regexp_extract(tag, {_sql_text(url_filter.HREF)}, 1)
+         when regexp_matches(tag, {_sql_text(url_filter.REFRESH)}) then regexp_extract(tag, {_sql_text(url_filter.REFRESH_URL)}, 1) end, '&amp;', '&') as target,
+         regexp_extract(url, '^([^:/?#]*)://', 1) as scheme
+  from tags),
+wholes as (
+  select u, case when contains(target, '://') then target when starts_with(target, '//') then scheme || ':' || target
+              when starts_with(target, '/') then scheme || '://' || host || target
+              else scheme || '://' || host || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || target end as whole
+  from targets where target <> ''),
+links as (select u, {target} as v from wholes),
+ties as (select u, v from links where u <> '' and v <> '' union select v, u from links where u <> '' and v <> ''),
+condemned as (select node from ruled where own = 'block' union select t.v from condemned c join ties t on t.u = c.node)
+select page_id, host, path, rule,
+       coalesce(own, case when node in (select node from condemned where node is not null) then 'block' end, 'allow') as verdict,
+       case when own is not null then 'rule' when node in (select node from condemned where node is not null) then 'alias' else 'none' end as decided_by
+from ruled
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(labelled(spark, sf_dir, 5, 0))
-    scored = toxicity.score_rows(read_table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_rows(docs, toxicity.fit(docs, labels_outside(spark, sf_dir, 5, 0)))
     return scored.select("doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
                          F.size("passages").alias("n_passages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_quality_classifier, op7_language_id, op9_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each sampled segmentation, with a digest of its ids and whether decoding gives the text back."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    read_back = pieces.decode(pieces.encode(docs))
+    each = read_back.select("doc_id", "text", F.posexplode(F.arrays_zip("segmentations", "texts")).alias("place", "one"))
+    return each.select("doc_id", (F.col("place") + 1).alias("draw"), F.size("one.segmentations.ids").alias("n_pieces"),
+                       F.xxhash64("one.segmentations.ids").alias("ids_hash"), F.col("one.segmentations.log_prob").alias("log_prob"),
+                       F.col("one.segmentations.log_inclusion").alias("log_inclusion"), (F.col("one.texts") == F.col("text")).alias("restored"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_decontamination, op3_line_dedup, op4_near_dedup, op5_quality_classifier, op7_language_id, op8_url_filter,
+    op9_toxicity, op10_sentencepiece)}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_url_filter": _op8_sql()}
