@@ -1,20 +1,55 @@
-"""A cleaning pipeline over ``documents``: each stage keeps or rewrites rows and hands them on."""
+"""A cleaning pipeline over ``documents``: each stage keeps or rewrites rows and hands them on as a table.
+
+Every stage works on all rows its predecessor kept.  The first four return the columns of
+``documents``; the last returns each document's token ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanloom.llm import language
+from loanloom.llm import decontamination, language, line_dedup, near_duplicates, pieces
 from loanloom.llm.frames import read_table, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; the model learns from all rows that name a language."""
+    """Documents whose language is recognised; the model learns from the rows that name one."""
     return language.accepted_rows(docs, language.fit(docs))
 
 
-STAGES = [("language_id", language_id)]
-#: The stages train models and sample; SQL can't express them, so tests hold them against brute force.
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat in others; ``n_chars`` follows the text."""
+    kept, added = line_dedup.without_repeated_lines(docs)
+    kept = kept.drop(*added.values())
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each near-duplicate class."""
+    return near_duplicates.one_of_each_class(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return decontamination.clean_rows(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of each document, and whether they all decode to its text."""
+    read_back = pieces.decode(pieces.encode(docs))
+    restored = F.forall("texts", lambda t: t == F.col("text"))
+    return read_back.select(*[c for c in docs.columns if c != "text"], "segmentations", restored.alias("restored"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("sentencepiece", sentencepiece),
+]
+#: The stages train models and draw samples; SQL cannot express them, so tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import decontamination, language, line_dedup, near_duplicates, pieces, quality, toxicity, url_filter
+from loanloom.llm import (decontamination, html_text, language, line_dedup, near_duplicates, neighbours, pieces, quality,
+                          toxicity, url_filter)
 from loanloom.llm.frames import bucket_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, _ = line_dedup.without_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
@@ -59,6 +65,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), k=20, query_step=20)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.where(bucket_of(F.col("doc_id"), 5) != 0))
@@ -140,6 +150,6 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_decontamination, op3_line_dedup, op4_near_dedup, op5_quality_classifier, op7_language_id, op8_url_filter,
-    op9_toxicity, op10_sentencepiece)}
+    op1_decontamination, op2_html_extraction, op3_line_dedup, op4_near_dedup, op5_quality_classifier,
+    op6_nearest_neighbours, op7_language_id, op8_url_filter, op9_toxicity, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_url_filter": _op8_sql()}
