@@ -95,7 +95,7 @@ def _twice_seen(keys: DataFrame, bits: int) -> DataFrame:
             at = np.flatnonzero(np.diff(segment, prepend=-1))
             ends = np.append(at, len(segment))
             lists = pa.ListArray.from_arrays(pa.array(ends * 2, pa.int32()), pa.array(inside.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(segment[at]), pa.array([name == "twice"] * len(at)), lists], ["segment", "again", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(segment[at]), pa.array([name == "twice"] * len(at), pa.bool_()), lists], ["segment", "again", "bits"])
 
     def merged(batches):
         own, once, twice = None, None, None

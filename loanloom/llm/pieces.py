@@ -37,6 +37,7 @@ ALPHA = 0.2
 CHUNK = 1 << 20
 _PARTS = re.compile(r"\n| *[^ \n]+| +")
 _STEP, _SPREAD, _TABLE_BITS = 0x100000001B3, 0x9E3779B97F4A7C15, 19
+_QUANTA = float(1 << 30)
 
 
 @dataclass
@@ -152,9 +153,14 @@ class Lattices:
             after[at[e[heads]]] = total
             self.log[e] = w - np.repeat(total, spread)
         self.first = np.searchsorted(at, np.arange(n + 1))
-        whole = np.concatenate(([0.0], np.cumsum(np.exp(self.log))))
-        #: Node number plus the probability of this and the earlier edges of the node.
-        self.reach = at + whole[1:] - whole[self.first[at]]
+        # Probability of an edge and the earlier ones of its node, added within the node alone and in
+        # steps that stay exact beside the node number: a draw must not hang on what else is in the slice.
+        share = np.exp(self.log)
+        rank = np.arange(len(at)) - self.first[at]
+        for k in range(1, int(rank.max(initial=0)) + 1):
+            e = np.flatnonzero(rank == k)
+            share[e] += share[e - 1]
+        self.reach = at + np.rint(share * _QUANTA) / _QUANTA
         if n:
             self.reach[self.first[1:] - 1] = np.arange(n) + 1.0
 
@@ -186,7 +192,8 @@ class Search:
         steps, going, step = [], np.arange(len(parts)), 0
         nodes = nodes.copy()
         while len(going):
-            u = np.minimum(self._uniform(self.row[parts[going]], parts[going] - self.begin[self.row[parts[going]]], self.draws * 4096 + step), 1 - 1e-9)
+            u = self._uniform(self.row[parts[going]], parts[going] - self.begin[self.row[parts[going]]], self.draws * 4096 + step)
+            u = np.floor(u * _QUANTA) / _QUANTA
             edges = np.searchsorted(self.reach, nodes[going] + u, side="right")
             steps.append((going, nodes[going], edges))
             nodes[going] = self.target[edges]
@@ -242,8 +249,9 @@ class Search:
         # Log-probability of what precedes each step of its row.
         fixed = [starts[r][0] for r in order]
         base = np.array([0.0 if p is None else p[3][-1] + self.log[p[2][-1]] for p in fixed])
-        sums = np.concatenate(([0.0], np.cumsum(logs)))
-        before = sums[:-1] + np.repeat(base - sums[cuts[:-1]], counts)
+        before = np.empty(len(logs))
+        for a, b, known in zip(cuts[:-1], cuts[1:], base):
+            before[a:b] = np.cumsum(np.append(known, logs[a:b]))[:-1]
         # Bound of the part left at each step: a Gumbel of the mass of the other edges, truncated at the bound of the path.
         others = np.log(-np.expm1(np.minimum(logs, 0.0)) + 1e-300)
         waits = -np.log(self._uniform(self.row[step_part], np.arange(len(edges)) - np.repeat(cuts[:-1], counts), self.draws * 4096 + 4095))
