@@ -36,12 +36,14 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
     """
     a, b = quoted(left), quoted(right)
     edges = stored(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "components-edges")
-    before = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    while not _settled(edges):
         edges = _star(_star(edges, large=True), large=False)
-    # Every node but the least now has exactly one link, to the least.
+    # Every node but the least of its component has exactly one link, to the least.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one lower neighbour at most, and that one has none."""
+    ends = edges.groupBy("u").agg(F.count("*").alias("below")).union(
+        edges.select(F.col("v").alias("u")).distinct().withColumn("below", F.lit(1).cast("long")))
+    return ends.groupBy("u").agg(F.sum("below").alias("n")).where("n > 1").isEmpty()

@@ -6,10 +6,16 @@ earliest arrival.  A shingle stops once its next arrival is later than every reg
 texts agree in a register with the probability Jaccard of their shingle weights.
 
 Registers are banded.  Texts that are the same word for word are one node from
-the start.  In each bucket, nodes are compared with a hub, not with each other;
-only where verified links do not yet join a bucket, further members become hubs,
-until every pair of members in different classes has been compared.  Each compared pair
-is verified by its exact probability Jaccard.
+the start.  In each bucket, nodes are compared with one hub, the one of fewest shingles, not
+with each other.  Each compared pair is verified by its exact probability Jaccard.
+
+Where links do not yet join a bucket, no pairs are made either.  If a is not similar to
+the hub h and b has no fewer shingles than h, then a and b can only be similar
+if they share a shingle that h lacks: without one, what they have in common lies in h, and
+b differs from a by at least as much as h does.  So the members left apart go
+to new buckets by (hub, shingle that the hub lacks), where the same is done
+again.  The hub is never a member of the new buckets, so this ends; work grows with the length of
+the texts, not with the square of a bucket.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.components import connected_components
@@ -28,8 +34,8 @@ from loanloom.llm.tokens import mixed, shingles, slices, uniforms, words
 SHINGLE, SIMILARITY = 5, 0.8
 #: 16 bands of 4 registers: a pair of similarity 0.8 meets in no band with probability 2e-4, one of 0.85 with 1e-5.
 BANDS, ROWS = 16, 4
-#: Members that one task verifies against a hub at a time, and by how much more members become hubs in each round.
-MEMBERS_PER_CHUNK, HUB_GROWTH = 64, 8
+#: Members that one task compares with a hub at a time.
+MEMBERS_PER_CHUNK = 64
 
 
 def weighted(codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,16 +101,17 @@ def bag(text) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """doc_id, fingerprint of the word sequence, and band hashes of the rows with words."""
+    """doc_id, fingerprint of the word sequence, number of shingles, and band hashes of the rows with words."""
     def work(batches):
         for batch in batches:
             text = batch.column("text")
-            at, high, low, bands = [], [], [], []
+            at, high, low, size, bands = [], [], [], [], []
             for a, b in slices(text):
                 codes, first = words(text.slice(a, b - a))
                 held = np.flatnonzero(np.diff(first))
-                signature = prob_minhash(*weighted(*shingles(codes, first, SHINGLE)), rows=b - a)
-                bands.append(band_hashes(signature[held]))
+                row, shingle, weight = weighted(*shingles(codes, first, SHINGLE))
+                bands.append(band_hashes(prob_minhash(row, shingle, weight, rows=b - a)[held]))
+                size.append(np.bincount(row, weight, b - a).astype(np.int64)[held])
                 at.append(a + held)
                 for r in held.tolist():
                     digest = hashlib.blake2b(codes[first[r]:first[r + 1]].tobytes(), digest_size=16).digest()
@@ -114,19 +121,19 @@ def _signed(rows: DataFrame) -> DataFrame:
             flat = np.concatenate(bands).view(np.int64).ravel() if bands else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * BANDS), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(high, pa.int64()),
-                                              pa.array(low, pa.int64()), lists], ["doc_id", "high", "low", "bands"])
+                                              pa.array(low, pa.int64()), pa.array(np.concatenate(size) if size else np.zeros(0, np.int64)), lists],
+                                             ["doc_id", "high", "low", "size", "bands"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_arrow(rows, work, f"doc_id {kind}, high long, low long, bands array<bigint>")
+    return map_arrow(rows, work, f"doc_id {kind}, high long, low long, size long, bands array<bigint>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (node, hub) whose exact similarity reaches the bound.
+def _compared(pairs: DataFrame, texts: DataFrame, result, second: str) -> DataFrame:
+    """``result(hub bags, node bag, hub)`` of every pair (node, hub), as rows of the node and a column ``second``: hub or bucket.
 
     The members of a hub go to chunks, each with its own copy of the hub's text; a task
     reads one hub and then streams its members.
     """
-    kind = pairs.schema["node"].dataType.simpleString()
     loads = stored(pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(MEMBERS_PER_CHUNK)).cast("int").alias("chunks")), "near-loads")
     dealt = pairs.join(loads.hint("merge"), "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
     members = dealt.join(texts.hint("merge"), dealt["node"] == texts["doc_id"]).select("hub", "chunk", F.lit(1).alias("member"), "node", "text")
@@ -136,22 +143,71 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def work(batches):
         own, hub_bags = None, []
         for batch in batches:
-            nodes, hubs_found = [], []
+            nodes, found = [], []
             columns = [batch.column(c).to_pylist() for c in ("hub", "chunk", "member", "node")]
             text = batch.column("text")
             for i, (hub, chunk, member, node) in enumerate(zip(*columns)):
                 if (hub, chunk) != own:
                     own, hub_bags = (hub, chunk), []
                 mine = bag(text[i].as_py())
-                if not member:
+                if member:
+                    for x in result(hub_bags, mine, hub):
+                        nodes.append(node)
+                        found.append(x)
+                else:
                     hub_bags.append(mine)  # more than one only where a document id repeats
-                elif any(probability_jaccard(mine, b) >= SIMILARITY for b in hub_bags):
-                    nodes.append(node)
-                    hubs_found.append(hub)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, batch.schema.field("node").type), pa.array(hubs_found, batch.schema.field("hub").type)], ["node", "hub"])
+            id_type = batch.schema.field("node").type
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, id_type), pa.array(found, id_type if second == "hub" else pa.int64())], ["node", second])
 
+    kind = pairs.schema["node"].dataType.simpleString()
     met = members.union(hubs).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "member")
-    return map_arrow(met, work, f"node {kind}, hub {kind}").distinct()
+    return map_arrow(met, work, f"node {kind}, {second} {kind if second == 'hub' else 'long'}")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (node, hub) whose exact similarity reaches the bound."""
+    def similar(hub_bags, mine, hub):
+        return [hub] if any(probability_jaccard(mine, b) >= SIMILARITY for b in hub_bags) else []
+
+    return _compared(pairs, texts, similar, "hub").distinct()
+
+
+def lacking(hub_bag: tuple[np.ndarray, np.ndarray], mine: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Hashes of what a text holds beyond the hub's; a further time that a shingle occurs is one of its own."""
+    at = np.minimum(np.searchsorted(hub_bag[0], mine[0]), len(hub_bag[0]) - 1)
+    there = np.where(hub_bag[0][at] == mine[0], hub_bag[1][at], 0)
+    extra = np.maximum(mine[1] - there, 0)
+    code, base = np.repeat(mine[0], extra), np.repeat(there, extra)
+    turn = np.arange(len(code)) - np.repeat(np.cumsum(extra) - extra, extra) + base
+    return mixed(code + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _beyond_hub(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, bucket): each node under every shingle that its hub lacks, for one hub at a time."""
+    def keys(hub_bags, mine, hub):
+        salt = np.uint64(int.from_bytes(hashlib.blake2b(str(hub).encode(), digest_size=8).digest(), "little"))
+        every = np.unique(np.concatenate([lacking(b, mine) for b in hub_bags])) if hub_bags else np.zeros(0, np.uint64)
+        return mixed(every ^ salt).view(np.int64).tolist()
+
+    return _compared(pairs, texts, keys, "bucket")
+
+
+def _hub():
+    """The member of fewest shingles, the least id of equals."""
+    return F.min(F.struct("size", "node")).alias("hub")
+
+
+def _apart(posted: DataFrame, label: DataFrame) -> DataFrame:
+    """(bucket, hub, hub_label, node, size, label) of the buckets whose members are in different classes."""
+    def labelled(df, key, name):
+        own = label.toDF("_node", name)
+        return df.join(own.hint("merge"), df[key] == own["_node"], "left").withColumn(name, F.coalesce(name, df[key])).drop("_node")
+
+    named = labelled(posted.select("bucket", F.col("hub.node").alias("hub"), "node", "size"), "node", "label")
+    open_buckets = stored(named.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket"), "near-open")
+    left = stored(named.join(open_buckets.hint("merge"), "bucket"), "near-left")
+    hubs = stored(labelled(left.select("hub").distinct(), "hub", "hub_label"), "near-hubs")
+    return stored(left.join(hubs.hint("merge"), "hub"), "near-apart")
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -164,39 +220,39 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     rows = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text")).where("doc_id is not null")
     signed = stored(_signed(rows), "near-signatures")
-    same = stored(signed.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-nodes")
-    copies = stored(signed.drop("bands").join(same.drop("bands").hint("merge"), ["high", "low"]).select("doc_id", "node").distinct(), "near-copies")
-
-    posted = same.select("node", F.explode("bands").alias("bucket"))
-    shared = stored(posted.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1"), "near-buckets")
-    posted = stored(posted.join(shared.hint("merge"), "bucket").select("bucket", "n", "hub", "node"), "near-postings")
+    same = stored(signed.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-nodes")
+    copies = stored(signed.select("doc_id", "high", "low").join(same.select("high", "low", "node").hint("merge"), ["high", "low"])
+                    .select("doc_id", "node").distinct(), "near-copies")
+    posted = same.select("node", "size", F.explode("bands").alias("bucket"))
+    shared = stored(posted.groupBy("bucket").agg(F.count("*").alias("n"), _hub()).where("n > 1").select("bucket", "hub"), "near-buckets")
+    posted = stored(posted.join(shared.hint("merge"), "bucket").select("bucket", "hub", "node", "size"), "near-postings")
     texts = stored(rows.join(posted.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi"), "near-texts")
 
-    # First each node with the least hub of its buckets, then further hubs where classes are still apart.
-    pairs = stored(posted.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), "near-pairs")
+    # First each node with the smallest hub of its buckets, then with the others where classes are still apart.
+    pairs = posted.where("node <> hub.node").groupBy("node").agg(F.min("hub").alias("hub")).select("node", "hub.node")
+    pairs = stored(pairs.toDF("node", "hub"), "near-pairs")
     done, links = pairs, stored(_verified(pairs, texts), "near-links")
     # Two texts of one id tie their nodes together.
     twice = stored(copies.groupBy("doc_id").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").select("doc_id", "hub"), "near-twice")
-    links = links.union(copies.join(twice.hint("merge"), "doc_id").where("node <> hub").select("node", "hub"))
-    hubs = 1
+    links = stored(links.union(copies.join(twice.hint("merge"), "doc_id").where("node <> hub").select("node", "hub")), "near-links")
+    label = stored(connected_components(links, "node", "hub"), "near-labels")
     while True:
-        label = stored(connected_components(links, "node", "hub"), "near-labels")
-        labelled = (posted.join(label.hint("merge"), posted["node"] == label["node"], "left")
-                    .select("bucket", "n", posted["node"], F.coalesce("component", posted["node"]).alias("label")))
-        apart = stored(labelled.groupBy("bucket", "n").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-                       .where("a <> b").select("bucket", F.col("n").alias("members")), "near-apart")
-        open_buckets = apart.where(F.col("members") > hubs // HUB_GROWTH + 1) if hubs > 1 else apart
-        if open_buckets.isEmpty():
-            break
-        rest = stored(labelled.join(open_buckets.hint("merge"), "bucket").select("bucket", "node", "label"), "near-rest")
-        order = Window.partitionBy("bucket").orderBy("node")
-        chosen = stored(rest.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs)
-                        .select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label")), "near-hubs")
-        met = (rest.join(chosen.hint("merge"), "bucket").where("node > hub and label <> hub_label").select("node", "hub").distinct())
-        pairs = stored(met.join(done, ["node", "hub"], "left_anti"), "near-pairs")
+        apart = _apart(posted, label)
+        pairs = stored(apart.where("label <> hub_label").select("node", "hub").distinct().join(done, ["node", "hub"], "left_anti"), "near-pairs")
         done = done.union(pairs)
-        links = links.union(stored(_verified(pairs, texts), "near-links"))
-        hubs *= HUB_GROWTH
+        fresh = stored(_verified(pairs, texts), "near-links")
+        if not fresh.isEmpty():
+            # The classes so far are stars already; only the new links change them.
+            links = label.where("node <> component").toDF("node", "hub").union(fresh)
+            label = stored(connected_components(links, "node", "hub"), "near-labels")
+            apart = _apart(posted, label)
+        beyond = stored(_beyond_hub(stored(apart.where("node <> hub").select("node", "hub").distinct(), "near-apart"), texts), "near-beyond")
+        sized = apart.select("node", "size", "label").distinct()
+        keyed = beyond.join(stored(sized, "near-sizes").hint("merge"), "node")
+        shared = stored(keyed.groupBy("bucket").agg(_hub(), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket", "hub"), "near-buckets")
+        if shared.isEmpty():
+            break
+        posted = stored(keyed.join(shared.hint("merge"), "bucket").select("bucket", "hub", "node", "size"), "near-postings")
     found = copies.join(label.hint("merge"), copies["node"] == label["node"], "left").select(
         "doc_id", F.coalesce("component", copies["node"]).alias("class_id"), copies["node"].alias("copy_of"))
     found = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("copy_of").alias("copy_of"))
