@@ -37,9 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled piece ids of each document, and whether they all decode to its text."""
-    read_back = pieces.decode(pieces.encode(docs))
-    restored = F.forall("texts", lambda t: t == F.col("text"))
-    return read_back.select(*[c for c in docs.columns if c != "text"], "segmentations", restored.alias("restored"))
+    return pieces.encode(docs, read_back="restored").drop("text")
 
 
 STAGES = [

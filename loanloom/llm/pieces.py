@@ -17,7 +17,6 @@ without replacement.  Randomness is a hash of the row key, so a retried task dra
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loanloom.llm.frames import map_arrow, received, sent, unused
-from loanloom.llm.tokens import mixed, slices, uniforms
+from loanloom.llm.tokens import mixed, sequence_hashes, slices, uniforms
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -35,8 +34,7 @@ RANK_SHIFT = 10
 ALPHA = 0.2
 #: Text bytes worked on at once.
 CHUNK = 1 << 20
-_PARTS = re.compile(r"\n| *[^ \n]+| +")
-_STEP, _SPREAD, _TABLE_BITS = 0x100000001B3, 0x9E3779B97F4A7C15, 19
+_STEP, _SPREAD, _TABLE_BITS = 0x100000001B3, 0x9E3779B97F4A7C15, 17
 _QUANTA = float(1 << 30)
 
 
@@ -74,7 +72,7 @@ class Vocabulary:
                 known.setdefault(piece[:n], -1)
             known[piece] = i
         keys = np.zeros(1 << _TABLE_BITS, dtype=np.uint64)
-        entries = np.zeros(1 << _TABLE_BITS, dtype=np.int64)
+        entries = np.zeros(1 << _TABLE_BITS, dtype=np.int32)
         for piece, i in known.items():
             h = 0
             for c in piece:
@@ -88,7 +86,7 @@ class Vocabulary:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece id of each hash, -1 for what only begins a piece, -2 for neither."""
-        out = np.full(len(hashes), -2, dtype=np.int64)
+        out = np.full(len(hashes), -2, dtype=np.int32)
         slot = ((hashes * np.uint64(_SPREAD)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
         open_ = np.arange(len(hashes))
         while len(open_):
@@ -103,10 +101,9 @@ class Vocabulary:
 class Lattices:
     """Lattices of distinct parts as one graph: a node is a character, its edges lie in a row."""
 
-    def __init__(self, vocabulary: Vocabulary, parts: list[str]):
-        codes = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    def __init__(self, vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
+        """``codes`` holds the characters of all parts, ``sizes`` how many each has."""
         n = len(codes)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         ends = np.cumsum(sizes)
         self.roots = ends - sizes
         end = np.repeat(ends, sizes)
@@ -128,37 +125,45 @@ class Lattices:
             piece.append(found[hit])
             going = (found >= -1) & (place + size < end[place])
             place, h = place[going], h[going]
-        at, length, self.piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, length, piece))
-        order = np.lexsort((length, at))
+        at, length, self.piece = (np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32) for x in (at, length, piece))
+        order = np.argsort(at, kind="stable")    # pieces of a node came in by length
         at, length, self.piece = at[order], length[order], self.piece[order]
-        self.target = np.where(at + length == end[at], -1, at + length)
-        own = np.where(self.piece >= 0, vocabulary.logs[np.maximum(self.piece, 0)], 0.0)
-        in_bytes = self.piece < 0
-        c = -1 - self.piece[in_bytes]
-        own[in_bytes] = vocabulary.byte_cost * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
-        # Mass from a node to the end of its part, for all parts at once from their ends.
-        left = end[at] - at
-        by = np.argsort(left, kind="stable")
+        stop = end.astype(np.int32)[at]
+        self.target = at + length
+        # Mass from a node to the end of its part, for all parts at once from their ends: edges by how far their node is from it.
+        left = stop - at
+        by = np.argsort(left.astype(np.uint16) if left.max(initial=0) < 1 << 16 else left, kind="stable")
         cuts = np.searchsorted(left[by], np.arange(1, int(left.max(initial=0)) + 2))
-        after, self.log = np.zeros(n), np.zeros(len(at))
+        self.target[self.target == stop] = -1
+        target, node, kind = self.target[by], at[by], self.piece[by]
+        own = vocabulary.logs[np.maximum(kind, 0)]
+        raw = np.flatnonzero(kind < 0)
+        c = -1 - kind[raw]
+        own[raw] = vocabulary.byte_cost * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
+        after = np.zeros(n + 1)    # the last is that of an ended part: -1
         for a, b in zip(cuts[:-1], cuts[1:]):
             if a == b:
                 continue
-            e = by[a:b]
-            w = own[e] + np.where(self.target[e] < 0, 0.0, after[self.target[e]])
-            heads = np.flatnonzero(np.diff(at[e], prepend=-1))
-            spread = np.diff(np.append(heads, len(e)))
+            w = own[a:b]
+            w += after[target[a:b]]
+            heads = np.flatnonzero(np.diff(node[a:b], prepend=-1))
+            spread = np.diff(np.append(heads, b - a))
             top = np.maximum.reduceat(w, heads)
             total = top + np.log(np.add.reduceat(np.exp(w - np.repeat(top, spread)), heads))
-            after[at[e[heads]]] = total
-            self.log[e] = w - np.repeat(total, spread)
+            after[node[a:b][heads]] = total
+            w -= np.repeat(total, spread)
+        self.log = np.empty(len(at))
+        self.log[by] = own
         self.first = np.searchsorted(at, np.arange(n + 1))
         # Probability of an edge and the earlier ones of its node, added within the node alone and in
         # steps that stay exact beside the node number: a draw must not hang on what else is in the slice.
         share = np.exp(self.log)
         rank = np.arange(len(at)) - self.first[at]
-        for k in range(1, int(rank.max(initial=0)) + 1):
-            e = np.flatnonzero(rank == k)
+        more = np.flatnonzero(rank)
+        more = more[np.argsort(rank[more].astype(np.uint16), kind="stable")]
+        levels = np.searchsorted(rank[more], np.arange(1, int(rank.max(initial=0)) + 2))
+        for a, b in zip(levels[:-1], levels[1:]):
+            e = more[a:b]
             share[e] += share[e - 1]
         self.reach = at + np.rint(share * _QUANTA) / _QUANTA
         if n:
@@ -169,15 +174,25 @@ class Search:
     """The perturbed A* search over a slice of rows at once."""
 
     def __init__(self, vocabulary: Vocabulary, texts: list[str], seeds: np.ndarray, samples: int):
-        numbers: dict[str, int] = {}
-        which, counts = [], []
-        for text in texts:
-            parts = _PARTS.findall(" " + text) if text else []
-            which += [numbers.setdefault(p, len(numbers)) for p in parts]
-            counts.append(len(parts))
-        graph = Lattices(vocabulary, list(numbers))
+        whole = "".join([" " + t for t in texts if t])
+        codes = np.frombuffer(whole.encode("utf-32-le"), dtype=np.int32)
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], dtype=np.int64)
+        # A part is a line end, or blanks and the word after them.
+        blank, line = codes == 32, codes == 10
+        head = line.copy()
+        head[1:] |= line[:-1] | (blank[1:] & ~blank[:-1])
+        rows_at = np.cumsum(sizes) - sizes
+        head[rows_at[sizes > 0]] = True
+        starts = np.flatnonzero(head)
+        stops = np.append(starts[1:], len(codes))
+        counts = np.diff(np.searchsorted(starts, np.append(rows_at, len(codes))))
+        # Each distinct part once, by the hash of its characters.
+        _, once, which = np.unique(sequence_hashes(mixed(codes.astype(np.uint64)), starts, stops), return_index=True, return_inverse=True)
+        width = stops[once] - starts[once]
+        at = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(starts[once], width)
+        graph = Lattices(vocabulary, codes[at], width)
         self.first, self.reach, self.log, self.target, self.piece = graph.first, graph.reach, graph.log, graph.target, graph.piece
-        self.roots = graph.roots[np.array(which, dtype=np.int64)]
+        self.roots = graph.roots[which] if len(which) else np.zeros(0, np.int64)
         self.begin = np.concatenate(([0], np.cumsum(counts)))
         self.row = np.repeat(np.arange(len(texts)), counts)
         self.seeds, self.samples, self.draws = seeds, samples, 0
@@ -186,24 +201,36 @@ class Search:
         key = self.seeds[row] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((salt * 0xD1B54A32D192ED03) & (2 ** 64 - 1))
         return uniforms(mixed(key))
 
-    def _descend(self, parts: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ancestral samples through ``parts`` from ``nodes``: node and edge of every step, and the part it lies in."""
+    def _descend(self, parts: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ancestral samples through ``parts`` from ``nodes``: the part, node and edge of every step."""
         self.draws += 1
         steps, going, step = [], np.arange(len(parts)), 0
+        row = self.row[parts]
+        place = parts - self.begin[row]
+        taken = np.zeros(len(parts), dtype=np.int64)
         nodes = nodes.copy()
         while len(going):
-            u = self._uniform(self.row[parts[going]], parts[going] - self.begin[self.row[parts[going]]], self.draws * 4096 + step)
-            u = np.floor(u * _QUANTA) / _QUANTA
-            edges = np.searchsorted(self.reach, nodes[going] + u, side="right")
-            steps.append((going, nodes[going], edges))
-            nodes[going] = self.target[edges]
-            going = going[nodes[going] >= 0]
+            here = nodes[going]
+            u = self._uniform(row[going], place[going], self.draws * 4096 + step)
+            edges = self.first[here]
+            goal = here + np.floor(u * _QUANTA) / _QUANTA
+            # Few edges leave a node: walk along them.
+            open_ = np.arange(len(edges))
+            while len(open_ := open_[self.reach[edges[open_]] <= goal[open_]]):
+                edges[open_] += 1
+            steps.append((going, here, edges))
+            taken[going] += 1
+            after = self.target[edges]
+            nodes[going] = after
+            going = going[after >= 0]
             step += 1
-        if not steps:
-            return tuple(np.zeros(0, np.int64) for _ in range(3))
-        which, at, edges = (np.concatenate(x) for x in zip(*steps))
-        order = np.argsort(which, kind="stable")
-        return which[order], at[order], edges[order]
+        # Every part's steps in a row.
+        ends = np.cumsum(taken)
+        which, at, chosen = (np.empty(ends[-1] if len(ends) else 0, dtype=np.int64) for _ in range(3))
+        for k, (part, here, edges) in enumerate(steps):
+            to = ends[part] - taken[part] + k
+            which[to], at[to], chosen[to] = part, here, edges
+        return which, at, chosen
 
     def run(self) -> list[list[tuple[np.ndarray, float, float]]]:
         """For each row its samples, in order of their perturbed log-probabilities: edges, log-probability, log inclusion score."""
@@ -295,68 +322,76 @@ class Search:
         return starts
 
     def ids(self, edges: np.ndarray, byte_ids: np.ndarray) -> np.ndarray:
-        """Piece ids along edges; a character that no piece covers gives the ids of its bytes."""
+        return self.ids_and_sizes(edges, byte_ids)[0]
+
+    def ids_and_sizes(self, edges: np.ndarray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids along edges, and how many each edge gave: a character that no piece covers gives those of its bytes."""
         found = self.piece[edges]
         code = -1 - found
-        if (code < 0).all():
-            return found.astype(np.int32)
-        size = np.where(code < 0, 1, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
-        at = np.repeat(np.arange(len(found)), size)
-        back = np.repeat(np.cumsum(size), size) - 1 - np.arange(len(at))     # bytes still to come of the character
-        code, size = code[at], size[at]
-        tail = 0x80 | ((code >> (6 * back)) & 0x3F)
-        head = np.where(size == 1, code, np.array([0, 0, 0xC0, 0xE0, 0xF0])[size] | (code >> (6 * back)))
-        byte = np.where(back == size - 1, head, tail)
-        return np.where(code < 0, found[at], byte_ids[byte & 0xFF]).astype(np.int32)
+        size = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+        ids = np.repeat(found, size)
+        begin = np.cumsum(size) - size
+        raw = np.flatnonzero(code >= 0)
+        for n in (1, 2, 3, 4):
+            at = raw[size[raw] == n]
+            for k in range(n if len(at) else 0):
+                bits = code[at] >> (6 * (n - 1 - k))
+                byte = (bits | (0, 0, 0xC0, 0xE0, 0xF0)[n] if n > 1 else bits) if k == 0 else 0x80 | (bits & 0x3F)
+                ids[begin[at] + k] = byte_ids[byte & 0xFF]
+        return ids.astype(np.int32), size
 
 
 SAMPLE_TYPE = "array<struct<ids:array<int>,log_prob:double,log_inclusion:double>>"
 
 
 def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES,
-           seed: int = 0, name: str = "segmentations", model_path: str = MODEL_PATH,
-           alpha: float = ALPHA) -> DataFrame:
+           seed: int = 0, name: str = "segmentations", model_path: str = MODEL_PATH, alpha: float = ALPHA,
+           read_back: str | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with up to ``samples`` distinct segmentations added.
 
     Each has the piece ids, its log-probability and its log inclusion score: the log of the probability that
     its perturbed log-probability exceeds the largest one left out (0 when none is left).
     They come in the order of the perturbed log-probabilities.  A text with fewer segmentations gives them all; a
     null text gives null, an empty one a single empty segmentation.  The draw depends on the row key and ``seed`` only,
-    so that repeated rows draw alike; a null key counts as 0.
+    so that repeated rows draw alike; a null key counts as 0.  ``read_back`` names a column that tells
+    whether all segmentations decode to the text (null for a null text).
     """
-    name = unused(docs, name)
+    names = [unused(docs, name)] + ([unused(docs, read_back)] if read_back else [])
     place, key = docs.columns.index(text_column), docs.columns.index(id_column)
     held = sent(docs.sparkSession, Vocabulary.load(model_path, alpha))
 
     def work(batches):
         vocabulary = received(held)
         for batch in batches:
-            text = batch.column(place)
-            keys = np.array([hash_of(k) for k in batch.column(key).to_pylist()], dtype=np.uint64)
-            seeds = mixed(keys ^ np.uint64((seed * 0xA0761D6478BD642F) & (2 ** 64 - 1)))
-            rows, owners, flat, logs, scores = [0], [0], [], [], []
-            for a, b in slices(text, CHUNK):
-                texts = text.slice(a, b - a).to_pylist()
-                search = Search(vocabulary, [t or "" for t in texts], seeds[a:b], samples)
-                for t, found in zip(texts, search.run()):
-                    if t == "":
-                        found = [(np.zeros(0, np.int64), 0.0, 0.0)]
-                    for edges, logp, score in found if t is not None else []:
-                        ids = search.ids(edges, vocabulary.byte_ids) if len(edges) else np.zeros(0, np.int32)
-                        flat.append(ids)
-                        owners.append(owners[-1] + len(ids))
-                        logs.append(logp)
-                        scores.append(score)
-                    rows.append(len(logs))
-            ids = pa.ListArray.from_arrays(pa.array(owners, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
-            items = pa.StructArray.from_arrays([ids, pa.array(logs, pa.float64()), pa.array(scores, pa.float64())], ["ids", "log_prob", "log_inclusion"])
-            offsets = pa.array(rows, pa.int32(), mask=np.append(np.asarray(text.is_null()), False))
-            arrays = [*batch.columns, pa.ListArray.from_arrays(offsets, items)]
-            yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
+            # Slices go out one by one: a batch of long texts with all its ids would be large.
+            for a, b in slices(batch.column(place), CHUNK):
+                yield encoded(batch.slice(a, b - a), vocabulary)
+
+    def encoded(batch, vocabulary):
+        text = batch.column(place)
+        keys = np.array([hash_of(k) for k in batch.column(key).to_pylist()], dtype=np.uint64)
+        seeds = mixed(keys ^ np.uint64((seed * 0xA0761D6478BD642F) & (2 ** 64 - 1)))
+        texts = text.to_pylist()
+        search = Search(vocabulary, [t or "" for t in texts], seeds, samples)
+        results = [[(np.zeros(0, np.int64), 0.0, 0.0)] if t == "" else [] if t is None else found for t, found in zip(texts, search.run())]
+        rows = np.cumsum([0, *map(len, results)])
+        edges, logs, scores = (list(x) for x in zip(*(f for found in results for f in found))) if rows[-1] else ([], [], [])
+        flat, sizes = search.ids_and_sizes(np.concatenate(edges) if edges else np.zeros(0, np.int64), vocabulary.byte_ids)
+        owners = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *map(len, edges)])]
+        restored = [None if t is None else True for t in texts]
+        if read_back:
+            for i, t in enumerate(texts):
+                for j in range(rows[i], rows[i + 1]):
+                    restored[i] = restored[i] and decoded(flat[owners[j]:owners[j + 1]], vocabulary.decoded) == t
+        ids = pa.ListArray.from_arrays(pa.array(owners, pa.int32()), pa.array(flat))
+        items = pa.StructArray.from_arrays([ids, pa.array(logs, pa.float64()), pa.array(scores, pa.float64())], ["ids", "log_prob", "log_inclusion"])
+        offsets = pa.array(rows.astype(np.int32), pa.int32(), mask=np.append(np.asarray(text.is_null()), False))
+        arrays = [*batch.columns, pa.ListArray.from_arrays(offsets, items)] + ([pa.array(restored, pa.bool_())] if read_back else [])
+        return pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    kinds = [f.dataType.simpleString() for f in docs.schema] + [SAMPLE_TYPE]
-    return map_arrow(plain, work, ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))).toDF(*docs.columns, name)
+    kinds = [f.dataType.simpleString() for f in docs.schema] + [SAMPLE_TYPE, "boolean"][:len(names)]
+    return map_arrow(plain, work, ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))).toDF(*docs.columns, *names)
 
 
 def hash_of(key) -> int:

@@ -142,11 +142,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each sampled segmentation, with a digest of its ids and whether decoding gives the text back."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    read_back = pieces.decode(pieces.encode(docs))
-    each = read_back.select("doc_id", "text", F.posexplode(F.arrays_zip("segmentations", "texts")).alias("place", "one"))
-    return each.select("doc_id", (F.col("place") + 1).alias("draw"), F.size("one.segmentations.ids").alias("n_pieces"),
-                       F.xxhash64("one.segmentations.ids").alias("ids_hash"), F.col("one.segmentations.log_prob").alias("log_prob"),
-                       F.col("one.segmentations.log_inclusion").alias("log_inclusion"), (F.col("one.texts") == F.col("text")).alias("restored"))
+    each = pieces.encode(docs, read_back="restored").select("doc_id", "restored", F.posexplode("segmentations").alias("place", "one"))
+    return each.select("doc_id", (F.col("place") + 1).alias("draw"), F.size("one.ids").alias("n_pieces"), F.xxhash64("one.ids").alias("ids_hash"),
+                       F.col("one.log_prob").alias("log_prob"), F.col("one.log_inclusion").alias("log_inclusion"), "restored")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (

@@ -92,13 +92,14 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
     return starts, stops, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    n = len(data)
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of a sequence of 64-bit values."""
+    n = len(values)
     powers = np.ones(n + 1, dtype=np.uint64)
     powers[1:] = _BASE
     np.multiply.accumulate(powers, out=powers)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[data] * powers[:-1], out=sums[1:])
+    np.cumsum(values * powers[:-1], out=sums[1:])
     inverse = np.ones(n + 1, dtype=np.uint64)
     inverse[1:] = _BASE_INVERSE
     np.multiply.accumulate(inverse, out=inverse)
@@ -106,6 +107,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
     return mixed(codes ^ ((stops - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    return sequence_hashes(_BYTE_CODES[data], starts, stops)
+
+
 def words(column: pa.Array, separators: np.ndarray = SPACES, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column, and the first word of each row (with one more at the end)."""
     data, offsets = utf8(pc.utf8_lower(column) if lower else column)

@@ -152,7 +152,8 @@ def test_encoding_and_decoding_round_trip(spark, sf):
     odd = ["", " ", "a", "  two  spaces \n\n tab\t end ", "🎈日本語ßéÿ▁x\x00\r\n", "x" * 3000, "é🎈" * 50, "ab " * 20_000]
     docs = spark.createDataFrame([*enumerate(odd), (None, "no key"), (1, " "), (50, None)], "doc_id long, text string").union(
         read_table(spark, sf, "documents").select("doc_id", "text")).withColumn("segmentations", F.lit(1))
-    encoded = pieces.encode(docs, samples=3)
+    encoded = pieces.encode(docs, samples=3, read_back="restored")
+    assert encoded.where("not restored or (restored is null) <> (text is null)").count() == 0
     rows = pieces.decode(encoded, "segmentations_1").collect()
     for r in rows:
         if r["text"] is None:
