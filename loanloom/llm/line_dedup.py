@@ -25,6 +25,7 @@ LEAST_CHARACTERS, LEAST_DOCUMENTS = 40, 5
 BITS_PER_KEY = 16
 SEGMENT_BITS = 21           # a segment of the filters: 256 KB
 PROBE_BYTES = 16 << 20
+_TASK_KEYS = 1 << 20
 _BLANKS = b" \t\n\v\f\r"
 
 
@@ -70,28 +71,29 @@ def flattened(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.asarray(batch.column(c).flatten().to_numpy(zero_copy_only=False), dtype=np.int64) for c in ("high", "low"))
 
 
-def _twice_seen(keys: DataFrame, bits: int) -> DataFrame:
-    """The twice-seen filter as (segment, positions within the segment)."""
+def twice_seen(keys: DataFrame, bits: int) -> DataFrame:
+    """The twice-seen filter of keys (two arrays of hashes a row), as (segment, positions within the segment)."""
+    inner = np.uint64((1 << SEGMENT_BITS) - 1)
+
     def local(batches):
-        # The task's own filters, as the sorted positions that are set.
-        once = twice = np.zeros((0, 2), dtype=np.uint64)
+        # The task's own filters, as the sorted keys (both positions in one number) that are set.
+        once = twice = np.zeros(0, dtype=np.uint64)
         for batch in batches:
             high, low = flattened(batch)
-            pairs = np.column_stack(positions(high, low, bits))
-            pairs, count = np.unique(np.concatenate([once, pairs]), axis=0, return_counts=True)
-            twice = np.unique(np.concatenate([twice, pairs[count > 1]]), axis=0)
-            once = pairs
-            if len(once) > 1 << 20:  # bounds the task's memory; the merge finds what lies across
-                yield from packed(once, twice)
-                once = twice = np.zeros((0, 2), dtype=np.uint64)
+            for k in range(0, len(high), _TASK_KEYS):
+                first, second = positions(high[k:k + _TASK_KEYS], low[k:k + _TASK_KEYS], bits)
+                keys = (first << np.uint64(SEGMENT_BITS)) | (second & inner)
+                once, count = np.unique(np.concatenate([once, keys]), return_counts=True)
+                twice = np.unique(np.concatenate([twice, once[count > 1]]))
+                if len(once) > _TASK_KEYS:  # bounds the task's memory; the merge finds what lies across
+                    yield from packed(once, twice)
+                    once = twice = np.zeros(0, dtype=np.uint64)
         yield from packed(once, twice)
 
     def packed(once, twice):
-        inner = np.uint64((1 << SEGMENT_BITS) - 1)
-        for name, pairs in (("once", once), ("twice", twice)):
-            segment = (pairs[:, 0] >> np.uint64(SEGMENT_BITS)).astype(np.int64)
-            order = np.argsort(segment, kind="stable")
-            segment, inside = segment[order], (pairs[order] & inner).astype(np.int32)
+        for name, keys in (("once", once), ("twice", twice)):
+            segment = (keys >> np.uint64(2 * SEGMENT_BITS)).astype(np.int64)
+            inside = np.column_stack([(keys >> np.uint64(SEGMENT_BITS)) & inner, keys & inner]).astype(np.int32)
             at = np.flatnonzero(np.diff(segment, prepend=-1))
             ends = np.append(at, len(segment))
             lists = pa.ListArray.from_arrays(pa.array(ends * 2, pa.int32()), pa.array(inside.ravel()))
@@ -124,7 +126,7 @@ def _twice_seen(keys: DataFrame, bits: int) -> DataFrame:
     return map_arrow(parts.repartition("segment").sortWithinPartitions("segment"), merged, "segment long, bits array<int>")
 
 
-def _probe(twice: DataFrame, bits: int) -> tuple[np.ndarray, int]:
+def probe_filter(twice: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     """The twice-seen filter as packed bits, folded to at most ``PROBE_BYTES``."""
     folded = min(bits, (PROBE_BYTES * 8).bit_length() - 1)
     segments = 1 << (folded - SEGMENT_BITS)
@@ -152,6 +154,19 @@ def _probe(twice: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     return table.ravel(), folded
 
 
+def seen_twice(table: np.ndarray, bits: int, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Which keys the folded filter holds: all that are in two rows, and a few others."""
+    hit = np.ones(len(high), dtype=bool)
+    for p in positions(high, low, bits):
+        p = p.astype(np.int64)
+        hit &= (table[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
+    return hit
+
+
+def filter_bits(n: int) -> int:
+    return max(SEGMENT_BITS, int(n * BITS_PER_KEY).bit_length())
+
+
 def repeated_keys(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   least: int = LEAST_DOCUMENTS) -> DataFrame:
     """(doc_id, high, low): the keys whose lines each document loses.
@@ -161,18 +176,15 @@ def repeated_keys(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text")).where("doc_id is not null")
     keys = stored(_keys(rows), "line-keys")
     n = keys.agg(F.sum(F.size("high"))).first()[0] or 0
-    bits = max(SEGMENT_BITS, int(n * BITS_PER_KEY).bit_length())
-    twice = stored(_twice_seen(keys.select("high", "low"), bits), "line-filter")
-    held = docs.sparkSession.sparkContext.broadcast(_probe(twice, bits))
+    bits = filter_bits(n)
+    twice = stored(twice_seen(keys.select("high", "low"), bits), "line-filter")
+    held = docs.sparkSession.sparkContext.broadcast(probe_filter(twice, bits))
 
     def suspected(batches):
         table, folded = held.value
         for batch in batches:
             high, low = flattened(batch)
-            hit = np.ones(len(high), dtype=bool)
-            for p in positions(high, low, folded):
-                p = p.astype(np.int64)
-                hit &= (table[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
+            hit = seen_twice(table, folded, high, low)
             sizes = np.asarray(batch.column("high").value_lengths().to_numpy(zero_copy_only=False))
             row = np.repeat(np.arange(len(sizes)), sizes)[hit]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array(high[hit]), pa.array(low[hit])], ["doc_id", "high", "low"])

@@ -6,16 +6,15 @@ earliest arrival.  A shingle stops once its next arrival is later than every reg
 texts agree in a register with the probability Jaccard of their shingle weights.
 
 Registers are banded.  Texts that are the same word for word are one node from
-the start.  In each bucket, nodes are compared with one hub, the one of fewest shingles, not
-with each other.  Each compared pair is verified by its exact probability Jaccard.
-
-Where links do not yet join a bucket, no pairs are made either.  If a is not similar to
-the hub h and b has no fewer shingles than h, then a and b can only be similar
-if they share a shingle that h lacks: without one, what they have in common lies in h, and
-b differs from a by at least as much as h does.  So the members left apart go
-to new buckets by (hub, shingle that the hub lacks), where the same is done
-again.  The hub is never a member of the new buckets, so this ends; work grows with the length of
-the texts, not with the square of a bucket.
+the start.  In each bucket, nodes are first compared with one hub, not with each other;
+each compared pair is verified by its exact probability Jaccard.
+
+Where links do not yet join a bucket, further members become hubs, those first that have the least to
+themselves.  A pair is only made if it can reach the bound at all: what a
+text holds that no other text of an open bucket holds (by a twice-seen Bloom filter)
+is lost to every pair it is in, which rules out most copies with too many edits and
+bounds the length of the partners of the rest.  Rounds go on until every pair of members of different
+classes that can reach the bound has been compared.
 """
 
 from __future__ import annotations
@@ -24,11 +23,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.llm import line_dedup
 from loanloom.llm.components import connected_components
-from loanloom.llm.frames import map_arrow, quoted, stored
+from loanloom.llm.frames import map_arrow, quoted, received, sent, stored
 from loanloom.llm.tokens import mixed, shingles, slices, uniforms, words
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -36,6 +36,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Members that one task compares with a hub at a time.
 MEMBERS_PER_CHUNK = 64
+#: Hubs of an open bucket grow by this factor from round to round.
+HUB_GROWTH = 16
 
 
 def weighted(codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,12 +130,13 @@ def _signed(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, work, f"doc_id {kind}, high long, low long, size long, bands array<bigint>")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, result, second: str) -> DataFrame:
-    """``result(hub bags, node bag, hub)`` of every pair (node, hub), as rows of the node and a column ``second``: hub or bucket.
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (node, hub) whose exact similarity reaches the bound.
 
     The members of a hub go to chunks, each with its own copy of the hub's text; a task
     reads one hub and then streams its members.
     """
+    kind = pairs.schema["node"].dataType.simpleString()
     loads = stored(pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(MEMBERS_PER_CHUNK)).cast("int").alias("chunks")), "near-loads")
     dealt = pairs.join(loads.hint("merge"), "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
     members = dealt.join(texts.hint("merge"), dealt["node"] == texts["doc_id"]).select("hub", "chunk", F.lit(1).alias("member"), "node", "text")
@@ -150,64 +153,81 @@ def _compared(pairs: DataFrame, texts: DataFrame, result, second: str) -> DataFr
                 if (hub, chunk) != own:
                     own, hub_bags = (hub, chunk), []
                 mine = bag(text[i].as_py())
-                if member:
-                    for x in result(hub_bags, mine, hub):
-                        nodes.append(node)
-                        found.append(x)
-                else:
+                if not member:
                     hub_bags.append(mine)  # more than one only where a document id repeats
-            id_type = batch.schema.field("node").type
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, id_type), pa.array(found, id_type if second == "hub" else pa.int64())], ["node", second])
+                elif any(probability_jaccard(mine, b) >= SIMILARITY for b in hub_bags):
+                    nodes.append(node)
+                    found.append(hub)
+            kind = batch.schema.field("node").type
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array(found, kind)], ["node", "hub"])
 
-    kind = pairs.schema["node"].dataType.simpleString()
     met = members.union(hubs).repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "member")
-    return map_arrow(met, work, f"node {kind}, {second} {kind if second == 'hub' else 'long'}")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (node, hub) whose exact similarity reaches the bound."""
-    def similar(hub_bags, mine, hub):
-        return [hub] if any(probability_jaccard(mine, b) >= SIMILARITY for b in hub_bags) else []
-
-    return _compared(pairs, texts, similar, "hub").distinct()
+    return map_arrow(met, work, f"node {kind}, hub {kind}").distinct()
 
 
-def lacking(hub_bag: tuple[np.ndarray, np.ndarray], mine: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Hashes of what a text holds beyond the hub's; a further time that a shingle occurs is one of its own."""
-    at = np.minimum(np.searchsorted(hub_bag[0], mine[0]), len(hub_bag[0]) - 1)
-    there = np.where(hub_bag[0][at] == mine[0], hub_bag[1][at], 0)
-    extra = np.maximum(mine[1] - there, 0)
-    code, base = np.repeat(mine[0], extra), np.repeat(there, extra)
-    turn = np.arange(len(code)) - np.repeat(np.cumsum(extra) - extra, extra) + base
-    return mixed(code + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def _beyond_hub(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, bucket): each node under every shingle that its hub lacks, for one hub at a time."""
-    def keys(hub_bags, mine, hub):
-        salt = np.uint64(int.from_bytes(hashlib.blake2b(str(hub).encode(), digest_size=8).digest(), "little"))
-        every = np.unique(np.concatenate([lacking(b, mine) for b in hub_bags])) if hub_bags else np.zeros(0, np.uint64)
-        return mixed(every ^ salt).view(np.int64).tolist()
-
-    return _compared(pairs, texts, keys, "bucket")
-
-
-def _hub():
-    """The member of fewest shingles, the least id of equals."""
-    return F.min(F.struct("size", "node")).alias("hub")
+def _own_share(texts: DataFrame, size: int) -> DataFrame:
+    """(node, size, flat, own): shingles of a text, whether each occurs once, and how many (at least) no other text holds.
 
+    ``size`` is about the number of shingles of all texts.  A false positive of the filter makes ``own`` smaller, so it
+    can only add pairs.  Of several texts with one id the one with the least of its own speaks for the id.
+    """
+    def hashed(batches):
+        for batch in batches:
+            text = batch.column("text")
+            for a, b in slices(text):
+                codes, first = words(text.slice(a, b - a))
+                row, code, _ = weighted(*shingles(codes, first, SHINGLE))
+                ends = pa.array(np.searchsorted(row, np.arange(b - a + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x.view(np.int64))) for x in (code, mixed(code))], ["high", "low"])
 
-def _apart(posted: DataFrame, label: DataFrame) -> DataFrame:
-    """(bucket, hub, hub_label, node, size, label) of the buckets whose members are in different classes."""
-    def labelled(df, key, name):
-        own = label.toDF("_node", name)
-        return df.join(own.hint("merge"), df[key] == own["_node"], "left").withColumn(name, F.coalesce(name, df[key])).drop("_node")
+    bits = line_dedup.filter_bits(size)
+    keys = map_arrow(texts.select("text"), hashed, "high array<bigint>, low array<bigint>")
+    twice = stored(line_dedup.twice_seen(keys, bits), "near-filter")
+    held = sent(texts.sparkSession, line_dedup.probe_filter(twice, bits))
 
-    named = labelled(posted.select("bucket", F.col("hub.node").alias("hub"), "node", "size"), "node", "label")
+    def counted(batches):
+        table, folded = received(held)
+        for batch in batches:
+            text = batch.column("text")
+            size, flat, own = [], [], []
+            for a, b in slices(text):
+                codes, first = words(text.slice(a, b - a))
+                row, code, weight = weighted(*shingles(codes, first, SHINGLE))
+                alone = ~line_dedup.seen_twice(table, folded, code.view(np.int64), mixed(code).view(np.int64))
+                size.append(np.bincount(row, weight, b - a))
+                flat.append(np.bincount(row, weight > 1, b - a) == 0)
+                own.append(np.bincount(row, weight * alone, b - a))
+            columns = [np.concatenate(x) if x else np.zeros(0) for x in (size, flat, own)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0].astype(np.int64)), pa.array(columns[1].astype(bool)),
+                                              pa.array(columns[2].astype(np.int64))], ["node", "size", "flat", "own"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = map_arrow(texts.select("doc_id", "text"), counted, f"node {kind}, size long, flat boolean, own long")
+    return found.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"), F.min("flat").alias("flat"), F.min(F.col("own") / F.col("size")).alias("own"))
+
+
+def _can_reach(a: str, b: str):
+    """Whether two texts can have the similarity asked for, from their sizes and the shares only they hold.
+
+    With own shares u and v the probability Jaccard is at most the mean of (1-u)/(1+u) and (1-v)/(1+v).  Where all
+    shingles occur once it is the plain Jaccard, and what is common is no more than either's rest: with
+    sizes x and y, (1-u) x >= (x + y) t / (1+t), and the same for v and y.
+    """
+    share = SIMILARITY / (1 + SIMILARITY)
+    u, v = F.col(f"{a}.own"), F.col(f"{b}.own")
+    x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
+    mean = (1 - u) / (1 + u) + (1 - v) / (1 + v) >= 2 * SIMILARITY - 1e-9
+    plain = ((1 - u) * x >= (x + y) * share - 1e-6) & ((1 - v) * y >= (x + y) * share - 1e-6)
+    single = F.col(f"{a}.flat") & F.col(f"{b}.flat") & (F.col(f"{a}.texts") == 1) & (F.col(f"{b}.texts") == 1)
+    return mean & (~single | plain)
+
+
+def _open_members(posted: DataFrame, label: DataFrame) -> DataFrame:
+    """(bucket, node, label) of the buckets whose members are in different classes."""
+    named = (posted.join(label.hint("merge"), posted["node"] == label["node"], "left")
+             .select("bucket", posted["node"], F.coalesce("component", posted["node"]).alias("label")))
     open_buckets = stored(named.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket"), "near-open")
-    left = stored(named.join(open_buckets.hint("merge"), "bucket"), "near-left")
-    hubs = stored(labelled(left.select("hub").distinct(), "hub", "hub_label"), "near-hubs")
-    return stored(left.join(hubs.hint("merge"), "hub"), "near-apart")
+    return stored(named.join(open_buckets.hint("merge"), "bucket"), "near-members")
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -223,36 +243,50 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     same = stored(signed.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-nodes")
     copies = stored(signed.select("doc_id", "high", "low").join(same.select("high", "low", "node").hint("merge"), ["high", "low"])
                     .select("doc_id", "node").distinct(), "near-copies")
-    posted = same.select("node", "size", F.explode("bands").alias("bucket"))
-    shared = stored(posted.groupBy("bucket").agg(F.count("*").alias("n"), _hub()).where("n > 1").select("bucket", "hub"), "near-buckets")
-    posted = stored(posted.join(shared.hint("merge"), "bucket").select("bucket", "hub", "node", "size"), "near-postings")
+    posted = same.select("node", F.explode("bands").alias("bucket"))
+    shared = stored(posted.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1").select("bucket", "hub"), "near-buckets")
+    posted = stored(posted.join(shared.hint("merge"), "bucket").select("bucket", "hub", "node"), "near-postings")
     texts = stored(rows.join(posted.select(F.col("node").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi"), "near-texts")
 
-    # First each node with the smallest hub of its buckets, then with the others where classes are still apart.
-    pairs = posted.where("node <> hub.node").groupBy("node").agg(F.min("hub").alias("hub")).select("node", "hub.node")
-    pairs = stored(pairs.toDF("node", "hub"), "near-pairs")
+    # First each node with the least hub of its buckets.
+    pairs = stored(posted.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), "near-pairs")
     done, links = pairs, stored(_verified(pairs, texts), "near-links")
     # Two texts of one id tie their nodes together.
     twice = stored(copies.groupBy("doc_id").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").select("doc_id", "hub"), "near-twice")
     links = stored(links.union(copies.join(twice.hint("merge"), "doc_id").where("node <> hub").select("node", "hub")), "near-links")
     label = stored(connected_components(links, "node", "hub"), "near-labels")
+
+    # Then the pairs of different classes that can reach the bound, hub by hub.
+    members = _open_members(posted, label)
+    undecided = stored(members.select(F.col("node").alias("doc_id")).distinct(), "near-undecided")
+    own_texts = stored(texts.join(undecided.hint("merge"), "doc_id", "left_semi"), "near-own-texts")
+    size = same.join(undecided.hint("merge"), same["node"] == undecided["doc_id"], "left_semi").agg(F.sum("size")).first()[0] or 1
+    shares = stored(_own_share(own_texts, size), "near-shares")
+    # A text of which more than this is its own is like no other.
+    shares = shares.where(F.col("own") <= 1 - SIMILARITY + 1e-9)
+    about = shares.select("node", F.struct("size", "flat", "texts", "own").alias("about"))
+    tried, hubs = 0, 1
     while True:
-        apart = _apart(posted, label)
-        pairs = stored(apart.where("label <> hub_label").select("node", "hub").distinct().join(done, ["node", "hub"], "left_anti"), "near-pairs")
+        live = stored(members.join(about.hint("merge"), "node"), "near-live")
+        counts = live.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
+        still = stored(counts.where((F.col("a") != F.col("b")) & (F.col("n") > tried + 1)).select("bucket"), "near-still")
+        if still.isEmpty():
+            break
+        live = stored(live.join(still.hint("merge"), "bucket"), "near-live")
+        order = Window.partitionBy("bucket").orderBy("about.own", "node")
+        chosen = stored(live.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs)
+                        .select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), F.col("about").alias("hub_about")), "near-hubs")
+        met = live.join(chosen.hint("merge"), "bucket").where((F.col("label") != F.col("hub_label")) & _can_reach("about", "hub_about"))
+        pairs = met.select(F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct()
+        pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
         done = done.union(pairs)
         fresh = stored(_verified(pairs, texts), "near-links")
         if not fresh.isEmpty():
             # The classes so far are stars already; only the new links change them.
             links = label.where("node <> component").toDF("node", "hub").union(fresh)
             label = stored(connected_components(links, "node", "hub"), "near-labels")
-            apart = _apart(posted, label)
-        beyond = stored(_beyond_hub(stored(apart.where("node <> hub").select("node", "hub").distinct(), "near-apart"), texts), "near-beyond")
-        sized = apart.select("node", "size", "label").distinct()
-        keyed = beyond.join(stored(sized, "near-sizes").hint("merge"), "node")
-        shared = stored(keyed.groupBy("bucket").agg(_hub(), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket", "hub"), "near-buckets")
-        if shared.isEmpty():
-            break
-        posted = stored(keyed.join(shared.hint("merge"), "bucket").select("bucket", "hub", "node", "size"), "near-postings")
+            members = _open_members(posted, label)
+        tried, hubs = hubs, hubs * HUB_GROWTH
     found = copies.join(label.hint("merge"), copies["node"] == label["node"], "left").select(
         "doc_id", F.coalesce("component", copies["node"]).alias("class_id"), copies["node"].alias("copy_of"))
     found = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("copy_of").alias("copy_of"))
