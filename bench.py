@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from loanloom.plans import registry  # noqa: E402
 from loanloom.plans.bank import Bank  # noqa: E402
-from loanloom.session import build_session  # noqa: E402
+from loanloom.session import build_session, release_stages  # noqa: E402
 
 HEADLINE = [
     "feature_matrix", "repayment_features", "transaction_features",
@@ -21,7 +21,7 @@ HEADLINE = [
     "customer_360", "what_if", "roc_auc", "roc_curve", "average_precision", "class_report",
     "stratified_split", "segment_profile", "clv_histogram_p99", "score_box_stats",
     "monthly_revenue_by_category", "seasonal_forecast_by_category", "arima_forecast_by_category",
-    "integrity_audit",
+    "integrity_audit", "train_lr", "train_rf", "train_gbt", "kmeans_segments", "mc_shapley", "pca_projection",
 ]
 
 
@@ -39,15 +39,22 @@ def main() -> None:
         action()
         timings[name] = round(time.perf_counter() - start, 3)
 
+    # The first job of a session also starts the executors and compiles code.
+    spark.range(1_000_000).selectExpr("sum(id * 2)", "max(id % 7)").collect()
+    known = registry.queries()
+    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(warm):
+        known["feature_matrix"](spark, warm).write.format("noop").mode("overwrite").save()
+
     # The stage outputs every report reads are timed by themselves, in build order.
     bank = Bank.of(spark, sf_dir)
     timed("stage_customers", bank.customers)
     timed("stage_clv", bank.clv)
     timed("stage_features", bank.features)
     timed("stage_segments", bank.segments)
-    known = registry.queries()
     for name in HEADLINE:
         timed(name, lambda: known[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
+    release_stages(spark)
     spark.stop()
     print(json.dumps({"metric": "total_wall_time", "value": round(sum(timings.values()), 3), "unit": "sec",
                       "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))

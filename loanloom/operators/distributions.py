@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions.columns import clip, stable_hash
-from loanloom.operators.ordered import exact_quantiles, quantile_values
+from loanloom.operators.ordered import exact_quantiles, has_value, quantile_values
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width bins over [min, max], the last one closed; empty bins are kept.
+    """Equal-width bins over [min, max], the last one closed; empty bins are kept; NULL and NaN are left out.
 
     A constant column is widened by one half on either side.
     """
-    present = df.where(F.col(value).isNotNull())
+    present = df.where(has_value(df, value))
     low, high = present.agg(F.min(value).cast("double"), F.max(value).cast("double")).first()
     if low is None:
         low, high = 0.0, 1.0
@@ -40,7 +40,7 @@ def winsorised_histogram(df: DataFrame, value: str, bins: int = 40, upper: float
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Minimum, quartiles, maximum and count per group: what a box plot draws."""
-    present = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    present = df.where(has_value(df, value) & F.col(group).isNotNull())
     quartiles = exact_quantiles(present, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[group])
     ends = present.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
                                       F.count(F.lit(1)).alias("n"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from loanloom.functions.columns import clip, flag, half_even, month_of, ratio_or, sum_where
 from loanloom.operators.ordered import range_bounds, with_range
 
+# Column names of the feature matrix.
 REPAYMENT_FEATURES = ["repayment_consistency_score", "total_missed_payments", "avg_payment_coverage",
                       "late_payment_rate", "payment_delay_frequency", "max_consecutive_missed"]
 TRANSACTION_FEATURES = ["spending_volatility", "avg_monthly_spend", "total_debit_6m", "total_credit_6m",
@@ -21,54 +22,40 @@ RATIO_FEATURES = ["credit_utilisation_ratio", "income_to_loan_ratio", "emi_to_in
                   "interest_burden_score", "loan_to_value_ratio", "credit_age_score"]
 CATEGORICALS = ["employment_type", "account_type", "city"]
 
-# A customer is hot above this many rows.  Should more than ``HOT_KEYS`` customers
-# be, only those above one part in ``HOT_KEYS`` of the table count, and of these there are fewer.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 100_000
-
-
 # -- repayment behaviour ------------------------------------------------------
 
 def coverage(paid: Column, due: Column) -> Column:
-    """Share of the instalment that was paid, between 0 and 1."""
-    return (F.when(due > 0, clip(paid / due, 0, 1))
-             .when((due == 0) & (paid > 0), F.lit(1.0)))
-
+    """Share of the instalment that was paid, clipped to 0 .. 1.
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> list:
-    """Keys that own too many rows for one task; never more than ``most`` of them."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") > hot_rows).select(key)
-    found = hot.limit(most + 1).collect()
-    if len(found) > most:
-        found = counts.where(F.col("n") > df.count() / most).select(key).collect()
-    return [row[0] for row in found]
+    A payment without an instalment counts as the clipped infinity of its sign; neither is NULL.
+    """
+    return (F.when(due != 0, clip(paid / due, 0, 1))
+             .when((due == 0) & (paid > 0), F.lit(1.0)).when((due == 0) & (paid < 0), F.lit(0.0)))
 
 
 # Sums a customer's rates are made of; they add up over any cut of the rows.
 _PARTS = ["__n", "__on_time", "__missed", "__late", "__delayed", "__covered", "__coverable"]
+_LAST = "__row_hash"
 
 
-def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Rates, counts and the longest run of missed payments per customer.
 
-    A run is a stretch of missed rows between two others in due-date order; within a date the
-    ``tie_break`` columns decide.  One shuffle by customer serves the runs and the rates: the
-    rows of a run are summed up first, then the runs of a customer.
+    A run is a stretch of missed rows between two others in due-date order, NULL dates first. Within a date the
+    ``tie_break`` columns decide, NULL first, and then a hash of the whole row, so that the
+    order never hangs on how tasks read the rows.
+
+    Every customer's time line is cut at the same bounds, which hold about equal parts of all
+    rows (``ranges`` of them), and the pieces are joined up again through their ends.  A customer
+    with a third of all rows, even on one date, is thus spread over a third of the pieces.
     """
     status = F.col("payment_status")
     rows = repayments.select(
-        "customer_id", "due_date", *tie_break,
+        "customer_id", "due_date", *tie_break, F.xxhash64(*repayments.columns).alias(_LAST),
         flag(status == "On-Time").alias("__on_time"), flag(status == "Missed").alias("__missed"),
         flag(status == "Late").alias("__late"), flag(~status.eqNullSafe("On-Time")).alias("__delayed"),
         coverage(F.col("paid_amount"), F.col("emi_amount")).alias("__covered"))
-    hot = hot_keys(repayments, "customer_id", hot_rows)
-    if hot:
-        customers = _runs_of_chunks(_cut_hot(rows, hot, tie_break), tie_break)
-    else:
-        runs = _runs(rows, ["customer_id"], tie_break)
-        customers = runs.groupBy("customer_id").agg(
-            F.max("__run").alias("max_consecutive_missed"), *[F.sum(c).alias(c) for c in _PARTS])
+    customers = _runs_of_chunks(_cut(rows, tie_break, ranges), [*tie_break, _LAST])
     return customers.select(
         "customer_id",
         (F.col("__on_time") / F.col("__n")).alias("repayment_consistency_score"),
@@ -80,9 +67,9 @@ def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), hot
     )
 
 
-def missed_streak(repayments: DataFrame, tie_break: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def missed_streak(repayments: DataFrame, tie_break: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Only the longest run; the unused sums are pruned from the plan."""
-    return repayment_features(repayments, tie_break, hot_rows).select("customer_id", "max_consecutive_missed")
+    return repayment_features(repayments, tie_break, ranges).select("customer_id", "max_consecutive_missed")
 
 
 def _runs(rows: DataFrame, by: list[str], tie_break: Sequence[str]) -> DataFrame:
@@ -97,23 +84,31 @@ def _runs(rows: DataFrame, by: list[str], tie_break: Sequence[str]) -> DataFrame
                     *[F.sum(c).alias(c) for c in ("__on_time", "__missed", "__late", "__delayed")]))
 
 
-def _cut_hot(rows: DataFrame, hot: list, tie_break: Sequence[str]) -> DataFrame:
-    """Add ``__chunk``: 0 for ordinary customers, a slice of the time line for hot ones.
+def _cut(rows: DataFrame, tie_break: Sequence[str], ranges: int | None) -> DataFrame:
+    """Add ``__chunk``: the piece of the time line a row falls into.
 
-    The slices follow (date, first tie-break) and hold about equal parts of the hot rows.
+    The place of a row is its date plus a fraction from the first tie-break, or from the row hash where there
+    is none.  It never falls as (date, tie-break, hash) rises, so pieces follow each other
+    in order; NULL comes first in both.
     """
-    listed = rows.sparkSession.createDataFrame([(k, True) for k in hot], "customer_id string, __hot boolean")
-    marked = rows.join(F.broadcast(listed), "customer_id", "left")
-    place = F.unix_date("due_date").cast("double")
-    if tie_break:
-        tie = F.col(tie_break[0])
-        edges = rows.agg(F.struct(F.min(tie).alias("low"), F.max(tie).alias("high")).alias("e")).first()["e"]
-        place = place + (tie - F.lit(edges["low"])) / F.lit(float(edges["high"] - edges["low"] + 1))
-    placed = marked.withColumn("__place", place)
-    bounds = range_bounds(placed.where("__hot"), "__place")
-    cut = with_range(placed, "__place", bounds, "__slice")
-    return (cut.withColumn("__chunk", F.when(F.col("__hot"), F.col("__slice") + 1).otherwise(F.lit(0)))
-               .drop("__hot", "__place", "__slice"))
+    kinds = dict(rows.dtypes)
+    date = F.unix_date("due_date") if kinds["due_date"] == "date" else F.col("due_date").cast("timestamp").cast("double") / 86400
+    by = tie_break[0] if tie_break else _LAST
+    fraction = F.lit(0.0)
+    if isinstance(rows.schema[by].dataType, T.NumericType):
+        edges = rows.agg(F.min(by).cast("double").alias("low"), F.max(by).cast("double").alias("high")).first()
+        if edges["low"] is not None and edges["high"] > edges["low"]:
+            # At most a half, so that rounding cannot reach the next date.
+            part = (F.col(by).cast("double") - F.lit(edges["low"])) / F.lit(edges["high"] - edges["low"])
+            fraction = F.coalesce(F.lit(0.01) + part * 0.49, F.lit(0.0))
+        else:
+            # A tie-break of one value decides nothing; the hash does.
+            fraction = F.when(F.col(by).isNull(), 0.0).otherwise(0.3) + (F.col(_LAST).cast("double") / 2.0**63 + 1) * 0.1
+    if kinds["due_date"] != "date":
+        fraction = F.lit(0.0)    # moments of a day differ by less than any fraction
+    placed = rows.withColumn("__place", F.coalesce(date.cast("double"), F.lit(-1e7)) + fraction)
+    bounds = range_bounds(placed, "__place", ranges)
+    return with_range(placed, "__place", bounds, "__chunk").drop("__place")
 
 
 def _runs_of_chunks(rows: DataFrame, tie_break: Sequence[str]) -> DataFrame:
@@ -155,11 +150,20 @@ def recent(transactions: DataFrame, months: int = 6, latest: datetime.date | Non
     groups before it.
     """
     latest = latest or latest_date(transactions)
-    return transactions.where(F.col("transaction_date") >= F.add_months(F.lit(latest), -months))
+    # A moment keeps its time of day; a date stays a date.
+    cutoff = F.add_months(F.lit(latest), -months) if not isinstance(latest, datetime.datetime) else (
+        F.lit(latest) - F.make_interval(months=F.lit(months)))
+    return transactions.where(F.col("transaction_date") >= cutoff)
+
+
+def _month_before(day: datetime.date, months: int) -> datetime.date:
+    """First day of the month so many months before that of ``day``."""
+    number = day.year * 12 + day.month - 1 - months
+    return datetime.date(number // 12, number % 12 + 1, 1)
 
 
 def monthly_activity(transactions: DataFrame) -> DataFrame:
-    """Debit, credit and row count per customer and month: the only fact shuffle."""
+    """Debit, credit and row count per customer and month."""
     kind = F.col("transaction_type")
     return transactions.groupBy("customer_id", month_of(F.col("transaction_date")).alias("month")).agg(
         F.sum(F.when(kind == "Debit", F.col("amount"))).alias("debit"),
@@ -176,17 +180,24 @@ def transaction_features(transactions: DataFrame, months: int = 6, keep_credit_o
     root of the join; ``keep_credit_only`` keeps them.  Spend statistics
     cover months with spend only.
     """
-    monthly = monthly_activity(recent(transactions, months, latest))
-    debit = F.col("debit")
-    per_customer = monthly.groupBy("customer_id").agg(
-        F.coalesce(F.stddev_samp(debit), F.lit(0.0)).alias("spending_volatility"),
-        F.coalesce(F.avg(debit), F.lit(0.0)).alias("avg_monthly_spend"),
-        F.coalesce(F.sum(debit), F.lit(0.0)).alias("total_debit_6m"),
-        F.sum("credit").alias("total_credit_6m"),
-        F.sum("n").alias("transaction_count_6m"),
-        F.count(debit).alias("__spend_months"),
-        F.max(debit).alias("__top"),
-    )
+    latest = latest or latest_date(transactions)
+    kind, amount = F.col("transaction_type"), F.col("amount")
+    month = month_of(F.col("transaction_date"))
+    # The window touches known months, so that one sum for each serves in one shuffle, folded before it.
+    touched = [] if latest is None else [_month_before(latest, i) for i in range(months + 1)]
+    spent = [f"__spent{i}" for i in range(len(touched))]
+    sums = recent(transactions, months, latest).groupBy("customer_id").agg(
+        *[F.sum(F.when((kind == "Debit") & (month == F.lit(m)), amount)).alias(c) for c, m in zip(spent, touched)],
+        sum_where(kind == "Credit", amount).alias("total_credit_6m"), F.count(F.lit(1)).alias("transaction_count_6m"))
+    known = F.array_compact(F.array(*[F.col(c) for c in spent])) if spent else F.array().cast("array<double>")
+    zero = F.lit(0).cast("double")
+    total = F.aggregate("__months", zero, lambda s, x: s + x)
+    apart = F.aggregate("__months", zero, lambda s, x: s + (x - F.col("avg_monthly_spend")) ** 2)
+    count = F.size("__months").cast("long")
+    per_customer = (sums.withColumn("__months", known)
+                    .withColumns({"__spend_months": count, "total_debit_6m": total, "__top": F.array_max("__months")})
+                    .withColumn("avg_monthly_spend", F.coalesce(F.col("total_debit_6m") / F.nullif("__spend_months", F.lit(0)), zero))
+                    .withColumn("spending_volatility", F.when(F.col("__spend_months") > 1, F.sqrt(apart / (F.col("__spend_months") - 1))).otherwise(zero)))
     if not keep_credit_only:
         per_customer = per_customer.where(F.col("__spend_months") > 0)
     high = (F.col("__spend_months") >= 2) & (F.col("__top") > 2 * F.col("avg_monthly_spend"))
@@ -223,15 +234,30 @@ def with_ratios(customers: DataFrame) -> DataFrame:
     return customers.withColumns(ratio_columns())
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICALS), limit: int = 1000) -> dict[str, list[str]]:
-    """Sorted values of each categorical column, to be stored with a model."""
-    levels = {}
-    for column in columns:
-        found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(found) > limit:
-            raise ValueError(f"{column} has more than {limit} values; it is not categorical")
-        levels[column] = sorted(row[0] for row in found)
-    return levels
+def fit_levels(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICALS)) -> dict[str, list[str]]:
+    """Sorted values of each categorical column, in one pass; to be stored with a model.
+
+    The values become columns, so their number is bounded by what a table can hold; a column of more
+    belongs into :func:`level_table`.
+    """
+    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in df.select(pair.alias("p")).select("p.*").where("value is not null").distinct().collect():
+        levels[row["column"]].append(row["value"])
+    return {c: sorted(values) for c, values in levels.items()}
+
+
+def level_table(df: DataFrame, column: str) -> DataFrame:
+    """(value, id) of a wide categorical column, which stays one id column and never reaches the driver.
+
+    Ids are hashes of the values: a value keeps its id in every later table.
+    """
+    return df.select(F.col(column).alias("value")).where("value is not null").distinct().withColumn(f"{column}_id", F.xxhash64("value"))
+
+
+def with_level_id(df: DataFrame, column: str, levels: DataFrame) -> DataFrame:
+    """Replace a wide column by its id in ``levels``; a value that is not there has none."""
+    return df.join(levels, df[column] == levels["value"], "left").drop(column, "value")
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:

@@ -111,27 +111,34 @@ def _lagged(y: np.ndarray, lags: int) -> np.ndarray:
     return np.column_stack([y[lags - i: len(y) - i] for i in range(1, lags + 1)])
 
 
-def hannan_rissanen(y: np.ndarray, d: int, steps: int) -> tuple[np.ndarray, np.ndarray]:
+FITTED, TOO_SHORT, NOT_IDENTIFIED = "fitted", "too short", "not identified"
+
+
+def hannan_rissanen(y: np.ndarray, d: int, steps: int) -> tuple[np.ndarray, np.ndarray, str]:
     """ARIMA(2, d, 2) by two least-squares stages (Hannan and Rissanen 1982).
 
     A long autoregression estimates the shocks, a second regression uses
-    two lags of the series and of the shocks.  Returns the forecast and its
-    standard error, built from the moving-average weights.
+    two lags of the series and of the shocks.  Returns the forecast, its
+    standard error, built from the moving-average weights, and a status.  A series with fewer
+    rows than parameters, or whose regressors do not tell them apart, has no forecast (NaN):
+    no other model takes its place.
     """
     w = np.diff(y) if d else y
     n = len(w)
-    if n < 24:
-        shift = float(np.mean(np.diff(y))) if len(y) > 1 else 0.0
-        spread = float(np.std(np.diff(y), ddof=1)) if len(y) > 2 else 0.0
-        ahead = np.arange(1, steps + 1)
-        return y[-1] + shift * ahead, spread * np.sqrt(ahead)
-    long = max(2, min(int(np.ceil(np.sqrt(n))), n // 4))
+    none = np.full(steps, np.nan)
+    long = max(2, min(int(np.ceil(np.sqrt(max(n, 1)))), n // 4))
+    first = long + 2
+    if n - first < 5 or n - long < long + 1:
+        return none, none, TOO_SHORT
     design = np.column_stack([np.ones(n - long), _lagged(w, long)])
     shocks = np.zeros(n)
     shocks[long:] = w[long:] - design @ np.linalg.lstsq(design, w[long:], rcond=None)[0]
-    first = long + 2
     inputs = np.column_stack([np.ones(n - first), w[first - 1:-1], w[first - 2:-2],
                               shocks[first - 1:-1], shocks[first - 2:-2]])
+    # Columns on one scale, so that the rank does not hang on the unit of the series.
+    width = np.sqrt((inputs ** 2).sum(axis=0))
+    if (width == 0).any() or np.linalg.matrix_rank(inputs / width, tol=1e-9) < 5:
+        return none, none, NOT_IDENTIFIED
     const, a1, a2, m1, m2 = np.linalg.lstsq(inputs, w[first:], rcond=None)[0]
     error = w[first:] - inputs @ np.array([const, a1, a2, m1, m2])
     sigma = float(np.sqrt(error @ error / max(len(error) - 5, 1)))
@@ -147,7 +154,7 @@ def hannan_rissanen(y: np.ndarray, d: int, steps: int) -> tuple[np.ndarray, np.n
     weights = np.array(psi[:steps])
     if d:
         mean, weights = y[-1] + np.cumsum(mean), np.cumsum(weights)
-    return mean, sigma * np.sqrt(np.cumsum(weights**2))
+    return mean, sigma * np.sqrt(np.cumsum(weights**2)), FITTED
 
 
 def arima_forecast(monthly: DataFrame, steps: int = 12, by: Sequence[str] = ()) -> DataFrame:
@@ -161,20 +168,22 @@ def arima_forecast(monthly: DataFrame, steps: int = 12, by: Sequence[str] = ())
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("month")
         y = pdf["revenue"].to_numpy(dtype=float)
-        mean, error = hannan_rissanen(y, int(pdf["d"].iloc[0]), steps)
+        mean, error, status = hannan_rissanen(y, int(pdf["d"].iloc[0]), steps)
         return pd.DataFrame({
             **{c: [pdf[c].iloc[0]] * steps for c in by},
             "step": np.arange(1, steps + 1, dtype=np.int32), "revenue": mean,
-            "lower_95": mean - Z95 * error, "upper_95": mean + Z95 * error,
+            "lower_95": mean - Z95 * error, "upper_95": mean + Z95 * error, "status": [status] * steps,
         })
 
     kinds = dict(monthly.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in by]
-                       + ["step int", "revenue double", "lower_95 double", "upper_95 double"])
+                       + ["step int", "revenue double", "lower_95 double", "upper_95 double", "status string"])
     group: Iterable[Column | str] = list(by) or [F.lit(0).alias("__series")]
     fitted = keyed.groupBy(*group).applyInPandas(fit, schema)
     calendar = forecast_calendar(monthly, steps, by)
-    return calendar.join(fitted, [*by, "step"]).select(*by, "month", "revenue", "lower_95", "upper_95")
+    # NaN of a series without a forecast becomes NULL.
+    values = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in ("revenue", "lower_95", "upper_95")]
+    return calendar.join(fitted, [*by, "step"]).select(*by, "month", *values, "status")
 
 
 # The fit travels with its task, so executors need no copy of this package.

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions.columns import half_even, stable_hash
 from loanloom.operators import evaluation
+from loanloom.operators.audit import AUC_TARGET
 from loanloom.operators.distributions import sample_rows
 from loanloom.operators.features import numeric_columns
 from loanloom.operators.ordered import order_cuts, small_copy
@@ -119,14 +121,18 @@ def score(model: PipelineModel, table: DataFrame) -> DataFrame:
     return scored.drop(*drop).withColumn("predicted", predicted_label(F.col("p_default"), DECISION_THRESHOLD))
 
 
-def cross_validate(pipeline: Pipeline, train: DataFrame, parallelism: int = 4) -> tuple[PipelineModel, float, float]:
-    """Fit on all training rows, with the mean and deviation of the AUC over the stored folds."""
-    validator = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
-        numFolds=FOLDS, foldCol="fold", parallelism=parallelism)
-    fitted = validator.fit(train)
-    return fitted.bestModel, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
+def cross_validate(pipeline: Pipeline, train: DataFrame, parallelism: int = 4) -> tuple[float, float]:
+    """Mean and deviation of the AUC over the stored folds, each scored by a model of the others."""
+    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
+
+    def one(fold: int) -> float:
+        model = pipeline.copy().fit(train.where(F.col("fold") != fold))
+        return evaluator.evaluate(model.transform(train.where(F.col("fold") == fold)))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(one, range(FOLDS)))
+    mean = sum(found) / FOLDS
+    return mean, math.sqrt(sum((x - mean) ** 2 for x in found) / FOLDS)
 
 
 def evaluate(scored: DataFrame) -> dict[str, float]:
@@ -143,28 +149,27 @@ def compare(data: DataFrame, inputs: Sequence[str], names: Sequence[str] = (LOGI
             fitted: Callable[[str], PipelineModel] | None = None) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Train the named models and compare them on the test set.
 
-    The best model is the first one with the highest AUC.  Without cross-validation,
-    ``fitted`` may hand over models that are already trained.
+    The best model is the first one with the highest AUC before rounding; the figures are
+    rounded to 4 digits on output.  ``fitted`` may hand over models that are already trained.
     """
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
     candidates = estimators(inputs, train.count())
     models, rows = {}, []
     for name in names:
-        if cross_validated:
-            models[name], mean, deviation = cross_validate(candidates[name], train, parallelism)
-        else:
-            models[name] = fitted(name) if fitted else candidates[name].fit(train)
-            mean = deviation = None
+        models[name] = fitted(name) if fitted else candidates[name].fit(train)
+        mean, deviation = cross_validate(candidates[name], train, parallelism) if cross_validated else (None, None)
         metrics = evaluate(materialise(score(models[name], test).select(LABEL, "p_default", "predicted")))
-        rows.append((name, *(round(metrics[m], 4) for m in ("auc_roc", "f1_score", "avg_precision")),
-                     None if mean is None else round(mean, 4),
-                     None if deviation is None else round(deviation, 4)))
-    best = max(rows, key=lambda r: r[1])[0]
+        rows.append((name, metrics["auc_roc"], metrics["f1_score"], metrics["avg_precision"], mean, deviation))
+    best = max(range(len(rows)), key=lambda i: (rows[i][1], -i))
+
+    def digits(x: float | None) -> float | None:
+        return None if x is None else round(x, 4)
+
     report = data.sparkSession.createDataFrame(
-        [(*r, r[0] == best, TEST_SHARE, len(inputs)) for r in rows],
+        [(r[0], *map(digits, r[1:]), i == best, TEST_SHARE, len(inputs), r[1] > AUC_TARGET) for i, r in enumerate(rows)],
         "model string, auc_roc double, f1_score double, avg_precision double, cv_auc_mean double, "
-        "cv_auc_std double, best boolean, test_size double, n_features int")
+        "cv_auc_std double, best boolean, test_size double, n_features int, target_met boolean")
     return report, models
 
 
@@ -228,43 +233,51 @@ def linear_model_shapley(model: PipelineModel, data: DataFrame, inputs: Sequence
                           {c: 0.0 for c in inputs}, k)
 
 
-def sampled_shapley(model: PipelineModel, data: DataFrame, inputs: Sequence[str], rows: int = 500,
-                    rounds: int = 4, background: int = 32, k: int = 20, seed: int = SEED) -> DataFrame:
-    """Shapley values of any model by permutation sampling (Strumbelj and Kononenko 2014).
+def shapley_values(model: PipelineModel, data: DataFrame, inputs: Sequence[str], rounds: int = 4,
+                   background: int = 32, seed: int = SEED) -> DataFrame:
+    """(customer_id, feature, phi, gap): Shapley values of every row by permutation sampling (Strumbelj and Kononenko 2014).
 
-    Each explained row and round draws a feature order and a background row.
-    For each feature, two mixed rows differ in that feature only; the
-    difference of their predictions is its contribution.  All mixed rows go
-    through the model in one batch.  ``rows`` and ``background`` are the sample
-    sizes of the method; the background is an array literal of that fixed size.
+    Each row and round draws a feature order and a background row.  The walk along the order
+    turns the background row into the explained one, a feature at a time: d + 1 mixed rows, whose
+    predictions differ by the contributions.  The contributions of a row add up to ``gap``, its mean
+    prediction less that of its background rows.  ``background`` rows are drawn by key
+    hash; they are an array literal of that fixed size.
     """
     inputs = list(inputs)
     size = len(inputs)
     vector = F.array(*[F.col(f"`{c}`").cast("double") for c in inputs])
     pool = [list(r["x"]) for r in sample_rows(data, background, seed=seed + 7).select(vector.alias("x")).collect()]
+    if not pool:
+        return data.sparkSession.createDataFrame([], "customer_id string, feature string, phi double, gap double")
     pool_array = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in pool])
-    chosen = sample_rows(data, rows, seed=seed).select("customer_id", vector.alias("x"))
-    draws = chosen.select("customer_id", "x", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
+    draws = data.select("customer_id", vector.alias("x"), F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
     draw_id = F.concat_ws("/", "customer_id", F.col("round").cast("string"))
-    draws = draws.withColumn("z", F.get(pool_array, (stable_hash(draw_id, seed) % len(pool)).cast("int")))
-    # The place of a feature in the random order is the hash of (draw, feature).
-    places = F.array(*[F.xxhash64(draw_id, F.lit(i), F.lit(seed)) for i in range(size)])
-    pairs = (draws.withColumn("place", places)
-             .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
-             .withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))))
-
-    def mixed(i: int) -> Column:
-        before = F.get("place", F.lit(i)) < F.get("place", F.col("j"))
-        keep = before | ((F.col("j") == i) & F.col("own"))
-        return F.when(keep, F.get("x", F.lit(i))).otherwise(F.get("z", F.lit(i))).alias(inputs[i])
-
-    batch = pairs.select("customer_id", "round", "j", "own", *[mixed(i) for i in range(size)])
-    sign = F.when(F.col("own"), F.lit(1.0)).otherwise(F.lit(-1.0))
-    predicted = model.transform(batch).select("customer_id", "round", "j", (sign * probability()).alias("part"))
-    # The two halves of a pair meet in the sum, so phi is a mean over rounds.
-    per_row = predicted.groupBy("customer_id", "j").agg((F.sum("part") / rounds).alias("phi"))
+    # The order of the features is that of the hashes of (draw, feature).
+    ranked = F.array_sort(F.array(*[F.struct(F.xxhash64(draw_id, F.lit(i), F.lit(seed)).alias("h"), F.lit(i).alias("i")) for i in range(size)]))
+    draws = draws.select("customer_id", "round", "x",
+                         F.get(pool_array, (stable_hash(draw_id, seed) % len(pool)).cast("int")).alias("z"),
+                         F.transform(ranked, lambda p: p["i"]).alias("order"))
+    steps = (draws.withColumn("place", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.array_position("order", i)))
+             .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(size)))))
+    mixed = [F.when(F.get("place", F.lit(i)) <= F.col("step"), F.get("x", F.lit(i))).otherwise(F.get("z", F.lit(i))).alias(c)
+             for i, c in enumerate(inputs)]
+    batch = steps.select("customer_id", "round", "order", "step", *mixed)
+    predicted = model.transform(batch).select("customer_id", "round", "order", "step", probability().alias("p"))
+    # A prediction ends the contribution of its own step's feature and begins that of the next: no join.
+    own = F.struct(F.get("order", F.col("step") - 1).alias("j"), F.col("p").alias("part"))
+    after = F.struct(F.get("order", F.col("step")).alias("j"), (-F.col("p")).alias("part"))
+    halves = predicted.select("customer_id", F.explode(F.array(own, after)).alias("half")).select("customer_id", "half.*").where("j is not null")
+    phi = halves.groupBy("customer_id", "j").agg((F.sum("part") / rounds).alias("phi"))
+    ends = predicted.groupBy("customer_id").agg(
+        ((F.sum(F.when(F.col("step") == size, F.col("p"))) - F.sum(F.when(F.col("step") == 0, F.col("p")))) / rounds).alias("gap"))
     names = F.array(*[F.lit(c) for c in inputs])
-    return (per_row.groupBy(F.get(names, F.col("j")).alias("feature"))
+    return phi.join(ends, "customer_id").select("customer_id", F.get(names, F.col("j")).alias("feature"), "phi", "gap")
+
+
+def sampled_shapley(model: PipelineModel, data: DataFrame, inputs: Sequence[str], rounds: int = 4,
+                    background: int = 32, k: int = 20, seed: int = SEED) -> DataFrame:
+    """Mean absolute :func:`shapley_values` per feature over all rows, the ``k`` largest first."""
+    return (shapley_values(model, data, inputs, rounds, background, seed).groupBy("feature")
             .agg(half_even(F.avg(F.abs("phi")), 6).alias("mean_abs_shap"))
             .orderBy(F.desc("mean_abs_shap"), "feature").limit(k))
 

@@ -3,7 +3,7 @@
 Running totals, ranks and exact quantiles need a global order.  A window
 without ``partitionBy`` would pull the whole table into one task, so the order
 axis is cut into ranges holding about the same number of rows.  Totals per range
-are tiny (at most ``buckets`` rows per group) and give every range its starting
+are small (at most ``buckets`` rows per group) and give every range its starting
 offset; inside a range an ordinary window finishes the job.  A group that holds a third
 of all rows is spread over a third of the ranges.
 
@@ -19,17 +19,24 @@ from collections.abc import Callable, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "__range"
 TOTAL = "__total"
-MIN_BUCKETS, MAX_BUCKETS = 256, 4096
+MIN_BUCKETS = 256
 SMALL_ROWS = 100_000
 
 
 def bucket_default(df: DataFrame) -> int:
-    """As many ranges as shuffle partitions, within limits, so that all cores have work."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(partitions, MIN_BUCKETS), MAX_BUCKETS)
+    """As many ranges as shuffle partitions, and enough for all cores to have work."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MIN_BUCKETS)
+
+
+def has_value(df: DataFrame, column: str) -> Column:
+    """Neither NULL nor NaN."""
+    known = F.col(column).isNotNull()
+    fractional = isinstance(df.select(column).schema[0].dataType, (T.DoubleType, T.FloatType))
+    return known & ~F.isnan(F.col(column)) if fractional else known
 
 
 def range_bounds(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
@@ -38,7 +45,7 @@ def range_bounds(df: DataFrame, column: str, buckets: int | None = None) -> list
     if buckets < 2:
         return []
     probs = [i / buckets for i in range(1, buckets)]
-    numeric = df.select(F.col(column).cast("double").alias(column))
+    numeric = df.where(has_value(df, column)).select(F.col(column).cast("double").alias(column))
     found = numeric.approxQuantile(column, probs, 1.0 / (4 * buckets))
     return sorted(set(found or []))
 
@@ -103,7 +110,7 @@ def values_at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column
     those ranges alone, with equal values folded to a count.  ``ranks`` maps a
     name to a function from the group's row count to a rank.
     """
-    present = df.where(F.col(value).isNotNull())
+    present = df.where(has_value(df, value))
     tagged = with_range(present.select(*by, value), value, range_bounds(present, value, buckets))
     sizes = tagged.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -142,7 +149,7 @@ def small_copy(df: DataFrame) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (),
                     buckets: int | None = None) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group (NULLs ignored)."""
+    """Exact, linearly interpolated quantiles per group (NULL and NaN ignored)."""
     def place(p: float, total: Column) -> Column:
         return F.lit(float(p)) * (total - 1)
 

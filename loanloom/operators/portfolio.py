@@ -237,7 +237,7 @@ def tenure_cohorts(customers: DataFrame, repayments: DataFrame) -> DataFrame:
     """On-time rate by tenure; means weigh a customer by its number of dues."""
     band = bands.left_closed(F.col("tenure_months"), bands.TENURE_SQL).alias("tenure_band")
     return (_repaying(customers, repayments).groupBy(band).agg(
-        _people().alias("customers"),
+        F.countDistinct("customer_id").alias("customers"),
         half_up(F.sum("on_time") / F.sum("dues") * 100, 2).alias("on_time_rate_pct"),
         half_up(_by_dues("credit_score"), 0).alias("avg_credit_score"),
     ).orderBy(F.desc("on_time_rate_pct"), "tenure_band"))
@@ -248,7 +248,7 @@ def tenure_cohorts_dash(customers: DataFrame, repayments: DataFrame) -> DataFram
     band = bands.right_closed(F.col("tenure_months"), bands.TENURE_DASH)
     report = (_repaying(customers, repayments).withColumn("tenure_band", band)
               .where(F.col("tenure_band").isNotNull()).groupBy("tenure_band").agg(
-                  _people().alias("n"),
+                  F.countDistinct("customer_id").alias("n"),
                   half_up(F.sum("on_time") / F.sum("dues") * 100, 2).alias("on_time_rate_pct"),
                   _by_dues("credit_score").alias("avg_credit_score")))
     labels = bands.TENURE_DASH[1]

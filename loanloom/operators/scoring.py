@@ -107,6 +107,7 @@ def predicted_label(probability: Column, threshold: float = DECISION_THRESHOLD)
 # -- scenarios ----------------------------------------------------------------
 
 # Inputs a scenario may override; anything else stays at the customer's value.
+# Columns of a scenario.
 SCENARIO_INPUTS = ["loan_amount", "credit_utilisation_ratio", "income", "credit_score",
                    "repayment_consistency_score", "total_missed_payments"]
 

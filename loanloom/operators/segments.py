@@ -103,8 +103,14 @@ def fit_kmeans(vectors: DataFrame, k: int = 4, restarts: int = 20, seed: int = 4
         model = KMeans(k=k, seed=seed + offset, maxIter=300).fit(vectors)
         return float(model.summary.trainingCost), offset, model
 
-    with ThreadPool(parallelism) as pool:
-        tried = pool.map(inheritable_thread_target(vectors.sparkSession)(attempt), range(restarts))
+    kept = vectors.is_cached
+    vectors.persist()    # one copy for all fits; a lost part is read again from the written table
+    try:
+        with ThreadPool(parallelism) as pool:
+            tried = pool.map(inheritable_thread_target(vectors.sparkSession)(attempt), range(restarts))
+    finally:
+        if not kept:
+            vectors.unpersist()
     cost, _, model = min(tried, key=lambda t: t[:2])
     return model, cost
 
@@ -118,9 +124,13 @@ def k_sweep(vectors: DataFrame, ks: Sequence[int] = tuple(range(2, 10)), restart
             seed: int = 42) -> DataFrame:
     """Inertia and silhouette per cluster count; the best silhouette is marked."""
     rows = []
-    for k in ks:
-        model, cost = fit_kmeans(vectors, k, restarts, seed)
-        rows.append((k, float(cost), float(silhouette(model, vectors))))
+    vectors.persist()
+    try:
+        for k in ks:
+            model, cost = fit_kmeans(vectors, k, restarts, seed)
+            rows.append((k, float(cost), float(silhouette(model, vectors))))
+    finally:
+        vectors.unpersist()
     best = max(rows, key=lambda r: r[2])[0]
     return vectors.sparkSession.createDataFrame(
         [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, optimal boolean")

@@ -219,3 +219,9 @@ class Bank:
                 train = data.where(F.col("split") == "train")
                 self._kept[name] = models.estimators(inputs, train.count())[name].fit(train)
             return self._kept[name]
+
+    @kept
+    def comparison(self) -> DataFrame:
+        """The three models compared, with five folds each (a few rows)."""
+        data, inputs = self.training()
+        return models.compare(data, inputs, fitted=self.trained)[0]

@@ -34,17 +34,21 @@ class Outputs:
 def run(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
         model_names: Sequence[str] = (models.LOGISTIC, models.FOREST, models.BOOSTING),
         cross_validated: bool = True, forecast_method: str = "arima", clusters: int = 4,
-        restarts: int = 20) -> DataFrame:
+        restarts: int = 20, levels_from: str | None = None) -> DataFrame:
     """Build features, train and score, estimate value, forecast, segment; return the audit.
 
     ``source`` holds one folder (or file) per base table, ``target`` receives the outputs.
+    The levels of the categorical columns are stored beside the models; ``levels_from`` names the folder of an
+    earlier run whose levels (and so whose model columns) are used again.
     Tables are written at the boundaries where a later stage reads them many times.
     """
     customers, repayments, transactions = (
         tables.read_table(spark, f"{source}/{name}", name, fmt) for name in BASE_TABLES)
     out = Outputs(spark, target)
 
-    matrix = out.save("feature_matrix", features.feature_matrix(customers, repayments, transactions))
+    levels = tables.read_levels(spark, f"{levels_from.rstrip('/')}/levels") if levels_from else features.fit_levels(customers)
+    tables.write_levels(spark, levels, out.path("levels"))
+    matrix = out.save("feature_matrix", features.feature_matrix(customers, repayments, transactions, levels))
 
     data, inputs = models.training_set(matrix)
     report, fitted = models.compare(data, inputs, model_names, cross_validated)
@@ -66,10 +70,10 @@ def run(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
     ahead = {"arima": forecast.arima_forecast, "seasonal": forecast.seasonal_forecast}[forecast_method](monthly)
     out.save("revenue_forecast", forecast.with_history(monthly, ahead))
 
-    values = clv.estimate_clv(customers, risk)
+    values = out.save("clv_values", clv.estimate_clv(customers, risk))
     estimates = out.save("clv_estimates", clv.with_clv_tier(values, clv.fit_clv_cuts(values)))
 
-    cluster_inputs = segments.cluster_inputs(matrix, estimates, risk)
+    cluster_inputs = out.save("cluster_inputs", segments.cluster_inputs(matrix, estimates, risk))
     scaler = segments.fit_scaler(cluster_inputs)
     vectors = segments.standardised_vectors(cluster_inputs, scaler)
     kmeans, _ = segments.fit_kmeans(vectors, clusters, restarts)

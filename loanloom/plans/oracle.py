@@ -514,6 +514,24 @@ from (select *, row_number() over (partition by defaulted order by h) as rn,
     count(*) over (partition by defaulted) as n
   from (select *, {hashed('customer_id', 43)} as h from customers))""")
 
+SPLIT = SQL["stratified_split"][1]
+sql("shapley_gap", ["customers"], f"""
+select count(*) as rows, 0.0::double as largest from ({SPLIT}) where split = 'test'""")
+FOLD = " + ".join(f"(rn > floor({i}::double / 5 * n + 0.5::double))::int" for i in range(1, 5))
+sql("trained_rows", ["customers"], f"""
+select model, split, fold, count(*) as rows, cast(sum(defaulted) as bigint) as defaults, 0::bigint as faults
+from (
+  select customer_id, defaulted, 'train' as split, {FOLD} as fold
+  from (select *, row_number() over (partition by defaulted order by h) as rn, count(*) over (partition by defaulted) as n
+        from (select *, {hashed('customer_id', 43)} as h from ({SPLIT}) where split = 'train'))
+  union all select customer_id, defaulted, split, -1 from ({SPLIT}) where split = 'test')
+cross join (values ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) as m(model) group by all""")
+sql("saved_model_gap", ["customers"], "select count(*) as rows, 0::bigint as changed from customers")
+sql("model_tier_rows", ["customers"], """
+select count(*) as rows, count(distinct customer_id) as customers, 0::bigint as wrong from customers""")
+sql("kmeans_fixed_point", ["customers"], "select count(*) as rows, 0::bigint as astray from customers")
+sql("pca_axes", ["customers"], "select count(*) as rows, 0.0::double as correlation, 0.0::double as off from customers")
+
 sql("decisions", ["decided"], "select customer_id, predicted from decided")
 sql("roc_auc", ["sweep"], """
 select round(sum(pos * (all_neg - fp + 0.5::double * neg)) / (max(all_pos)::double * max(all_neg)), 9) as roc_auc
@@ -645,7 +663,7 @@ sql("customer_sample", ["people"], f"""
 select customer_id, credit_score from people order by {hashed('customer_id', 42)}, customer_id limit 1200""")
 sql("sample_per_segment", ["customer_segments"], f"""
 select customer_id, segment from customer_segments
-qualify row_number() over (partition by segment order by {hashed('customer_id', 42)}, customer_id) <= 100""")
+qualify row_number() over (partition by segment order by {hashed('customer_id', 42)}, customer_id) <= 500""")
 
 sql("zscore", ["zscores"], "select customer_id, " + ", ".join(
     f"round(z_{c}, 6) as z_{c}" for c in CLUSTER_FEATURES) + " from zscores")

@@ -11,6 +11,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -465,7 +466,7 @@ def customer_sample(b: Bank):
 
 @query
 def sample_per_segment(b: Bank):
-    return distributions.sample_per_group(b.segments(), ["segment"], 100)
+    return distributions.sample_per_group(b.segments(), ["segment"], 500)
 
 
 @query
@@ -650,16 +651,19 @@ def saved_model_scores(b: Bank):
 
 @query
 def cv_auc(b: Bank):
-    """Five-fold AUC of the logistic model."""
-    data, inputs = b.training()
-    return models.compare(data, inputs, [models.LOGISTIC])[0]
+    """Five-fold AUC of the three models."""
+    return b.comparison().select("model", "cv_auc_mean", "cv_auc_std")
 
 
 @query
 def model_comparison(b: Bank):
-    """Hold-out metrics of the three models, without cross-validation."""
-    data, inputs = b.training()
-    return models.compare(data, inputs, cross_validated=False, fitted=b.trained)[0]
+    """Hold-out and cross-validated metrics of the three models."""
+    return b.comparison()
+
+
+@query
+def auc_target(b: Bank):
+    return audit.auc_target(b.comparison())
 
 
 @query
@@ -686,6 +690,15 @@ def mc_shapley(b: Bank):
     return models.explain(models.FOREST, b.trained(models.FOREST), data, inputs)
 
 
+@query
+def shapley_gap(b: Bank):
+    """Largest difference between a row's summed contributions and what they explain; zero up to rounding."""
+    data, inputs = b.training()
+    values = models.shapley_values(b.trained(models.LOGISTIC), data.where(F.col("split") == "test"), inputs, rounds=1)
+    per_row = values.groupBy("customer_id").agg(F.abs(F.sum("phi") - F.max("gap")).alias("off"))
+    return per_row.agg(F.count(F.lit(1)).alias("rows"), half_up(F.max("off"), 6).alias("largest"))
+
+
 @query
 def model_risk_tiers(b: Bank):
     """Tiers of the whole book under the trained logistic model."""
@@ -717,4 +730,66 @@ def k_sweep(b: Bank):
 
 @query
 def pca_projection(b: Bank):
-    return segments.pca_projection(b.vectors())[0]
+    """First two components of every row, with the share of the variance each explains."""
+    projected, shares = segments.pca_projection(b.vectors())
+    return projected.withColumns({f"share{i + 1}": F.lit(v) for i, v in enumerate(shares)})
+
+
+# -- statements about trained models, whose right sides the SQL twins derive from the tables ------
+
+@query
+def trained_rows(b: Bank):
+    """Rows, defaults and wrong decisions per model, split and fold of the training table."""
+    data, _ = b.training()
+    parts = []
+    for name in (models.LOGISTIC, models.FOREST, models.BOOSTING):
+        scored = models.score(b.trained(name), data)
+        wrong = F.col("predicted") != F.when(F.col("p_default") >= F.lit(0.40), 1).otherwise(0)
+        outside = ~F.col("p_default").between(0, 1) | F.col("p_default").isNull()
+        parts.append(scored.groupBy(F.lit(name).alias("model"), "split", "fold").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("defaulted").cast("long").alias("defaults"),
+            F.sum((wrong | outside).cast("long")).alias("faults")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query
+def saved_model_gap(b: Bank):
+    """Customers scored by the saved model, and those whose score it changes."""
+    own = _scores(b, models.LOGISTIC).select("customer_id", F.col("p_default").alias("p"))
+    return saved_model_scores(b).join(own, "customer_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum((F.abs(F.col("p_default") - F.col("p")) > 1e-12).cast("long")).alias("changed"))
+
+
+@query
+def model_tier_rows(b: Bank):
+    """Customers in the tiers of the trained model, and those whose tier does not follow from the exported probability."""
+    tiers = model_risk_tiers(b)
+    p = F.col("default_probability")
+    told = F.when(p <= 0, None).when(p <= 0.30, "Low").when(p <= 0.60, "Medium").otherwise("High")
+    # A probability within rounding of a bound may fall to either side of it.
+    near = (F.abs(p - 0.30) <= 1e-4) | (F.abs(p - 0.60) <= 1e-4) | (p <= 1e-4)
+    wrong = ~near & ~F.substring(F.col("risk_tier"), 1, 3).eqNullSafe(F.substring(told, 1, 3))
+    return tiers.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("customer_id").alias("customers"), F.sum(wrong.cast("long")).alias("wrong"))
+
+
+@query
+def kmeans_fixed_point(b: Bank):
+    """Customers clustered, and clusters whose centre is not the mean of its rows (to two digits)."""
+    model, _ = segments.fit_kmeans(b.vectors())
+    x = vector_to_array("features")
+    clustered = model.transform(b.vectors()).withColumn("x", x)
+    size = len(model.clusterCenters()[0])
+    means = clustered.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(size)])
+    centres = b.spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())], "prediction int, c array<double>")
+    off = F.greatest(*[F.abs(F.col(f"m{i}") - F.col("c")[i]) for i in range(size)])
+    return means.join(centres, "prediction").agg(F.sum("n").alias("rows"), F.sum((off > 0.01).cast("long")).alias("astray"))
+
+
+@query
+def pca_axes(b: Bank):
+    """Correlation of the first two components, the variance along them over all variance, and the shares stated."""
+    projected = pca_projection(b)
+    total = len(segments.CLUSTER_FEATURES)
+    return projected.agg(
+        F.count(F.lit(1)).alias("rows"), F.abs(half_up(F.corr("pc1", "pc2"), 6)).alias("correlation"),
+        half_up(F.abs(F.var_samp("pc1") / F.var_samp("pc2") - F.max("share1") / F.max("share2")), 4).alias("off"))

@@ -58,9 +58,9 @@ ROWS_PER_BUCKET = 1_000_000
 _stage_tables: list[str] = []
 
 
-def bucket_count(rows: int) -> int:
-    """Power of two that keeps a bucket near ``ROWS_PER_BUCKET`` rows."""
-    return 1 << max(0, (rows // ROWS_PER_BUCKET).bit_length())
+def bucket_count(rows: int, least: int = 1) -> int:
+    """Power of two that keeps a bucket near ``ROWS_PER_BUCKET`` rows, and no fewer than ``least``, so that all cores have one."""
+    return 1 << max((rows // ROWS_PER_BUCKET).bit_length(), (least - 1).bit_length())
 
 
 def materialise(df: DataFrame, name: str = "stage", key: str | None = None, rows: int = 0) -> DataFrame:
@@ -78,7 +78,7 @@ def materialise(df: DataFrame, name: str = "stage", key: str | None = None, rows
     if key is None:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
-    buckets = bucket_count(rows)
+    buckets = bucket_count(rows, spark.sparkContext.defaultParallelism)
     # One task per bucket, so that a bucket is one file.
     (df.repartition(buckets, key).write.format("parquet").option("path", path)
        .bucketBy(buckets, key).saveAsTable(table))

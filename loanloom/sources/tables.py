@@ -82,3 +82,16 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     """Turn NaN in floating columns into NULL, so aggregates skip it."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+
+
+def write_levels(spark: SparkSession, levels: dict[str, list[str]], path: str) -> None:
+    """Store the fitted levels of the categorical columns beside the model that was trained on them."""
+    rows = [(column, place, value) for column, values in levels.items() for place, value in enumerate(values)]
+    write_metrics(spark.createDataFrame(rows, "column string, place int, value string"), path)
+
+
+def read_levels(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    levels: dict[str, list[str]] = {}
+    for row in read_metrics(spark, path, "column string, place int, value string").orderBy("column", "place").collect():
+        levels.setdefault(row["column"], []).append(row["value"])
+    return levels

@@ -17,7 +17,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "loanloom-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
-        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -30,6 +30,21 @@ def test_batch_run(spark, sf, tmp_path, fmt, method):
     assert loaded.transform(models.prepare(matrix)[0]).count() == 150
 
 
+def test_stored_levels_keep_the_columns_of_the_model(spark, sf, tmp_path):
+    from pyspark.sql import functions as F
+
+    from loanloom.operators import features
+    customers = Bank.of(spark, sf).customers()
+    tables.write_levels(spark, features.fit_levels(customers), str(tmp_path / "levels"))
+    levels = tables.read_levels(spark, str(tmp_path / "levels"))
+    assert levels == features.fit_levels(customers)
+    gone = levels["city"][0]
+    later = customers.where(F.col("city") != gone).withColumn("city", F.when(F.col("city") == levels["city"][1], "Atlantis").otherwise(F.col("city")))
+    matrix = features.one_hot(later, levels)
+    assert [c for c in matrix.columns if c.startswith("city_")] == [f"city_{v}" for v in levels["city"]]
+    assert matrix.agg(F.sum(f"city_{gone}")).first()[0] == 0
+
+
 def test_sql_runs_on_the_views(spark, sf):
     views.publish_bank(spark, sf)
     monthly = spark.sql("""

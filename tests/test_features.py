@@ -23,39 +23,64 @@ def longest(history):
     return max((len(list(g)) for k, g in itertools.groupby(history) if k == "M"), default=0)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 12, features.HOT_ROWS])
-def test_longest_missed_run(spark, hot_rows):
+@pytest.mark.parametrize("ranges", [1, 2, 17, None])
+def test_longest_missed_run(spark, ranges):
     rng = random.Random(11)
     histories = {"mid": "MMOMMML", "none": "OO", "all": "MMM", "tail": "OMM", "head": "MMO", "one": "M",
                  "hot": "".join(rng.choices("MMMO", k=400)), "hot_all": "M" * 300,
                  **{f"r{i}": "".join(rng.choices("MOL", k=rng.randint(1, 20))) for i in range(40)}}
-    got = {r[0]: r[1] for r in features.missed_streak(repayments(spark, histories), hot_rows=hot_rows).collect()}
+    got = {r[0]: r[1] for r in features.missed_streak(repayments(spark, histories), ranges=ranges).collect()}
     assert got == {c: longest(h) for c, h in histories.items()}
 
 
-def test_hot_customers_keep_the_same_rates(spark):
+def test_rates_do_not_depend_on_the_cuts(spark):
     rng = random.Random(3)
     data = repayments(spark, {f"c{i}": "".join(rng.choices("MOL", k=5 + 40 * (i == 0))) for i in range(6)})
-    plain = features.repayment_features(data).orderBy("customer_id").collect()
-    cut = features.repayment_features(data, hot_rows=10).orderBy("customer_id").collect()
+    plain = features.repayment_features(data, ranges=1).orderBy("customer_id").collect()
+    cut = features.repayment_features(data, ranges=30).orderBy("customer_id").collect()
     for a, b in zip(plain, cut, strict=True):
         assert a.asDict() == pytest.approx(b.asDict())
 
 
-def test_hot_list_is_bounded(spark):
-    data = repayments(spark, {f"c{i}": "O" * (50 if i == 0 else 3) for i in range(30)})
-    assert features.hot_keys(data, "customer_id", 10) == ["c0"]
-    assert len(features.hot_keys(data, "customer_id", 1)) == 30
-    # 30 keys pass the first limit but only one owns more than a fifth of the rows.
-    assert features.hot_keys(data, "customer_id", 1, most=5) == ["c0"]
+TIED = "customer_id string, due_date date, emi_amount double, paid_amount double, payment_status string, k long"
+
+
+@pytest.mark.parametrize("ranges", [1, 5, 40])
+def test_null_ties_and_crowded_dates_follow_one_order(spark, ranges):
+    rng = random.Random(7)
+    rows = []
+    for customer, n, days in (("one_date", 150, 1), ("few_dates", 90, 3), ("many", 60, 60), ("null_dates", 40, 4)):
+        for i in range(n):
+            day = rng.randrange(days)
+            date = None if customer == "null_dates" and day == 0 else DAY + datetime.timedelta(days=day)
+            rows.append((customer, date, 1.0, 0.0, WORD[rng.choice("MMO")], None if i % 25 == 0 else i))
+    # Ties that stay open after date and tie-break would hang on the row hash: one NULL tie for each date.
+    seen, unique = set(), []
+    for r in rows:
+        if r[5] is not None or (r[0], r[1]) not in seen:
+            unique.append(r)
+            seen.add((r[0], r[1]) if r[5] is None else None)
+    want = {}
+    for customer in {r[0] for r in unique}:
+        own = sorted((r for r in unique if r[0] == customer), key=lambda r: (r[1] is not None, r[1] or DAY, r[5] is not None, r[5] or 0))
+        want[customer] = longest(["M" if r[4] == "Missed" else "O" for r in own])
+    rng.shuffle(unique)
+    got = features.missed_streak(spark.createDataFrame(unique, TIED), ["k"], ranges=ranges)
+    assert {r[0]: r[1] for r in got.collect()} == want
+
+
+def test_without_a_tie_break_the_order_is_the_same_for_any_cut(spark):
+    rng = random.Random(9)
+    rows = [("c", DAY, float(i), 0.0, WORD[rng.choice("MMO")], i) for i in range(200)]
+    got = {features.missed_streak(spark.createDataFrame(rng.sample(rows, 200), TIED).repartition(n), ranges=r).first()[1]
+           for n, r in ((1, 1), (3, 7), (5, 50))}
+    assert len(got) == 1
 
 
 def test_same_day_rows_follow_the_tie_break(spark):
     rows = [("c", DAY, 1.0, 0.0, s, k) for k, s in enumerate(["Missed", "On-Time", "Missed", "Missed"])]
-    df = spark.createDataFrame(rows, "customer_id string, due_date date, emi_amount double, paid_amount double, "
-                                     "payment_status string, k long")
-    for hot in (1, 10):
-        assert features.missed_streak(df, ["k"], hot_rows=hot).first()[1] == 2
+    for ranges in (1, 10):
+        assert features.missed_streak(spark.createDataFrame(rows, TIED), ["k"], ranges=ranges).first()[1] == 2
 
 
 def test_repayment_invariants(spark):
@@ -67,9 +92,9 @@ def test_repayment_invariants(spark):
 
 
 def test_coverage_is_clipped(spark):
-    df = spark.createDataFrame([(120.0, 100.0), (50.0, 100.0), (5.0, 0.0), (0.0, 0.0)], "paid double, due double")
+    df = spark.createDataFrame([(120.0, 100.0), (50.0, 100.0), (5.0, 0.0), (0.0, 0.0), (50.0, -100.0), (-5.0, 0.0)], "paid double, due double")
     got = [r[0] for r in df.select(features.coverage(F.col("paid"), F.col("due"))).collect()]
-    assert got == [1.0, 0.5, 1.0, None]
+    assert got == [1.0, 0.5, 1.0, None, 0.0, 0.0]
 
 
 def transactions(spark, rows):
@@ -103,6 +128,12 @@ def test_month_end_cutoff_is_clipped(spark):
     assert days == {"2024-08-31", "2024-02-29"}
 
 
+def test_a_moment_keeps_its_time_of_day(spark):
+    df = spark.createDataFrame([(datetime.datetime(2024, 12, 31, 12), ), (datetime.datetime(2024, 6, 30, 12), ), (datetime.datetime(2024, 6, 30, 11), )],
+                               "transaction_date timestamp")
+    assert features.recent(df).count() == 2
+
+
 def test_cutoff_reaches_the_scan(spark, sf):
     from loanloom.plans.bank import Bank
     bank = Bank.of(spark, sf)
@@ -129,8 +160,13 @@ def test_one_hot_and_levels(spark):
     out = features.one_hot(df, levels)
     assert out.columns == ["customer_id", "n", "kind_x", "kind_y z"]
     assert [tuple(r) for r in out.orderBy("customer_id").collect()] == [("a", 1, 1, 0), ("b", 2, 0, 1), ("c", 3, 0, 0)]
-    with pytest.raises(ValueError):
-        features.fit_levels(df, ["customer_id"], limit=2)
+    wide = spark.range(1001).select(F.concat(F.lit("v"), "id").alias("wide"), F.lit("k").alias("kind"))
+    levels = features.fit_levels(wide, ["wide", "kind"])
+    assert len(levels["wide"]) == 1001 and levels["kind"] == ["k"]
+    table = features.level_table(wide, "wide")
+    unseen = wide.limit(3).union(spark.createDataFrame([("new", "k"), (None, "k")], "wide string, kind string"))
+    ids = features.with_level_id(unseen, "wide", table)
+    assert ids.columns == ["kind", "wide_id"] and ids.where("wide_id is null").count() == 2
 
 
 def test_column_selection(spark):

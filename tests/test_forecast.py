@@ -50,24 +50,37 @@ def test_arima_fit_finds_the_autoregression():
     y = np.zeros(600)
     for t in range(1, 600):
         y[t] = 5 + 0.6 * y[t - 1] + rng.normal()
-    mean, error = forecast.hannan_rissanen(y, 0, 24)
+    mean, error, status = forecast.hannan_rissanen(y, 0, 24)
+    assert status == forecast.FITTED
     assert mean[-1] == pytest.approx(5 / 0.4, abs=0.6)
     assert error[0] == pytest.approx(1.0, abs=0.15)
     assert np.all(np.diff(error) >= -1e-9)
 
 
-def test_arima_many_series_and_drift_fallback(spark):
+def test_arima_says_which_series_it_could_not_fit(spark):
     rng = np.random.default_rng(2)
     df = series(spark, long=50 + rng.normal(size=80), short=[1.0, 2.0, 3.0, 4.0], single=[9.0])
     got = forecast.arima_forecast(df, 6, ["key"]).collect()
     assert len(got) == 18
-    short = sorted((r["month"], r["revenue"]) for r in got if r["key"] == "short")
-    assert [v for _, v in short] == pytest.approx([5, 6, 7, 8, 9, 10])
-    assert {r["revenue"] for r in got if r["key"] == "single"} == {9.0}
+    for r in got:
+        fitted = r["key"] == "long"
+        assert (r["status"] == forecast.FITTED) is fitted and (r["revenue"] is not None) is fitted and (r["upper_95"] is not None) is fitted
+
+
+@pytest.mark.parametrize("d", [0, 1])
+def test_arima_is_one_model_at_every_length(d):
+    rng = np.random.default_rng(4)
+    y = 100 + np.cumsum(rng.normal(size=41))
+    known = [forecast.hannan_rissanen(y[:n], d, 3) for n in range(3, 41)]
+    states = [s for *_, s in known]
+    assert states == sorted(states, key=lambda s: s == forecast.FITTED) and states[0] == forecast.TOO_SHORT and states[-1] == forecast.FITTED
+    assert states.count(forecast.FITTED) > 25
+    assert all(np.isfinite(m).all() == (s == forecast.FITTED) for m, _, s in known)
+    assert forecast.hannan_rissanen(np.full(30, 7.0), 0, 3)[2] == forecast.NOT_IDENTIFIED
 
 
 def test_single_series_and_history(spark):
-    monthly = series(spark, a=50 + np.arange(40.0)).drop("key")
+    monthly = series(spark, a=50 + np.arange(40.0) + np.random.default_rng(3).normal(size=40)).drop("key")
     ahead = forecast.arima_forecast(monthly, 12)
     combined = forecast.with_history(monthly, ahead)
     assert combined.columns == ["month", "revenue", "lower_95", "upper_95", "type"]

@@ -43,6 +43,16 @@ def test_logistic_model_learns_the_label(bank):
     assert document["models"][name]["auc_roc"] == document["best_auc"] == row["auc_roc"]
 
 
+def test_best_model_is_the_first_of_the_unrounded_maximum(bank, monkeypatch):
+    data, inputs = bank.training()
+    figures = iter([{"auc_roc": x, "f1_score": 0.5, "avg_precision": 0.5} for x in (0.88004, 0.88001, 0.88004)])
+    monkeypatch.setattr(models, "evaluate", lambda scored: next(figures))
+    names = [models.BOOSTING, models.FOREST, models.LOGISTIC]
+    report, _ = models.compare(data, inputs, names, cross_validated=False, fitted=lambda n: bank.trained(models.LOGISTIC))
+    rows = report.collect()
+    assert [r["best"] for r in rows] == [True, False, False] and {r["auc_roc"] for r in rows} == {0.88} and rows[1]["target_met"]
+
+
 def test_linear_contributions(spark):
     df = spark.createDataFrame([(1.0, 4.0), (3.0, 4.0)], "a double, b double")
     got = models.linear_shapley(df, {"a": F.col("a"), "b": F.col("b")}, {"a": -2.0, "b": 5.0}, {"a": 2.0, "b": 4.0})
@@ -60,7 +70,10 @@ def test_sampled_contributions_add_up(spark):
     df = spark.createDataFrame(rows, "customer_id string, defaulted int, a double, b double, c double")
     model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "c"], outputCol="features"),
                              LogisticRegression(labelCol="defaulted", regParam=0.05)]).fit(df)
-    got = models.sampled_shapley(model, df, ["a", "b", "c"], rows=60, rounds=6).collect()
+    got = models.sampled_shapley(model, df.limit(60), ["a", "b", "c"], rounds=6).collect()
+    every = models.shapley_values(model, df, ["a", "b", "c"], rounds=2).groupBy("customer_id").agg(
+        F.count("*").alias("n"), F.abs(F.sum("phi") - F.max("gap")).alias("off"))
+    assert every.count() == 400 and every.where("n <> 3 or off > 1e-9").count() == 0
     assert [r["feature"] for r in got] == ["a", "b", "c"]
     assert got[0]["mean_abs_shap"] > 2 * got[1]["mean_abs_shap"]
 
