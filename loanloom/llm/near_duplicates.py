@@ -36,8 +36,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Members that one task compares with a hub at a time.
 MEMBERS_PER_CHUNK = 64
-#: Hubs of an open bucket grow by this factor from round to round.
-HUB_GROWTH = 16
+#: Hubs of an open bucket in the rounds; in the last all members are (None).
+HUB_ROUNDS = (1, 16, None)
 
 
 def weighted(codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,8 +265,8 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     # A text of which more than this is its own is like no other.
     shares = shares.where(F.col("own") <= 1 - SIMILARITY + 1e-9)
     about = shares.select("node", F.struct("size", "flat", "texts", "own").alias("about"))
-    tried, hubs = 0, 1
-    while True:
+    tried = 0
+    for hubs in HUB_ROUNDS:
         live = stored(members.join(about.hint("merge"), "node"), "near-live")
         counts = live.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
         still = stored(counts.where((F.col("a") != F.col("b")) & (F.col("n") > tried + 1)).select("bucket"), "near-still")
@@ -274,8 +274,9 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             break
         live = stored(live.join(still.hint("merge"), "bucket"), "near-live")
         order = Window.partitionBy("bucket").orderBy("about.own", "node")
-        chosen = stored(live.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs)
-                        .select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), F.col("about").alias("hub_about")), "near-hubs")
+        leading = live.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs) if hubs else live
+        chosen = stored(leading.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"),
+                                       F.col("about").alias("hub_about")), "near-hubs")
         met = live.join(chosen.hint("merge"), "bucket").where((F.col("label") != F.col("hub_label")) & _can_reach("about", "hub_about"))
         pairs = met.select(F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct()
         pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
@@ -286,7 +287,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             links = label.where("node <> component").toDF("node", "hub").union(fresh)
             label = stored(connected_components(links, "node", "hub"), "near-labels")
             members = _open_members(posted, label)
-        tried, hubs = hubs, hubs * HUB_GROWTH
+        tried = hubs
     found = copies.join(label.hint("merge"), copies["node"] == label["node"], "left").select(
         "doc_id", F.coalesce("component", copies["node"]).alias("class_id"), copies["node"].alias("copy_of"))
     found = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("copy_of").alias("copy_of"))
