@@ -128,3 +128,14 @@ def test_scenarios(spark):
     assert got["same"]["probability_change"] == pytest.approx(got["same"]["simulated_probability"] - 0.2)
     with pytest.raises(ValueError):
         scoring.expand_scenarios(book, {"x": {"age": "1"}})
+
+
+def test_nan_counts_as_missing(spark):
+    from loanloom.operators import distributions
+    from loanloom.operators.ordered import quantile_values
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "a"), (float("nan"), "a"), (None, "a")], "x double, g string")
+    bins = distributions.histogram(df, "x", 4).orderBy("bin").collect()
+    assert [r["n"] for r in bins] == [1, 0, 0, 1] and [r["midpoint"] for r in bins] == [1.125, 1.375, 1.625, 1.875]
+    assert quantile_values(df, "x", [0.5]) == [1.5]
+    box = distributions.box_stats(df, "g", "x").first()
+    assert (box["n"], box["min"], box["max"]) == (2, 1.0, 2.0)
