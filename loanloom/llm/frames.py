@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -45,7 +46,23 @@ def quoted(name: str) -> Column:
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
+    """``mapInArrow`` that gives memory back when a task ends.
+
+    Python workers live on for later stages, and what the C allocator keeps of one stage's arrays would add to
+    that of the next.
+    """
+    def run(batches):
+        yield from work(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)    # of the GNU C library
+    if trim:
+        trim(0)
 
 
 def bucket_of(column: Column, modulus: int) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.frames import map_arrow, quoted, stored, unused
+from loanloom.llm.tokens import slices
 
 LEAST_CHARACTERS, LEAST_DOCUMENTS = 40, 5
 BITS_PER_KEY = 16
@@ -215,22 +216,26 @@ def without_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_colu
 
     def work(batches):
         for batch in batches:
-            texts, n_lines, n_dropped = [], [], []
-            for text, high, low in zip(batch.column(place), batch.column("high"), batch.column("low")):
-                raw = text.as_py()
-                n, gone = (raw.count("\n") + 1 if raw else 1), 0
-                if raw and high.is_valid:
-                    lines = raw.encode().split(b"\n")
-                    taken = {bytes(x) for x in np.column_stack([np.asarray(high.values), np.asarray(low.values)]).astype(np.int64)}
-                    kept = [x for x in lines if (k := line_key(x)) is None or digest(k) not in taken]
-                    gone, raw = n - len(kept), b"\n".join(kept).decode()
-                texts.append(raw)
-                n_lines.append(n)
-                n_dropped.append(gone)
-            arrays = list(batch.columns[:n_columns])
-            arrays[place] = pa.array(texts, batch.schema.field(place).type)
-            arrays += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
+            for a, b in slices(batch.column(place)):
+                yield cleaned(batch.slice(a, b - a))
+
+    def cleaned(batch):
+        texts, n_lines, n_dropped = [], [], []
+        for text, high, low in zip(batch.column(place), batch.column("high"), batch.column("low")):
+            raw = text.as_py()
+            n, gone = (raw.count("\n") + 1 if raw else 1), 0
+            if raw and high.is_valid:
+                lines = raw.encode().split(b"\n")
+                taken = {bytes(x) for x in np.column_stack([np.asarray(high.values), np.asarray(low.values)]).astype(np.int64)}
+                kept = [x for x in lines if (k := line_key(x)) is None or digest(k) not in taken]
+                gone, raw = n - len(kept), b"\n".join(kept).decode()
+            texts.append(raw)
+            n_lines.append(n)
+            n_dropped.append(gone)
+        arrays = list(batch.columns[:n_columns])
+        arrays[place] = pa.array(texts, batch.schema.field(place).type)
+        arrays += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
 
     kinds = [f.dataType.simpleString() for f in docs.schema] + ["bigint", "bigint"]
     out = map_arrow(met, work, ", ".join(f"c{i} {k}" for i, k in enumerate(kinds)))
