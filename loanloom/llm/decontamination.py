@@ -4,7 +4,8 @@ A window of ``SPAN`` words is cut into four blocks; each of the six masks looks
 at two blocks and ignores the other two, so that a window with at most two
 substituted words agrees under at least one mask.  Masked hashes of the test
 items are met with those of every document window; each agreement is verified
-on its diagonal, where the best run of equal words with few substitutions must be long enough.
+on its diagonal: some run that begins and ends with equal words must be long enough and have few
+substitutions, and the longest such run is told.
 
 The test set is the small side.  It is taken in blocks of a fixed size, each of which
 is sent to all tasks; documents are read once for each block and never shuffled.
@@ -28,8 +29,8 @@ SPAN, PIECE = 12, 3
 MASKS = [np.array([PIECE * p + j for p in pair for j in range(PIECE)]) for pair in combinations(range(SPAN // PIECE), 2)]
 #: An item of fewer words is too common to prove anything; one of fewer than SPAN words must match whole.
 LEAST_ITEM = 5
-#: Least words of a verified run, least share of them equal, and what a substituted word costs while a run is sought.
-LEAST_RUN, LEAST_SHARE, SUBSTITUTION_COST = 12, 0.75, 2
+#: Least words of a verified run, and the least share of them that are equal, as equal words to each substituted one.
+LEAST_RUN, EQUAL_TO_EACH = 12, 3
 #: Text bytes of test items held by a task at once.
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
@@ -84,7 +85,7 @@ class SeedIndex:
         return self._filter
 
     def overlaps(self, codes: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int, int]]:
-        """(row, item) -> run length, equal words, first document word and first item word of the best verified run."""
+        """(row, item) -> run length, equal words, first document word and first item word of the longest verified run."""
         triples = []
         if not len(self.keys):
             return {}
@@ -105,7 +106,8 @@ class SeedIndex:
         if triples:
             for row, item, diagonal in np.unique(np.concatenate(triples), axis=0).tolist():
                 run = self._verified(codes[first[row]:first[row + 1]], item, diagonal)
-                if run and (run[1], -run[2]) > (found.get((row, item), (0, 0, 0, 0))[1], -found.get((row, item), (0, 0, 0, 0))[2]):
+                best = found.get((row, item), (0, 0, 0, 0))
+                if run and (run[0], run[1], -run[2]) > (best[0], best[1], -best[2]):
                     found[row, item] = run
         return found
 
@@ -113,14 +115,19 @@ class SeedIndex:
         own = self.codes[self.first[item]:self.first[item + 1]]
         begin, end = max(0, -diagonal), min(len(own), len(doc) - diagonal)
         equal = own[begin:end] == doc[begin + diagonal:end + diagonal]
-        sums = np.concatenate(([0], np.cumsum(np.where(equal, 1, -SUBSTITUTION_COST))))
-        gain = sums[1:] - np.minimum.accumulate(sums)[:-1]
-        stop = int(np.argmax(gain)) + 1
-        start = int(np.argmin(sums[:stop]))
-        same = int(equal[start:stop].sum())
-        length = stop - start
-        if length < min(LEAST_RUN, len(own)) or same < LEAST_SHARE * length:
+        sums = np.concatenate(([0], np.cumsum(np.where(equal, 1, -EQUAL_TO_EACH))))
+        starts = np.flatnonzero(equal)
+        if not len(starts):
             return None
+        # For each last word the earliest first word from which the sum is not negative: none but new minima can be it.
+        stops = starts + 1
+        first = starts[np.searchsorted(-np.minimum.accumulate(sums[starts]), -sums[stops])]
+        lengths = stops - first
+        best = int(np.argmax(lengths))
+        start, length = int(first[best]), int(lengths[best])
+        if length < min(LEAST_RUN, len(own)):
+            return None
+        same = int(equal[start:start + length].sum())
         return length, same, start + begin + diagonal, start + begin
 
 
