@@ -64,8 +64,11 @@ class ToxicityModel:
             at = np.minimum(np.searchsorted(self.tokens, codes), len(self.tokens) - 1)
             known = self.tokens[at] == codes
             word_scores[known] = self.scores[at[known]]
-        # A word said again at once is scored once, so that a run of one word is no passage.
-        word_scores[1:][forms[0][1:] == forms[0][:-1]] = 0.0
+        # A word said again at once is scored once, so that a run of one word is no passage; the first word of a row repeats none.
+        again = np.zeros(len(word_scores), dtype=bool)
+        again[1:] = forms[0][1:] == forms[0][:-1]
+        again[first[:-1][first[:-1] < len(again)]] = False
+        word_scores[again] = 0.0
         hits = np.flatnonzero(word_scores)
         values = word_scores[hits]
         rows = np.searchsorted(first, hits, side="right") - 1
