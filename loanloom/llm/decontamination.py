@@ -2,7 +2,8 @@
 
 A window of ``SPAN`` words is cut into four blocks; each of the six masks looks
 at two blocks and ignores the other two, so that a window with at most two
-substituted words agrees under at least one mask.  Masked hashes of the test
+substituted words agrees under at least one mask.  An item of fewer words is one window, of
+four blocks, or of three if only one of its words may be substituted.  Masked hashes of the test
 items are met with those of every document window; each agreement is verified
 on its diagonal: some run that begins and ends with equal words must be long enough and have few
 substitutions, and the longest such run is told.
@@ -18,22 +19,42 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.frames import map_arrow, quoted, received, sent
-from loanloom.llm.tokens import NON_WORD, mixed, slices, words
+from loanloom.llm.tokens import NON_WORD, mixed, slices, utf8, words
 
 SPAN, PIECE = 12, 3
 #: Masks as word offsets within a window.
 MASKS = [np.array([PIECE * p + j for p in pair for j in range(PIECE)]) for pair in combinations(range(SPAN // PIECE), 2)]
-#: An item of fewer words is too common to prove anything; one of fewer than SPAN words must match whole.
+#: An item of fewer words is too common to prove anything; one of fewer than SPAN words counts as a whole.
 LEAST_ITEM = 5
 #: Least words of a verified run, and the least share of them that are equal, as equal words to each substituted one.
 LEAST_RUN, EQUAL_TO_EACH = 12, 3
 #: Text bytes of test items held by a task at once.
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
+#: Characters of scripts that set no blanks between words, and their punctuation; bytes that begin such a character.
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+_PUNCTUATION = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{303D}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}]"
+_LEADS = np.zeros(256, dtype=bool)
+_LEADS[[0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0]] = True
+
+
+def item_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and the first word of each row; a character of a script without blanks is a word."""
+    if _LEADS[utf8(texts)[0]].any():
+        texts = pc.replace_substring_regex(pc.replace_substring_regex(texts, _PUNCTUATION, " "), _UNSPACED, r" \1 ")
+    return words(texts, NON_WORD)
+
+
+def short_masks(span: int) -> list[np.ndarray]:
+    """Masks over a whole item of fewer than ``SPAN`` words: any substitutions that leave three quarters equal miss one of them."""
+    blocks = 4 if span >= 8 else 3
+    cuts = np.linspace(0, span, blocks + 1).round().astype(int)
+    return [np.concatenate([np.arange(cuts[p], cuts[p + 1]) for p in pair]) for pair in combinations(range(blocks), 2)]
 
 
 def masked_hashes(codes: np.ndarray, mask: np.ndarray, span: int, number: int) -> np.ndarray:
@@ -61,10 +82,11 @@ class SeedIndex:
 
     @staticmethod
     def build(item_ids: list, texts: list) -> SeedIndex:
-        codes, first = words(pa.array(texts, pa.large_string()), NON_WORD)
+        codes, first = item_words(pa.array(texts, pa.large_string()))
         lengths = np.diff(first)
         masks = [(mask, SPAN, k) for k, mask in enumerate(MASKS)]
-        masks += [(np.arange(n), int(n), 100 + int(n)) for n in np.unique(lengths[(lengths >= LEAST_ITEM) & (lengths < SPAN)])]
+        masks += [(mask, int(n), 100 * int(n) + k) for n in np.unique(lengths[(lengths >= LEAST_ITEM) & (lengths < SPAN)])
+                  for k, mask in enumerate(short_masks(int(n)))]
         keys, item, place = [], [], []
         for i, n in enumerate(lengths):
             own = codes[first[i]:first[i + 1]]
@@ -101,6 +123,10 @@ class SeedIndex:
             n = high - low
             which = np.repeat(np.arange(len(at)), n)
             ref = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            if span < SPAN:     # few words under a mask are often met by chance
+                same = sum((codes[at[which] + j] == self.codes[self.first[self.item[ref]] + j]).astype(int) for j in range(span))
+                good = same >= EQUAL_TO_EACH * (span - same)
+                which, ref = which[good], ref[good]
             triples.append(np.column_stack([row[which], self.item[ref], at[which] - first[row[which]] - self.place[ref]]))
         found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
         if triples:
@@ -115,6 +141,9 @@ class SeedIndex:
         own = self.codes[self.first[item]:self.first[item + 1]]
         begin, end = max(0, -diagonal), min(len(own), len(doc) - diagonal)
         equal = own[begin:end] == doc[begin + diagonal:end + diagonal]
+        if len(own) < LEAST_RUN:
+            same = int(equal.sum())
+            return (len(own), same, diagonal, 0) if len(equal) == len(own) and same >= EQUAL_TO_EACH * (len(own) - same) else None
         sums = np.concatenate(([0], np.cumsum(np.where(equal, 1, -EQUAL_TO_EACH))))
         starts = np.flatnonzero(equal)
         if not len(starts):
@@ -125,7 +154,7 @@ class SeedIndex:
         lengths = stops - first
         best = int(np.argmax(lengths))
         start, length = int(first[best]), int(lengths[best])
-        if length < min(LEAST_RUN, len(own)):
+        if length < LEAST_RUN:
             return None
         same = int(equal[start:start + length].sum())
         return length, same, start + begin + diagonal, start + begin
@@ -166,7 +195,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", t
                 text, id_of = batch.column("text"), batch.column("doc_id")
                 out, at = [], []
                 for a, b in slices(text):
-                    codes, first = words(text.slice(a, b - a), NON_WORD)
+                    codes, first = item_words(text.slice(a, b - a))
                     for (row, item), (n, same, d, i) in sorted(index.overlaps(codes, first).items()):
                         at.append(a + row)
                         out.append((index.item_ids[item], n, same, d, i, n / sizes[item]))
@@ -199,7 +228,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_column: str = "text",
                 text = batch.column(place)
                 clean = np.ones(len(text), dtype=bool)
                 for a, b in slices(text):
-                    codes, first = words(text.slice(a, b - a), NON_WORD)
+                    codes, first = item_words(text.slice(a, b - a))
                     for row, _ in index.overlaps(codes, first):
                         clean[a + row] = False
                 yield batch.filter(pa.array(clean))
