@@ -140,10 +140,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each sampled segmentation, with a digest of its ids and whether decoding gives the text back."""
+    """One row for each sampled segmentation, with a digest of its ids and whether decoding gives the text back.
+
+    A document whose text is null has one row, with null in all columns but its id.
+    """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    each = pieces.encode(docs, read_back="restored").select("doc_id", "restored", F.posexplode("segmentations").alias("place", "one"))
-    return each.select("doc_id", (F.col("place") + 1).alias("draw"), F.size("one.ids").alias("n_pieces"), F.xxhash64("one.ids").alias("ids_hash"),
+    each = pieces.encode(docs, read_back="restored").select("doc_id", "restored", F.posexplode_outer("segmentations").alias("place", "one"))
+    drawn = F.col("one").isNotNull()    # size and hash of null are numbers
+    return each.select("doc_id", (F.col("place") + 1).alias("draw"), F.when(drawn, F.size("one.ids")).alias("n_pieces"),
+                       F.when(drawn, F.xxhash64("one.ids")).alias("ids_hash"),
                        F.col("one.log_prob").alias("log_prob"), F.col("one.log_inclusion").alias("log_inclusion"), "restored")
 
 
