@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import (decontamination, html_text, language, line_dedup, near_duplicates, neighbours, pieces, quality,
-                          toxicity, url_filter)
+from loanloom.llm import (centroids, decontamination, html_text, language, line_dedup, near_duplicates, neighbours, pieces, quality,
+                          quality_rules, source_audit, toxicity, url_filter)
 from loanloom.llm.frames import bucket_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,7 +152,92 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("one.log_prob").alias("log_prob"), F.col("one.log_inclusion").alias("log_inclusion"), "restored")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels, centres = centroids.clusters(read_table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(labels, centres).select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _op11_sql() -> str:
+    k, rounds = centroids.CENTROIDS, centroids.ROUNDS
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (
+  select rid, c, distance from (
+    select p.rid, c.c, cast(sum((p.x - c.x) * (p.x - c.x)) as bigint) as distance from points p join c{i} c using (d) group by p.rid, c.c)
+  qualify row_number() over (partition by rid order by distance, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} as materialized (
+  select c.c, c.d, coalesce(m.x, c.x) as x from c{i} c left join (
+    select a.c, p.d, cast((sum(p.x) - ((sum(p.x) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as x
+    from a{i} a join points p using (rid) group by a.c, p.d) m using (c, d))""")
+    return f"""
+with kept as materialized (
+  select row_number() over () as rid, vec_id, [cast(floor({centroids.SCALE} * cast(x as double)) as bigint) for x in embedding] as v
+  from embeddings where len(embedding) = {centroids.WIDTH} and len([x for x in embedding if x is not null and isfinite(x)]) = {centroids.WIDTH}),
+points as materialized (select rid, unnest(generate_series(1, {centroids.WIDTH})) as d, unnest(v) as x from kept),
+start as (select row_number() over (order by sha256('2:' || vec_id), v) - 1 as c, v from kept where vec_id is not null
+          qualify row_number() over (order by sha256('2:' || vec_id), v) <= {k}),
+c0 as materialized (select c, unnest(generate_series(1, {centroids.WIDTH})) as d, unnest(v) as x from start),
+{", ".join(steps)},
+digests as (select c, sha256(string_agg(cast(x as varchar), ',' order by d)) as centroid_sha256 from c{rounds} group by c)
+select vec_id, cast(a.c as int) as cluster, distance, cast(sum(distance) over (partition by a.c) as bigint) as cluster_inertia,
+       cast(sum(distance) over () as bigint) as inertia, centroid_sha256
+from a{rounds} a join kept using (rid) join digests g on g.c = a.c
+"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; the trees learn from the labels that op5 learns from."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, labels_outside(spark, sf_dir, 4, 2))
+    judged, _ = quality_rules.judge(docs, model)
+    return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "rule_score")
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with docs as materialized (
+  select row_number() over () as rid, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+words as (
+  select rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as word from docs),
+counts as materialized (
+  select rid, lang, source, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term, count(*) as n
+  from words group by all),
+kept as materialized (
+  select lang, term, cast(sum(n) as bigint) as n from counts group by lang, term having count(*) >= 3),
+groups as materialized (select distinct lang, source from docs),
+sizes as materialized (
+  select l.lang, count(k.term) as v, cast(coalesce(sum(k.n), 0) as bigint) as total
+  from (select distinct lang from groups) l left join kept k using (lang) group by l.lang),
+own as materialized (
+  select c.lang, c.source, c.term, cast(sum(c.n) as bigint) as n from counts c join kept using (lang, term) group by c.lang, c.source, c.term),
+totals as materialized (
+  select g.lang, g.source, cast(coalesce(sum(o.n), 0) as bigint) as total from groups g left join own o using (lang, source) group by g.lang, g.source),
+priced as materialized (
+  select t.lang, t.source, k.term, coalesce(o.n, 0) as n, 1 + 1000000000 * (coalesce(o.n, 0) + 1) // (t.total + s.v) as p,
+         1 + 1000000000 * (k.n + 1) // (s.total + s.v) as q
+  from totals t join sizes s using (lang) join kept k using (lang)
+  left join own o on o.lang = t.lang and o.source = t.source and o.term = k.term),
+pairs as (
+  select a.lang, a.source, b.source as item, cast(sum((a.p - b.p) * (a.p - b.p) // b.p) as bigint) as value
+  from priced a join priced b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by a.lang, a.source, b.source),
+ranked as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, (p - q) * (p - q) // q from priced where n > 0 and p > q)
+select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from ranked qualify part = 'pair' or rank <= 200
+"""
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_decontamination, op2_html_extraction, op3_line_dedup, op4_near_dedup, op5_quality_classifier,
-    op6_nearest_neighbours, op7_language_id, op8_url_filter, op9_toxicity, op10_sentencepiece)}
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_url_filter": _op8_sql()}
+    op6_nearest_neighbours, op7_language_id, op8_url_filter, op9_toxicity, op10_sentencepiece, op11_centroid_clustering,
+    op12_quality_rules, op13_source_audit)}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op8_url_filter": _op8_sql(), "op11_centroid_clustering": _op11_sql(),
+                              "op13_source_audit": OP13_SQL}
