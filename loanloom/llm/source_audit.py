@@ -13,55 +13,131 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm.frames import map_arrow, quoted, stored
+from loanloom.llm.tokens import slices, span_hashes, spans, utf8
 
 LEAST_DOCUMENTS, TOP_TERMS = 3, 200
 PARTS = 1_000_000_000
 #: Kept terms of a language in a segment, and sources of a block, on average.
 SEGMENT_TERMS, BLOCK_SOURCES = 1 << 16, 8
-#: Entries and bytes of terms that a task counts before it hands them on.
-_TASK_ENTRIES, _TASK_BYTES = 400_000, 16 << 20
+#: Entries, bytes of terms, and groups that a task holds before it hands them on.
+_TASK_ENTRIES, _TASK_BYTES, _TASK_GROUPS = 1_500_000, 32 << 20, 10_000
 
-# All but ASCII letters and what lies beyond ASCII separates terms; A-Z are lower-cased.
-_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], dtype=np.uint8)
+_APART = np.array([c < 65 or 90 < c < 97 or 122 < c < 128 for c in range(256)])   # all but ASCII letters and what lies beyond ASCII
+_SPLIT = bytes(32 if _APART[c] else int(_LOWER[c]) for c in range(256))
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of stretches of ``data``, one after the other."""
+    ends = np.cumsum(sizes)
+    return data[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _as_strings(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(data.tobytes()))
+
+
+def term_entries(texts: pa.Array, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Group, hash, occurrences, documents and term of every distinct term of each group in some texts, ``group`` rising.
+
+    Terms meet by a 64-bit hash and are then compared byte for byte; a clash sends the texts through a dictionary.
+    """
+    data, offsets = utf8(texts)
+    data = _LOWER[data]
+    starts, stops, first = spans(data, offsets, _APART)
+    codes, sizes = span_hashes(data, starts, stops), stops - starts
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    order = np.argsort(codes, kind="stable")     # then by group and row, as rows come by group
+    codes, row, starts, sizes = codes[order], row[order], starts[order], sizes[order]
+    own = group[row]
+    other = np.ones(len(codes), dtype=bool)
+    other[1:] = codes[1:] != codes[:-1]
+    met = np.flatnonzero(other)[np.cumsum(other) - 1]
+    again = np.flatnonzero(~other)
+    if (sizes[again] != sizes[met[again]]).any() or not np.array_equal(
+            _gathered(data, starts[again], sizes[again]), _gathered(data, starts[met[again]], sizes[again])):
+        return _by_dictionary(texts, group)
+    in_group, in_row = other.copy(), other.copy()
+    in_group[1:] |= own[1:] != own[:-1]
+    in_row[1:] |= row[1:] != row[:-1]
+    at = np.flatnonzero(in_group)
+    n = np.diff(np.append(at, len(codes)))
+    documents = np.add.reduceat(in_row.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    return own[at], codes[at], n, documents, _as_strings(_gathered(data, starts[at], sizes[at]), sizes[at])
+
+
+def _by_dictionary(texts: pa.Array, group: np.ndarray):
+    """:func:`term_entries` without hashes of its own."""
+    counts: dict[tuple[int, bytes], list[int]] = {}
+    for g, text in zip(group.tolist(), texts):
+        for term, n in Counter((text.as_py() or "").encode().translate(_SPLIT).split()).items():
+            entry = counts.setdefault((g, term), [0, 0])
+            entry[0] += n
+            entry[1] += 1
+    terms = [t for _, t in counts]
+    columns = np.array([(g, hash(t), n, d) for (g, t), (n, d) in counts.items()], dtype=np.int64).reshape(-1, 4)
+    return (columns[:, 0], columns[:, 1].view(np.uint64) if len(columns) else np.zeros(0, np.uint64), columns[:, 2], columns[:, 3],
+            pa.array(terms, pa.large_binary()).cast(pa.large_string()))
+
+
+def merged_entries(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Group, occurrences, documents and term of the entries of several slices; equal ones (by hash and by bytes) add up.
+
+    Entries whose hashes clash stay apart, to be added up in Spark like those of different tasks.
+    """
+    group, codes, n, documents = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    terms = pa.concat_arrays([p[4] for p in parts])
+    order = np.lexsort((group, codes))
+    group, codes, n, documents, terms = group[order], codes[order], n[order], documents[order], terms.take(pa.array(order))
+    fresh = np.ones(len(codes), dtype=bool)
+    if len(codes):
+        fresh[1:] = (codes[1:] != codes[:-1]) | (group[1:] != group[:-1]) | ~np.asarray(pc.equal(terms[1:], terms[:-1]))
+    at = np.flatnonzero(fresh)
+    if not len(at):
+        return group, n, documents, terms
+    return group[at], np.add.reduceat(n, at), np.add.reduceat(documents, at), terms.take(pa.array(at))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, documents) as each task has met them, with a null term for every group it has met."""
     def work(batches):
-        held: dict[tuple, tuple[Counter, Counter]] = {}
-        size = weight = 0
+        numbers: dict[tuple, int] = {}
+        parts, size, weight = [], 0, 0
         for batch in batches:
             langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-            for lang, source, text in zip(langs, sources, batch.column("text")):
-                group = held.get((lang, source))
-                if group is None:
-                    group = held[lang, source] = (Counter(), Counter())
-                    size += 1
-                raw = text.as_py()
-                if raw:
-                    found = raw.encode().translate(_LETTERS).split()
-                    own = set(found)
-                    fresh = own.difference(group[1])
-                    size += len(fresh)
-                    weight += sum(map(len, fresh))
-                    group[0].update(found)
-                    group[1].update(own)
+            group = np.array([numbers.setdefault(g, len(numbers)) for g in zip(langs, sources)], dtype=np.int64)
+            for a, b in slices(batch.column("text")):
+                order = np.argsort(group[a:b], kind="stable")
+                parts.append(term_entries(batch.column("text").slice(a, b - a).take(pa.array(order)), group[a:b][order]))
+                size += len(parts[-1][0])
+                weight += parts[-1][4].nbytes
                 if size >= _TASK_ENTRIES or weight >= _TASK_BYTES:
-                    yield from packed(held)
-                    held, size, weight = {}, 0, 0
-        yield from packed(held)
-
-    def packed(held):
-        for (lang, source), (n, documents) in held.items():
-            names = list(n)
-            columns = [pa.array([lang] * (len(names) + 1), pa.string()), pa.array([source] * (len(names) + 1), pa.string()),
-                       pa.array([None, *names], pa.binary()).cast(pa.string()), pa.array([0, *n.values()], pa.int64()),
-                       pa.array([0, *map(documents.__getitem__, names)], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "documents"])
+                    yield packed(parts, list(numbers))
+                    parts, size, weight = [], 0, 0
+            if len(numbers) >= _TASK_GROUPS:
+                yield from rest(parts, numbers)
+                numbers, parts, size, weight = {}, [], 0, 0
+        yield from rest(parts, numbers)
+
+    def rest(parts, numbers):
+        if parts:
+            yield packed(parts, list(numbers))
+        names = list(numbers)
+        zeros = pa.array(np.zeros(len(names), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in names], pa.string()), pa.array([g[1] for g in names], pa.string()),
+                                          pa.nulls(len(names), pa.string()), zeros, zeros], ["lang", "source", "term", "n", "documents"])
+
+    def packed(parts, names):
+        group, n, documents, terms = merged_entries(parts)
+        at = pa.array(group)
+        named = [pa.array([g[k] for g in names], pa.string()).take(at) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([*named, terms.cast(pa.string()), pa.array(n), pa.array(documents)], ["lang", "source", "term", "n", "documents"])
 
     return map_arrow(docs, work, "lang string, source string, term string, n long, documents long")
 
