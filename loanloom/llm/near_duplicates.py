@@ -9,12 +9,12 @@ Registers are banded.  Texts that are the same word for word are one node from
 the start.  In each bucket, nodes are first compared with one hub, not with each other;
 each compared pair is verified by its exact probability Jaccard.
 
-Where links do not yet join a bucket, further members become hubs, those first that have the least to
-themselves.  A pair is only made if it can reach the bound at all: what a
-text holds that no other text of an open bucket holds (by a twice-seen Bloom filter)
-is lost to every pair it is in, which rules out most copies with too many edits and
-bounds the length of the partners of the rest.  Rounds go on until every pair of members of different
-classes that can reach the bound has been compared.
+What links do not yet join meets by rare shingles.  A pair of similarity t shares so much of its weight that the rarest
+shingle both hold is among the first of either: a text lists its shingles that other undecided texts hold, rarest first, and
+posts them up to the weight that a partner of the other's size could lack.  Postings meet by shingle and the sizes of
+both, so a text next to the bound posts one or two shingles, and these are rarer than those its whole group holds.  Only pairs
+of different classes meet, and what is left of both lists must still reach the bound.  So all pairs of undecided
+texts that can reach it are compared, whatever their number in a bucket.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 #: Members that one task compares with a hub at a time.
 MEMBERS_PER_CHUNK = 64
-#: Hubs of an open bucket in the rounds; in the last all members are (None).
-HUB_ROUNDS = (1, 16, None)
+#: Sizes are told apart by this (in logarithms), and weights of repeated shingles by these shares of the size; a text with more is heavy.
+SIZE_STEP = 0.02
+REPEATED_SHARES = (0.0, 0.01, 0.05)
+_HEAVY = -1
 
 
 def weighted(codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,8 +168,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(met, work, f"node {kind}, hub {kind}").distinct()
 
 
-def _own_share(texts: DataFrame, size: int) -> DataFrame:
-    """(node, size, flat, own): shingles of a text, whether each occurs once, and how many (at least) no other text holds.
+def _own_share(texts: DataFrame, size: int) -> tuple[DataFrame, Broadcast]:
+    """(node, size, texts, flat, own): shingles of a text, whether each occurs once, and the share (at least) that no other text holds.
+
+    The second result is the twice-seen filter, for :func:`received`.
 
     ``size`` is about the number of shingles of all texts.  A false positive of the filter makes ``own`` smaller, so it
     can only add pairs.  Of several texts with one id the one with the least of its own speaks for the id.
@@ -203,7 +208,8 @@ def _own_share(texts: DataFrame, size: int) -> DataFrame:
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     found = map_arrow(texts.select("doc_id", "text"), counted, f"node {kind}, size long, flat boolean, own long")
-    return found.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"), F.min("flat").alias("flat"), F.min(F.col("own") / F.col("size")).alias("own"))
+    shares = found.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"), F.min("flat").alias("flat"), F.min(F.col("own") / F.col("size")).alias("own"))
+    return shares, held
 
 
 def _can_reach(a: str, b: str):
@@ -222,6 +228,125 @@ def _can_reach(a: str, b: str):
     return mean & (~single | plain)
 
 
+def size_class(size: np.ndarray | int) -> np.ndarray:
+    return np.floor(np.log(size) / SIZE_STEP + 1e-9).astype(np.int64)
+
+
+def repeated_class(size: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """Which of ``REPEATED_SHARES`` bounds the weight beyond the first of each shingle; ``_HEAVY`` for none."""
+    out = np.full(len(size), _HEAVY, dtype=np.int64)
+    for k in reversed(range(len(REPEATED_SHARES))):
+        out[repeated <= REPEATED_SHARES[k] * size] = k
+    return out
+
+
+def allowances(size: int, shared: int, repeated: int, light: list[tuple[int, int]], heavy: bool) -> list[tuple[int, int, float]]:
+    """(partner's size class, partner's repeats, weight): how much shared weight a text may lack of a partner of each class.
+
+    With sizes x and y, common weight c of x and repeats r of y the probability Jaccard is at most
+    (c + r) / (x + y - c - r), and c / x at most; the second alone holds for heavy texts.  Classes whose texts cannot be partners are left out.
+    """
+    out = []
+    kind = int(repeated_class(np.array([size]), np.array([repeated]))[0])
+    share = SIMILARITY / (1 + SIMILARITY)
+    most = shared - SIMILARITY * size
+    if most < -1e-6:
+        return []
+    if kind != _HEAVY:
+        for step, partner in light:
+            low, high = np.exp(step * SIZE_STEP), np.exp((step + 1) * SIZE_STEP)
+            spare = REPEATED_SHARES[partner] * high
+            # Of the partner no more than all can be common.
+            if high + repeated < (size + high) * share - 1e-6:
+                continue
+            weight = min(most, shared + spare - (size + np.ceil(low * (1 - 1e-9))) * share)
+            if weight >= -1e-6:
+                out.append((step, partner, float(weight)))
+    if heavy or kind == _HEAVY:
+        out.append((0, _HEAVY, float(most)))
+    return out
+
+
+def _rare_pairs(texts: DataFrame, labels: DataFrame, twice_filter: Broadcast) -> DataFrame:
+    """(node, hub): all pairs of texts of different labels that may reach the bound, by their rarest common shingle."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def suspected(batches):
+        table, folded = received(twice_filter)
+        for batch in batches:
+            text = batch.column("text")
+            for a, b in slices(text):
+                codes, first = words(text.slice(a, b - a))
+                row, code, weight = weighted(*shingles(codes, first, SHINGLE))
+                size, distinct = np.bincount(row, weight, b - a).astype(np.int64), np.bincount(row, minlength=b - a)
+                again = line_dedup.seen_twice(table, folded, code.view(np.int64), mixed(code).view(np.int64))
+                row, code, weight = row[again], code[again], weight[again]
+                at = pa.array(row + a)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("part").take(at), pa.array(size[row]),
+                                                  pa.array(size[row] - distinct[row]), pa.array(code.view(np.int64)), pa.array(weight.astype(np.int64))],
+                                                 ["node", "part", "size", "repeated", "code", "weight"])
+
+    # Texts of one id are told apart by a hash of the text.
+    rows = texts.select("doc_id", F.xxhash64("text").alias("part"), "text")
+    held = stored(map_arrow(rows, suspected, f"node {kind}, part long, size long, repeated long, code long, weight long"), "near-shingles")
+    often = held.groupBy("code").agg(F.countDistinct("node", "part").alias("n")).where("n > 1")
+    lists = held.join(often, "code").groupBy("node", "part").agg(
+        F.first("size").alias("size"), F.first("repeated").alias("repeated"), F.array_sort(F.collect_set(F.struct("n", "code", "weight"))).alias("held"))
+    lists = stored(lists.join(labels, "node").select("node", "label", "size", "repeated", F.col("held.code").alias("codes"), F.col("held.weight").alias("weights")), "near-lists")
+    classes_of = map_arrow(lists.select("size", "repeated"), _class_rows, "step long, partner long").distinct().collect()  # some hundreds at most
+    light = sorted((r["step"], r["partner"]) for r in classes_of if r["partner"] != _HEAVY)
+    heavy = any(r["partner"] == _HEAVY for r in classes_of)
+
+    def posted(batches):
+        names = ["code", "own_step", "own_kind", "step", "kind", "node", "label", "size", "repeated", "rest"]
+        for batch in batches:
+            columns = {c: np.asarray(batch.column(c)) for c in ("size", "repeated")}
+            steps, kinds = size_class(columns["size"]), repeated_class(columns["size"], columns["repeated"])
+            parts = []
+            for i, (codes, weights) in enumerate(zip(batch.column("codes"), batch.column("weights"))):
+                code, weight = np.asarray(codes.values), np.asarray(weights.values)
+                total, before = int(weight.sum()), np.cumsum(weight) - weight
+                for step, partner, allowed in allowances(int(columns["size"][i]), total, int(columns["repeated"][i]), light, heavy):
+                    n = int(np.searchsorted(before, allowed + 1e-6, side="right"))
+                    # In the class-free lists a light text is of no class either.
+                    free = partner == _HEAVY
+                    own = (0, _HEAVY) if free else (int(steps[i]), int(kinds[i]))
+                    parts.append((code[:n], np.full(n, own[0]), np.full(n, own[1]), np.full(n, step), np.full(n, partner), np.full(n, i), total - before[:n]))
+            if parts:
+                code, own_step, own_kind, step, partner, at, rest = (np.concatenate(p) for p in zip(*parts))
+                index = pa.array(at)
+                arrays = [pa.array(x.astype(np.int64)) for x in (code, own_step, own_kind, step, partner)]
+                arrays += [batch.column(c).take(index) for c in ("node", "label", "size", "repeated")] + [pa.array(rest.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    postings = stored(map_arrow(lists, posted, "code long, own_step long, own_kind long, step long, kind long, "
+                                f"node {kind}, label {kind}, size long, repeated long, rest long"), "near-rare")
+    # A list is known by its shingle and the classes of both sides; one where all have the same label has no pairs.  Of any pair one is
+    # not of the commonest label.
+    own, other = (F.struct(F.col(a).alias("step"), F.col(b).alias("kind")) for a, b in (("own_step", "own_kind"), ("step", "kind")))
+    keyed = postings.withColumn("ends", F.array(F.least(own, other), F.greatest(own, other)))
+    mixed_lists = stored(keyed.groupBy("code", "ends").agg(F.mode("label").alias("common"), F.min("label").alias("a"), F.max("label").alias("b"))
+                         .where("a <> b").select("code", "ends", "common"), "near-mixed")
+    open_ = stored(keyed.join(mixed_lists.hint("merge"), ["code", "ends"]).drop("ends"), "near-open-lists")
+    x, y = open_.where("label <> common").alias("x"), open_.alias("y")
+    need = (F.col("x.size") + F.col("y.size")) * F.lit(SIMILARITY / (1 + SIMILARITY)) - 1e-6
+    reach = (F.col("x.rest") + F.col("y.repeated") >= need) & (F.col("y.rest") + F.col("x.repeated") >= need)
+    for side in ("x", "y"):
+        reach &= F.col(f"{side}.rest") >= SIMILARITY * F.col(f"{side}.size") - 1e-6
+    heavy_pair = F.greatest(*[F.col(f"{s}.repeated") / F.col(f"{s}.size") for s in "xy"]) > REPEATED_SHARES[-1]
+    same_list = ((F.col("x.code") == F.col("y.code")) & (F.col("x.own_step") == F.col("y.step")) & (F.col("x.own_kind") == F.col("y.kind"))
+                 & (F.col("x.step") == F.col("y.own_step")) & (F.col("x.kind") == F.col("y.own_kind")))
+    met = x.join(y.hint("merge"), same_list & (F.col("x.label") != F.col("y.label")) & ((F.col("x.kind") != _HEAVY) | heavy_pair) & reach)
+    return met.select(F.greatest("x.node", "y.node").alias("node"), F.least("x.node", "y.node").alias("hub")).distinct()
+
+
+def _class_rows(batches):
+    for batch in batches:
+        size, repeated = np.asarray(batch.column("size")), np.asarray(batch.column("repeated"))
+        found = np.unique(np.column_stack([size_class(size), repeated_class(size, repeated)]).reshape(-1, 2), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], ["step", "partner"])
+
+
 def _open_members(posted: DataFrame, label: DataFrame) -> DataFrame:
     """(bucket, node, label) of the buckets whose members are in different classes."""
     named = (posted.join(label.hint("merge"), posted["node"] == label["node"], "left")
@@ -261,33 +386,37 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     undecided = stored(members.select(F.col("node").alias("doc_id")).distinct(), "near-undecided")
     own_texts = stored(texts.join(undecided.hint("merge"), "doc_id", "left_semi"), "near-own-texts")
     size = same.join(undecided.hint("merge"), same["node"] == undecided["doc_id"], "left_semi").agg(F.sum("size")).first()[0] or 1
-    shares = stored(_own_share(own_texts, size), "near-shares")
+    shares, twice_filter = _own_share(own_texts, size)
+    shares = stored(shares, "near-shares")
     # A text of which more than this is its own is like no other.
     shares = shares.where(F.col("own") <= 1 - SIMILARITY + 1e-9)
     about = shares.select("node", F.struct("size", "flat", "texts", "own").alias("about"))
-    tried = 0
-    for hubs in HUB_ROUNDS:
-        live = stored(members.join(about.hint("merge"), "node"), "near-live")
-        counts = live.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"))
-        still = stored(counts.where((F.col("a") != F.col("b")) & (F.col("n") > tried + 1)).select("bucket"), "near-still")
-        if still.isEmpty():
-            break
-        live = stored(live.join(still.hint("merge"), "bucket"), "near-live")
-        order = Window.partitionBy("bucket").orderBy("about.own", "node")
-        leading = live.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs) if hubs else live
-        chosen = stored(leading.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"),
-                                       F.col("about").alias("hub_about")), "near-hubs")
-        met = live.join(chosen.hint("merge"), "bucket").where((F.col("label") != F.col("hub_label")) & _can_reach("about", "hub_about"))
-        pairs = met.select(F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct()
-        pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
-        done = done.union(pairs)
+
+    def joined(pairs):
+        """Labels and open members after verifying ``pairs``; the classes so far are stars already, only new links change them."""
         fresh = stored(_verified(pairs, texts), "near-links")
-        if not fresh.isEmpty():
-            # The classes so far are stars already; only the new links change them.
-            links = label.where("node <> component").toDF("node", "hub").union(fresh)
-            label = stored(connected_components(links, "node", "hub"), "near-labels")
-            members = _open_members(posted, label)
-        tried = hubs
+        if fresh.isEmpty():
+            return label, members
+        links = label.where("node <> component").toDF("node", "hub").union(fresh)
+        merged = stored(connected_components(links, "node", "hub"), "near-labels")
+        return merged, _open_members(posted, merged)
+
+    # The member of each open bucket with the least of its own is its second hub.
+    live = stored(members.join(about.hint("merge"), "node"), "near-live")
+    order = Window.partitionBy("bucket").orderBy("about.own", "node")
+    chosen = stored(live.withColumn("place", F.row_number().over(order)).where("place = 1").select(
+        "bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), F.col("about").alias("hub_about")), "near-hubs")
+    met = live.join(chosen.hint("merge"), "bucket").where((F.col("label") != F.col("hub_label")) & _can_reach("about", "hub_about"))
+    pairs = met.select(F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct()
+    pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
+    done = done.union(pairs)
+    label, members = joined(pairs)
+    # Then what is still in different classes, by rare shingles.
+    left = stored(members.select("node", "label").distinct().join(shares.select("node").hint("merge"), "node"), "near-left")
+    if not left.isEmpty():
+        own_texts = own_texts.join(left.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+        pairs = stored(_rare_pairs(own_texts, left, twice_filter).join(done, ["node", "hub"], "left_anti"), "near-pairs")
+        label, members = joined(pairs)
     found = copies.join(label.hint("merge"), copies["node"] == label["node"], "left").select(
         "doc_id", F.coalesce("component", copies["node"]).alias("class_id"), copies["node"].alias("copy_of"))
     found = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("copy_of").alias("copy_of"))
