@@ -41,6 +41,8 @@ MEMBERS_PER_CHUNK = 64
 SIZE_STEP = 0.02
 REPEATED_SHARES = (0.0, 0.01, 0.05)
 _HEAVY = -1
+#: Members of different classes of a bucket of at most this many meet directly, those of a larger one by rare shingles.
+SMALL_BUCKET = 16
 
 
 def weighted(codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,7 +171,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _own_share(texts: DataFrame, size: int) -> tuple[DataFrame, Broadcast]:
-    """(node, size, texts, flat, own): shingles of a text, whether each occurs once, and the share (at least) that no other text holds.
+    """(node, size, texts, flat, own, kinds): shingles of a text, whether each occurs once, the share (at least) that no other text
+    holds, and the classes of size and repeats of its texts.
 
     The second result is the twice-seen filter, for :func:`received`.
 
@@ -194,21 +197,24 @@ def _own_share(texts: DataFrame, size: int) -> tuple[DataFrame, Broadcast]:
         table, folded = received(held)
         for batch in batches:
             text = batch.column("text")
-            size, flat, own = [], [], []
+            size, flat, own, step, kind = [], [], [], [], []
             for a, b in slices(text):
                 codes, first = words(text.slice(a, b - a))
                 row, code, weight = weighted(*shingles(codes, first, SHINGLE))
                 alone = ~line_dedup.seen_twice(table, folded, code.view(np.int64), mixed(code).view(np.int64))
                 size.append(np.bincount(row, weight, b - a))
+                step.append(size_class(np.maximum(size[-1], 1)))
+                kind.append(repeated_class(size[-1], size[-1] - np.bincount(row, minlength=b - a)))
                 flat.append(np.bincount(row, weight > 1, b - a) == 0)
                 own.append(np.bincount(row, weight * alone, b - a))
-            columns = [np.concatenate(x) if x else np.zeros(0) for x in (size, flat, own)]
+            columns = [np.concatenate(x) if x else np.zeros(0) for x in (size, flat, own, step, kind)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0].astype(np.int64)), pa.array(columns[1].astype(bool)),
-                                              pa.array(columns[2].astype(np.int64))], ["node", "size", "flat", "own"])
+                                              *[pa.array(x.astype(np.int64)) for x in columns[2:]]], ["node", "size", "flat", "own", "step", "kind"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = map_arrow(texts.select("doc_id", "text"), counted, f"node {kind}, size long, flat boolean, own long")
-    shares = found.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"), F.min("flat").alias("flat"), F.min(F.col("own") / F.col("size")).alias("own"))
+    found = map_arrow(texts.select("doc_id", "text"), counted, f"node {kind}, size long, flat boolean, own long, step long, kind long")
+    shares = found.groupBy("node").agg(F.max("size").alias("size"), F.count("*").alias("texts"), F.min("flat").alias("flat"), F.min(F.col("own") / F.col("size")).alias("own"),
+                                        F.collect_set(F.struct("step", "kind")).alias("kinds"))
     return shares, held
 
 
@@ -240,19 +246,20 @@ def repeated_class(size: np.ndarray, repeated: np.ndarray) -> np.ndarray:
     return out
 
 
-def allowances(size: int, shared: int, repeated: int, light: list[tuple[int, int]], heavy: bool) -> list[tuple[int, int, float]]:
-    """(partner's size class, partner's repeats, weight): how much shared weight a text may lack of a partner of each class.
+def allowances(size: int, shared: int, repeated: int, partners: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """(partner's size class, partner's repeats, weight): how much shared weight a text may lack of a partner of each of these classes.
 
     With sizes x and y, common weight c of x and repeats r of y the probability Jaccard is at most
     (c + r) / (x + y - c - r), and c / x at most; the second alone holds for heavy texts.  Classes whose texts cannot be partners are left out.
     """
     out = []
-    kind = int(repeated_class(np.array([size]), np.array([repeated]))[0])
+    heavy = int(repeated_class(np.array([size]), np.array([repeated]))[0]) == _HEAVY or any(p == _HEAVY for _, p in partners)
+    light = [p for p in partners if p[1] != _HEAVY]
     share = SIMILARITY / (1 + SIMILARITY)
     most = shared - SIMILARITY * size
     if most < -1e-6:
         return []
-    if kind != _HEAVY:
+    if int(repeated_class(np.array([size]), np.array([repeated]))[0]) != _HEAVY:
         for step, partner in light:
             low, high = np.exp(step * SIZE_STEP), np.exp((step + 1) * SIZE_STEP)
             spare = REPEATED_SHARES[partner] * high
@@ -262,13 +269,16 @@ def allowances(size: int, shared: int, repeated: int, light: list[tuple[int, int
             weight = min(most, shared + spare - (size + np.ceil(low * (1 - 1e-9))) * share)
             if weight >= -1e-6:
                 out.append((step, partner, float(weight)))
-    if heavy or kind == _HEAVY:
+    if heavy:
         out.append((0, _HEAVY, float(most)))
     return out
 
 
 def _rare_pairs(texts: DataFrame, labels: DataFrame, twice_filter: Broadcast) -> DataFrame:
-    """(node, hub): all pairs of texts of different labels that may reach the bound, by their rarest common shingle."""
+    """(node, hub): all pairs of texts of different labels that may reach the bound, by their rarest common shingle.
+
+    ``labels`` holds each node with its label and the classes its partners may be of (``partners``).
+    """
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def suspected(batches):
@@ -292,21 +302,18 @@ def _rare_pairs(texts: DataFrame, labels: DataFrame, twice_filter: Broadcast) ->
     often = held.groupBy("code").agg(F.countDistinct("node", "part").alias("n")).where("n > 1")
     lists = held.join(often, "code").groupBy("node", "part").agg(
         F.first("size").alias("size"), F.first("repeated").alias("repeated"), F.array_sort(F.collect_set(F.struct("n", "code", "weight"))).alias("held"))
-    lists = stored(lists.join(labels, "node").select("node", "label", "size", "repeated", F.col("held.code").alias("codes"), F.col("held.weight").alias("weights")), "near-lists")
-    classes_of = map_arrow(lists.select("size", "repeated"), _class_rows, "step long, partner long").distinct().collect()  # some hundreds at most
-    light = sorted((r["step"], r["partner"]) for r in classes_of if r["partner"] != _HEAVY)
-    heavy = any(r["partner"] == _HEAVY for r in classes_of)
-
+    lists = stored(lists.join(labels, "node").select("node", "label", "partners", "size", "repeated", F.col("held.code").alias("codes"), F.col("held.weight").alias("weights")), "near-lists")
     def posted(batches):
         names = ["code", "own_step", "own_kind", "step", "kind", "node", "label", "size", "repeated", "rest"]
         for batch in batches:
             columns = {c: np.asarray(batch.column(c)) for c in ("size", "repeated")}
             steps, kinds = size_class(columns["size"]), repeated_class(columns["size"], columns["repeated"])
             parts = []
+            met = [[(p["step"], p["kind"]) for p in of] for of in batch.column("partners").to_pylist()]
             for i, (codes, weights) in enumerate(zip(batch.column("codes"), batch.column("weights"))):
                 code, weight = np.asarray(codes.values), np.asarray(weights.values)
                 total, before = int(weight.sum()), np.cumsum(weight) - weight
-                for step, partner, allowed in allowances(int(columns["size"][i]), total, int(columns["repeated"][i]), light, heavy):
+                for step, partner, allowed in allowances(int(columns["size"][i]), total, int(columns["repeated"][i]), met[i]):
                     n = int(np.searchsorted(before, allowed + 1e-6, side="right"))
                     # In the class-free lists a light text is of no class either.
                     free = partner == _HEAVY
@@ -340,13 +347,6 @@ def _rare_pairs(texts: DataFrame, labels: DataFrame, twice_filter: Broadcast) ->
     return met.select(F.greatest("x.node", "y.node").alias("node"), F.least("x.node", "y.node").alias("hub")).distinct()
 
 
-def _class_rows(batches):
-    for batch in batches:
-        size, repeated = np.asarray(batch.column("size")), np.asarray(batch.column("repeated"))
-        found = np.unique(np.column_stack([size_class(size), repeated_class(size, repeated)]).reshape(-1, 2), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], ["step", "partner"])
-
-
 def _open_members(posted: DataFrame, label: DataFrame) -> DataFrame:
     """(bucket, node, label) of the buckets whose members are in different classes."""
     named = (posted.join(label.hint("merge"), posted["node"] == label["node"], "left")
@@ -411,12 +411,23 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
     done = done.union(pairs)
     label, members = joined(pairs)
-    # Then what is still in different classes, by rare shingles.
-    left = stored(members.select("node", "label").distinct().join(shares.select("node").hint("merge"), "node"), "near-left")
-    if not left.isEmpty():
-        own_texts = own_texts.join(left.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-        pairs = stored(_rare_pairs(own_texts, left, twice_filter).join(done, ["node", "hub"], "left_anti"), "near-pairs")
-        label, members = joined(pairs)
+    # Then what is still in different classes: members of small buckets directly, those of others by rare shingles.
+    live = stored(members.join(about.hint("merge"), "node"), "near-live")
+    counts = stored(live.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket", "n"), "near-still")
+    few = live.join(counts.where(F.col("n") <= SMALL_BUCKET).select("bucket").hint("merge"), "bucket")
+    one, two = few.alias("one"), few.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), F.col("about").alias("hub_about"))
+    pairs = one.join(two.hint("merge"), "bucket").where((F.col("node") > F.col("hub")) & (F.col("label") != F.col("hub_label")) & _can_reach("about", "hub_about")).select("node", "hub").distinct()
+    many = stored(live.join(counts.where(F.col("n") > SMALL_BUCKET).select("bucket").hint("merge"), "bucket").select("bucket", "node", "label"), "near-many")
+    if not many.isEmpty():
+        # The classes that a node may meet are those of its buckets.
+        kinds = many.join(shares.select("node", F.explode("kinds").alias("of")).hint("merge"), "node").select("bucket", "of").distinct()
+        partners = many.join(kinds.groupBy("bucket").agg(F.collect_list("of").alias("of")).hint("merge"), "bucket").groupBy("node", "label").agg(
+            F.array_distinct(F.flatten(F.collect_set("of"))).alias("partners"))
+        left = stored(partners, "near-left")
+        many_texts = own_texts.join(left.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+        pairs = pairs.union(_rare_pairs(many_texts, left, twice_filter)).distinct()
+    pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
+    label, members = joined(pairs)
     found = copies.join(label.hint("merge"), copies["node"] == label["node"], "left").select(
         "doc_id", F.coalesce("component", copies["node"]).alias("class_id"), copies["node"].alias("copy_of"))
     found = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.min("copy_of").alias("copy_of"))

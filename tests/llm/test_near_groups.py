@@ -100,8 +100,7 @@ def test_allowances_lose_no_pair():
                 if c == first:
                     break
                 before += weights.get(c, 0)
-            light = [classes[other]] if classes[other][1] != -1 else []
-            allowed = near.allowances(sizes[own], sizes[own], repeats[own], light, heavy)
+            allowed = near.allowances(sizes[own], sizes[own], repeats[own], [classes[other]])
             wanted = (0, -1) if heavy else classes[other]
             assert any((s, k) == wanted and before <= weight + 1e-6 for s, k, weight in allowed)
     assert found > 100
