@@ -11,13 +11,14 @@ _STEPS = 1 << 30
 
 
 def sampled_keys(rows: DataFrame, per_label: int) -> tuple[DataFrame, dict]:
-    """At most ``per_label`` rows (id, label) of each label of ``rows``, and the number of rows of each label.
+    """At most ``per_label`` ids (id, label) of each label of ``rows``, and the number of ids of each label.
 
-    A hash threshold from the counts thins the rows where they lie; the exact bound follows on what is left.
+    Rows that repeat an id and label count once.  A hash threshold from the counts thins the rows where they lie; the exact bound follows on what is left.
     The sample is bounded whatever the input, so it may be broadcast.
     """
+    rows = rows.select("id", "label").distinct()
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    drawn = rows.select("id", "label")
+    drawn = rows
     # Twice the bound on average and a margin, so that too few rows are as good as impossible.
     limits = {k: min(_STEPS, int(_STEPS * (2.0 * per_label + 200) / n)) for k, n in counts.items()}
     if any(v < _STEPS for v in limits.values()):
@@ -25,7 +26,7 @@ def sampled_keys(rows: DataFrame, per_label: int) -> tuple[DataFrame, dict]:
         drawn = drawn.where(F.pmod(F.xxhash64("id"), F.lit(_STEPS)) < limit)
     order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(1), "id"), "id")
     drawn = drawn.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label)
-    return drawn.select("id", "label").distinct(), counts
+    return drawn.select("id", "label"), counts
 
 
 def sampled_texts(docs: DataFrame, labels: DataFrame, per_label: int, id_column: str, text_column: str,
