@@ -21,7 +21,9 @@ HEADLINE = [
     "customer_360", "what_if", "roc_auc", "roc_curve", "average_precision", "class_report",
     "stratified_split", "segment_profile", "clv_histogram_p99", "score_box_stats",
     "monthly_revenue_by_category", "seasonal_forecast_by_category", "arima_forecast_by_category",
-    "integrity_audit", "train_lr", "train_rf", "train_gbt", "kmeans_segments", "mc_shapley", "pca_projection",
+    "augmented_dickey_fuller_by_category", "arima_exact_by_category", "trend_forecast_by_category", "repayment_features_grown",
+    "integrity_audit", "train_lr", "train_rf", "train_gbt", "kmeans_segments", "k_sweep", "mc_shapley", "tree_shap",
+    "tree_shap_boosting", "rule_tree_shap", "pca_projection",
 ]
 
 

@@ -36,6 +36,11 @@ def integrity_audit(tables: dict[str, DataFrame], customers: str = "customers",
 
 
 def auc_target(metrics: DataFrame, target: float = AUC_TARGET) -> DataFrame:
-    """Best model and whether its AUC, before rounding, meets the target."""
+    """Best model and whether its AUC meets the target.
+
+    A comparison marks its best model and knows the target before rounding; of a plain table the highest AUC is the
+    best, the first by name of equal ones.
+    """
     met = F.col("target_met") if "target_met" in metrics.columns else F.col("auc_roc") > target
-    return metrics.where("best").select(F.col("model").alias("best_model"), F.col("auc_roc").alias("best_auc"), met.alias("target_met"))
+    best = metrics.where("best") if "best" in metrics.columns else metrics.orderBy(F.desc("auc_roc"), "model").limit(1)
+    return best.select(F.col("model").alias("best_model"), F.col("auc_roc").alias("best_auc"), met.alias("target_met"))

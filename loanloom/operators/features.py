@@ -21,6 +21,8 @@ TRANSACTION_FEATURES = ["spending_volatility", "avg_monthly_spend", "total_debit
 RATIO_FEATURES = ["credit_utilisation_ratio", "income_to_loan_ratio", "emi_to_income_ratio",
                   "interest_burden_score", "loan_to_value_ratio", "credit_age_score"]
 CATEGORICALS = ["employment_type", "account_type", "city"]
+#: A categorical column of more values becomes an id column, not one-hot columns.
+MOST_LEVELS = 10_000
 
 # -- repayment behaviour ------------------------------------------------------
 
@@ -49,12 +51,7 @@ def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), ran
     rows (``ranges`` of them), and the pieces are joined up again through their ends.  A customer
     with a third of all rows, even on one date, is thus spread over a third of the pieces.
     """
-    status = F.col("payment_status")
-    rows = repayments.select(
-        "customer_id", "due_date", *tie_break, F.xxhash64(*repayments.columns).alias(_LAST),
-        flag(status == "On-Time").alias("__on_time"), flag(status == "Missed").alias("__missed"),
-        flag(status == "Late").alias("__late"), flag(~status.eqNullSafe("On-Time")).alias("__delayed"),
-        coverage(F.col("paid_amount"), F.col("emi_amount")).alias("__covered"))
+    rows = _flagged(repayments, tie_break)
     customers = _runs_of_chunks(_cut(rows, tie_break, ranges), [*tie_break, _LAST])
     return customers.select(
         "customer_id",
@@ -67,6 +64,15 @@ def repayment_features(repayments: DataFrame, tie_break: Sequence[str] = (), ran
     )
 
 
+def _flagged(repayments: DataFrame, tie_break: Sequence[str]) -> DataFrame:
+    status = F.col("payment_status")
+    return repayments.select(
+        "customer_id", "due_date", *tie_break, F.xxhash64(*repayments.columns).alias(_LAST),
+        flag(status == "On-Time").alias("__on_time"), flag(status == "Missed").alias("__missed"),
+        flag(status == "Late").alias("__late"), flag(~status.eqNullSafe("On-Time")).alias("__delayed"),
+        coverage(F.col("paid_amount"), F.col("emi_amount")).alias("__covered"))
+
+
 def missed_streak(repayments: DataFrame, tie_break: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Only the longest run; the unused sums are pruned from the plan."""
     return repayment_features(repayments, tie_break, ranges).select("customer_id", "max_consecutive_missed")
@@ -234,17 +240,19 @@ def with_ratios(customers: DataFrame) -> DataFrame:
     return customers.withColumns(ratio_columns())
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICALS)) -> dict[str, list[str]]:
+def fit_levels(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICALS), most: int = MOST_LEVELS) -> dict[str, list[str]]:
     """Sorted values of each categorical column, in one pass; to be stored with a model.
 
-    The values become columns, so their number is bounded by what a table can hold; a column of more
-    belongs into :func:`level_table`.
+    The values become columns.  A column of more than ``most`` values has no levels: :func:`feature_matrix` makes it an id
+    column, as :func:`level_table` does.  At most ``most + 1`` values of a column reach the driver.
     """
     pair = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    distinct = df.select(pair.alias("p")).select("p.*").where("value is not null").distinct()
+    place = F.row_number().over(Window.partitionBy("column").orderBy("value"))
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in df.select(pair.alias("p")).select("p.*").where("value is not null").distinct().collect():
+    for row in distinct.withColumn("place", place).where(F.col("place") <= most + 1).collect():
         levels[row["column"]].append(row["value"])
-    return {c: sorted(values) for c, values in levels.items()}
+    return {c: sorted(values) for c, values in levels.items() if len(values) <= most}
 
 
 def level_table(df: DataFrame, column: str) -> DataFrame:
@@ -282,9 +290,17 @@ def customer_features(customers: DataFrame, repayments: DataFrame, transactions:
 
 def feature_matrix(customers: DataFrame, repayments: DataFrame, transactions: DataFrame,
                    levels: dict[str, list[str]] | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
-    """The modelling table: numeric features plus one-hot columns."""
-    levels = levels or fit_levels(customers)
-    return one_hot(customer_features(customers, repayments, transactions, tie_break), levels)
+    """The modelling table: numeric features plus one-hot columns; a categorical column without levels becomes an id."""
+    levels = fit_levels(customers) if levels is None else levels
+    return wide_as_ids(one_hot(customer_features(customers, repayments, transactions, tie_break), levels), levels)
+
+
+def wide_as_ids(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
+    """Categorical columns that have no levels as ids ``<column>_id``, the hash of the value; models leave ids out."""
+    for c in CATEGORICALS:
+        if c in df.columns and c not in levels:
+            df = df.withColumn(f"{c}_id", F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c).cast("string")))).drop(c)
+    return df
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ("customer_id", "defaulted")) -> list[str]:

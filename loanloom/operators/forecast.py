@@ -114,22 +114,13 @@ def _lagged(y: np.ndarray, lags: int) -> np.ndarray:
 FITTED, TOO_SHORT, NOT_IDENTIFIED = "fitted", "too short", "not identified"
 
 
-def hannan_rissanen(y: np.ndarray, d: int, steps: int) -> tuple[np.ndarray, np.ndarray, str]:
-    """ARIMA(2, d, 2) by two least-squares stages (Hannan and Rissanen 1982).
-
-    A long autoregression estimates the shocks, a second regression uses
-    two lags of the series and of the shocks.  Returns the forecast, its
-    standard error, built from the moving-average weights, and a status.  A series with fewer
-    rows than parameters, or whose regressors do not tell them apart, has no forecast (NaN):
-    no other model takes its place.
-    """
-    w = np.diff(y) if d else y
+def _two_stage(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float] | str:
+    """Constant, two autoregressive and two moving-average coefficients, the shocks and their deviation; or a status."""
     n = len(w)
-    none = np.full(steps, np.nan)
     long = max(2, min(int(np.ceil(np.sqrt(max(n, 1)))), n // 4))
     first = long + 2
     if n - first < 5 or n - long < long + 1:
-        return none, none, TOO_SHORT
+        return TOO_SHORT
     design = np.column_stack([np.ones(n - long), _lagged(w, long)])
     shocks = np.zeros(n)
     shocks[long:] = w[long:] - design @ np.linalg.lstsq(design, w[long:], rcond=None)[0]
@@ -138,10 +129,33 @@ def hannan_rissanen(y: np.ndarray, d: int, steps: int) -> tuple[np.ndarray, np.n
     # Columns on one scale, so that the rank does not hang on the unit of the series.
     width = np.sqrt((inputs ** 2).sum(axis=0))
     if (width == 0).any() or np.linalg.matrix_rank(inputs / width, tol=1e-9) < 5:
-        return none, none, NOT_IDENTIFIED
-    const, a1, a2, m1, m2 = np.linalg.lstsq(inputs, w[first:], rcond=None)[0]
-    error = w[first:] - inputs @ np.array([const, a1, a2, m1, m2])
-    sigma = float(np.sqrt(error @ error / max(len(error) - 5, 1)))
+        return NOT_IDENTIFIED
+    found = np.linalg.lstsq(inputs, w[first:], rcond=None)[0]
+    error = w[first:] - inputs @ found
+    return found, shocks, float(np.sqrt(error @ error / max(len(error) - 5, 1)))
+
+
+def two_stage_coefficients(w: np.ndarray) -> np.ndarray | None:
+    """Constant, two autoregressive and two moving-average coefficients of :func:`hannan_rissanen`, if it has any."""
+    found = _two_stage(w)
+    return None if isinstance(found, str) else found[0]
+
+
+def hannan_rissanen(y: np.ndarray, d: int, steps: int) -> tuple[np.ndarray, np.ndarray, str]:
+    """ARIMA(2, d, 2) by two least-squares stages (Hannan and Rissanen 1982).
+
+    A long autoregression estimates the shocks, a second regression uses
+    two lags of the series and of the shocks.  Returns the forecast, its
+    standard error, built from the moving-average weights, and a status.  A series with fewer
+    rows than parameters, or whose regressors do not tell them apart, has no forecast (NaN):
+    no other model takes its place.
+    """
+    w = np.diff(y) if d else y
+    n = len(w)
+    fitted = _two_stage(w)
+    if isinstance(fitted, str):
+        return np.full(steps, np.nan), np.full(steps, np.nan), fitted
+    (const, a1, a2, m1, m2), shocks, sigma = fitted
     path, noise = list(w), list(shocks)
     for _ in range(steps):
         path.append(const + a1 * path[-1] + a2 * path[-2] + m1 * noise[-1] + m2 * noise[-2])

@@ -11,15 +11,15 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.functions.columns import half_even, stable_hash
-from loanloom.operators import evaluation
+from loanloom.operators import evaluation, tree_shapley
 from loanloom.operators.audit import AUC_TARGET
 from loanloom.operators.distributions import sample_rows
-from loanloom.operators.features import numeric_columns
+from loanloom.operators.features import CATEGORICALS, numeric_columns
 from loanloom.operators.ordered import order_cuts, small_copy
 from loanloom.operators.scoring import DECISION_THRESHOLD, class_weights, predicted_label
 from loanloom.session import materialise
@@ -36,8 +36,8 @@ FOREST = "Random Forest"
 BOOSTING = "Gradient Boosting"
 
 
-def model_inputs(features: DataFrame, exclude: Sequence[str] = ("customer_id", LABEL)) -> list[str]:
-    """Model columns: every numeric column but the id and the label."""
+def model_inputs(features: DataFrame, exclude: Sequence[str] = ("customer_id", LABEL, *(f"{c}_id" for c in CATEGORICALS))) -> list[str]:
+    """Model columns: every numeric column but ids and the label."""
     return numeric_columns(features, exclude)
 
 
@@ -264,14 +264,16 @@ def shapley_values(model: PipelineModel, data: DataFrame, inputs: Sequence[str],
     batch = steps.select("customer_id", "round", "order", "step", *mixed)
     predicted = model.transform(batch).select("customer_id", "round", "order", "step", probability().alias("p"))
     # A prediction ends the contribution of its own step's feature and begins that of the next: no join.
-    own = F.struct(F.get("order", F.col("step") - 1).alias("j"), F.col("p").alias("part"))
-    after = F.struct(F.get("order", F.col("step")).alias("j"), (-F.col("p")).alias("part"))
+    # The ends of a walk are its last prediction and, taken off, its first.
+    ends = F.when(F.col("step") == size, F.col("p")).otherwise(0.0), F.when(F.col("step") == 0, -F.col("p")).otherwise(0.0)
+    own = F.struct(F.get("order", F.col("step") - 1).alias("j"), F.col("p").alias("part"), ends[0].alias("end"))
+    after = F.struct(F.get("order", F.col("step")).alias("j"), (-F.col("p")).alias("part"), ends[1].alias("end"))
     halves = predicted.select("customer_id", F.explode(F.array(own, after)).alias("half")).select("customer_id", "half.*").where("j is not null")
-    phi = halves.groupBy("customer_id", "j").agg((F.sum("part") / rounds).alias("phi"))
-    ends = predicted.groupBy("customer_id").agg(
-        ((F.sum(F.when(F.col("step") == size, F.col("p"))) - F.sum(F.when(F.col("step") == 0, F.col("p")))) / rounds).alias("gap"))
+    # The whole walk of a row is the sum of its contributions: one aggregation, one prediction a mixed row.
+    summed = halves.groupBy("customer_id", "j").agg((F.sum("part") / rounds).alias("phi"), (F.sum("end") / rounds).alias("end"))
     names = F.array(*[F.lit(c) for c in inputs])
-    return phi.join(ends, "customer_id").select("customer_id", F.get(names, F.col("j")).alias("feature"), "phi", "gap")
+    whole = F.sum("end").over(Window.partitionBy("customer_id"))
+    return summed.select("customer_id", F.get(names, F.col("j")).alias("feature"), "phi", whole.alias("gap"))
 
 
 def sampled_shapley(model: PipelineModel, data: DataFrame, inputs: Sequence[str], rounds: int = 4,
@@ -283,7 +285,7 @@ def sampled_shapley(model: PipelineModel, data: DataFrame, inputs: Sequence[str]
 
 
 def explain(name: str, model: PipelineModel, data: DataFrame, inputs: Sequence[str], k: int = 20) -> DataFrame:
-    """Mean absolute contributions on the test rows: exact for the linear model, sampled for trees.
+    """Mean absolute contributions on the test rows, exact for the linear model and for trees.
 
     A model that predicts no probability falls back to its own importances.
     """
@@ -293,4 +295,5 @@ def explain(name: str, model: PipelineModel, data: DataFrame, inputs: Sequence[s
     if not model.stages[-1].hasParam("probabilityCol"):
         native = feature_importance(model, inputs, data.sparkSession, k)
         return native.withColumnRenamed("importance", "mean_abs_shap")
-    return sampled_shapley(model, test, inputs, k=k)
+    paths = tree_shapley.model_paths(model, data.sparkSession)
+    return tree_shapley.mean_contributions(tree_shapley.tree_contributions(paths, test, inputs), inputs, k)

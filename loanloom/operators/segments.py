@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanloom.operators.kmeans import SILHOUETTE_SAMPLE, Centres, best_of, fit_many, plain_silhouette
 from loanloom.operators.ordered import exact_quantiles
 from loanloom.session import materialise
 
@@ -93,50 +91,34 @@ def standardised_vectors(df: DataFrame, scaler: Scaler, keep: Sequence[str] = ("
     return materialise(assembled.select(*keep, "features"))
 
 
-def fit_kmeans(vectors: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42,
-               parallelism: int = 4) -> tuple[KMeansModel, float]:
-    """Best of several seeded fits by within-cluster cost.
+def fit_kmeans(vectors: DataFrame, k: int = 4, restarts: int = 20, seed: int = 42) -> tuple[Centres, float]:
+    """Best of several seeded fits by within-cluster cost; all of them share every scan."""
+    best = best_of(fit_many(vectors, [(k, seed + i) for i in range(restarts)]))
+    return best, best.cost
 
-    ``parallelism`` fits run side by side as separate Spark jobs.
-    """
-    def attempt(offset: int) -> tuple[float, int, KMeansModel]:
-        model = KMeans(k=k, seed=seed + offset, maxIter=300).fit(vectors)
-        return float(model.summary.trainingCost), offset, model
-
-    kept = vectors.is_cached
-    vectors.persist()    # one copy for all fits; a lost part is read again from the written table
-    try:
-        with ThreadPool(parallelism) as pool:
-            tried = pool.map(inheritable_thread_target(vectors.sparkSession)(attempt), range(restarts))
-    finally:
-        if not kept:
-            vectors.unpersist()
-    cost, _, model = min(tried, key=lambda t: t[:2])
-    return model, cost
-
-
-def silhouette(model: KMeansModel, vectors: DataFrame) -> float:
+
+def silhouette(model: Centres, vectors: DataFrame) -> float:
     """Squared-Euclidean silhouette over all rows (one aggregation per cluster, no sampling)."""
     return ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(model.transform(vectors))
 
 
 def k_sweep(vectors: DataFrame, ks: Sequence[int] = tuple(range(2, 10)), restarts: int = 10,
-            seed: int = 42) -> DataFrame:
-    """Inertia and silhouette per cluster count; the best silhouette is marked."""
+            seed: int = 42, sample: int | None = SILHOUETTE_SAMPLE) -> DataFrame:
+    """Inertia and plain-distance silhouette per cluster count; the best silhouette is marked.
+
+    All fits of all counts share every scan.  ``sample`` as in :func:`plain_silhouette`.
+    """
+    fits = fit_many(vectors, [(k, seed + i) for k in ks for i in range(restarts)])
     rows = []
-    vectors.persist()
-    try:
-        for k in ks:
-            model, cost = fit_kmeans(vectors, k, restarts, seed)
-            rows.append((k, float(cost), float(silhouette(model, vectors))))
-    finally:
-        vectors.unpersist()
-    best = max(rows, key=lambda r: r[2])[0]
+    for n, k in enumerate(ks):
+        best = best_of(fits[n * restarts:(n + 1) * restarts])
+        rows.append((k, float(best.cost), plain_silhouette(best.transform(vectors), k, sample)))
+    chosen = max(rows, key=lambda r: r[2] if r[2] is not None else -2.0)[0]
     return vectors.sparkSession.createDataFrame(
-        [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, optimal boolean")
+        [(*r, r[0] == chosen) for r in rows], "k int, inertia double, silhouette double, optimal boolean")
 
 
-def canonical_ids(model: KMeansModel, scaler: Scaler) -> dict[int, int]:
+def canonical_ids(model: Centres, scaler: Scaler) -> dict[int, int]:
     """Map arbitrary cluster ids to named segments by where the centres lie.
 
     The riskiest centre is Vulnerable (1); of the rest the most valuable is Premium (0), then the
@@ -161,7 +143,7 @@ def canonical_ids(model: KMeansModel, scaler: Scaler) -> dict[int, int]:
     return mapping
 
 
-def assign_segments(model: KMeansModel, vectors: DataFrame, scaler: Scaler) -> DataFrame:
+def assign_segments(model: Centres, vectors: DataFrame, scaler: Scaler) -> DataFrame:
     ids = canonical_ids(model, scaler)
     lookup = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
     return model.transform(vectors).select("customer_id", lookup[F.col("prediction")].alias("segment"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.operators import book, clv, features, forecast, models, scoring, segments
+from loanloom.operators.kmeans import Centres
 from loanloom.session import materialise
 from loanloom.sources import bank_views
 
@@ -185,6 +186,10 @@ class Bank:
         rows = self.transactions("transaction_date", "amount", "transaction_type", *by)
         return forecast.monthly_revenue(rows, by)
 
+    @kept
+    def kmeans(self) -> Centres:
+        return segments.fit_kmeans(self.vectors())[0]
+
     @kept
     def revenue(self) -> DataFrame:
         """Monthly revenue (stage output: a few rows that forecasts read many times)."""

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.operators import audit, clv, features, forecast, models, scoring, segments
+from loanloom.operators import arma, audit, clv, features, forecast, models, scoring, segments, trend
 from loanloom.sources import tables
 
+#: Forecast methods by name: exact likelihood, its two-stage approximation, trend with changes, trend times month of year.
+FORECASTS = {"arima": arma.arima_exact, "arima_two_stage": forecast.arima_forecast, "trend": trend.trend_forecast,
+             "seasonal": forecast.seasonal_forecast}
+
 BASE_TABLES = ("customers", "repayment_history", "transactions")
 
 
@@ -67,7 +71,7 @@ def run(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
     risk = out.save("risk_scored", scoring.assign_risk_tiers(scored, "p_default"))
 
     monthly = out.save("monthly_revenue", forecast.monthly_revenue(transactions))
-    ahead = {"arima": forecast.arima_forecast, "seasonal": forecast.seasonal_forecast}[forecast_method](monthly)
+    ahead = FORECASTS[forecast_method](monthly)
     out.save("revenue_forecast", forecast.with_history(monthly, ahead))
 
     values = out.save("clv_values", clv.estimate_clv(customers, risk))

@@ -6,10 +6,14 @@ query names the ones it needs and the text is put together from them.
 
 from __future__ import annotations
 
+import math
+
 from loanloom.operators.features import RATIO_FEATURES, REPAYMENT_FEATURES, TRANSACTION_FEATURES
 from loanloom.operators.segments import CLUSTER_FEATURES, RADAR_DASH, RADAR_REPORT
+from loanloom.operators.stationarity import HIGH_BRANCH, LOW_BRANCH, TAU_LEAST, TAU_MOST, TAU_SPLIT
+from loanloom.operators.trend import CHANGE_RANGE, CHANGES, HARMONICS
 from loanloom.plans.bank import CENTROIDS
-from loanloom.plans.registry import SHAP_WEIGHTS
+from loanloom.plans.registry import RULE_INPUTS, RULE_TREES, SHAP_WEIGHTS
 from loanloom.sources.bank_views import ACCOUNT_LEVELS, EMPLOYMENT_LEVELS
 
 CITIES = sorted(f"NATION_{i}" for i in range(25))
@@ -290,6 +294,75 @@ def seasonal_sql(source: str, key: str, select: str, tail: str = "") -> str:
     return f"{prefix.rstrip()},\n{seasonal_parts(source).strip()}\n{body}"
 
 
+def _elimination(name: str, gram: str, steps: str) -> str:
+    """Relation ``name`` (category, k, i, j, v): the matrices of ``gram`` after k eliminated columns."""
+    return f"""{name} as (
+  select category, 0 as k, i, j, v from {gram}
+  union all
+  select a.category, a.k + 1, a.i, a.j,
+    case when a.i > a.k and a.j > a.k and p.v > 1e-10::double * o.v then a.v - b.v * c.v / p.v else a.v end
+  from {name} a join {name} b on b.category = a.category and b.i = a.i and b.j = a.k
+  join {name} c on c.category = a.category and c.i = a.k and c.j = a.j
+  join {name} p on p.category = a.category and p.i = a.k and p.j = a.k
+  join {gram} o on o.category = a.category and o.i = a.k and o.j = a.k
+  join sized s on s.category = a.category where a.k < s.{steps})"""
+
+
+def augmented_dickey_fuller_sql(source: str, key: str) -> str:
+    """All lag counts by relational elimination; the normal distribution by Simpson's rule."""
+    low = " + ".join(f"{w}::double * power(t, {i})" for i, w in enumerate(LOW_BRANCH))
+    high = " + ".join(f"{w}::double * power(t, {i})" for i, w in enumerate(HIGH_BRANCH))
+    prefix = compose([source], "").rstrip().replace("with ", "with recursive ", 1).replace(f"{source} as (", f"{source} as materialized (")
+    return f"""{prefix},
+placed as materialized (
+  select category, (revenue - avg(revenue) over (partition by category)) / stddev_pop(revenue) over (partition by category) as v,
+    row_number() over (partition by category order by month) - 1 as t, count(*) over (partition by category) as n from {source}),
+most as materialized (
+  select category, n, least(ceil(12 * power(n / 100, 0.25)), n // 2 - 2)::int as m from placed group by category, n),
+moved as materialized (
+  select category, t, v, lead(v) over (partition by category order by t) - v as dv from placed qualify dv is not null),
+design as materialized (
+  select category, t, 0 as i, 1.0::double as v from moved union all select category, t, 1, v from moved
+  union all select a.category, a.t, 1 + (a.t - b.t)::int, b.dv from moved a join moved b on a.category = b.category and b.t < a.t),
+wide as materialized (
+  select d.category, t, i, v from design d join most using (category) where t >= m and i <= m + 1
+  union all select category, t, m + 2, dv from moved join most using (category) where t >= m),
+gram as materialized (select a.category, a.i, b.i as j, sum(a.v * b.v) as v from wide a join wide b using (category, t) group by 1, 2, 3),
+sized as materialized (select category, n, m, m + 2 as steps from most),
+{_elimination("reduced", "gram", "steps")},
+taken as materialized (
+  select a.category, a.i as p, case when d.v > 1e-10::double * o.v then a.v * a.v / d.v else 0 end as v
+  from reduced a join sized s on s.category = a.category and a.k = s.steps and a.j = s.steps and a.i < s.steps
+  join reduced d on d.category = a.category and d.k = a.k and d.i = a.i and d.j = a.i
+  join gram o on o.category = a.category and o.i = a.i and o.j = a.i),
+judged as materialized (
+  select s.category, l.lag, (n - 1 - m) * ln((y.v - sum(x.v)) / (n - 1 - m)) + 2 * (l.lag + 2) as aic
+  from sized s join (select unnest(range(0, 200)) as lag) l on l.lag <= s.m
+  join gram y on y.category = s.category and y.i = s.steps and y.j = s.steps
+  join taken x on x.category = s.category and x.p < l.lag + 2 group by s.category, l.lag, n, m, y.v),
+picked as materialized (select category, lag from judged qualify row_number() over (partition by category order by aic, lag) = 1),
+narrow as materialized (
+  select d.category, t, case when i = 1 then lag + 1 when i > 1 then i - 1 else 0 end as i, v
+  from design d join picked using (category) where t >= lag and i <= lag + 1
+  union all select category, t, lag + 2, dv from moved join picked using (category) where t >= lag),
+gram2 as materialized (select a.category, a.i, b.i as j, sum(a.v * b.v) as v from narrow a join narrow b using (category, t) group by 1, 2, 3),
+{_elimination("reduced2", "gram2", "steps").replace("join sized s on", "join (select category, lag + 1 as steps from picked) s on")},
+ends as materialized (
+  select p.category, lag, max(v) filter (where i = lag + 1 and j = lag + 1) as sxx, max(v) filter (where i = lag + 1 and j = lag + 2) as sxy,
+    max(v) filter (where i = lag + 2 and j = lag + 2) as syy
+  from reduced2 r join picked p on p.category = r.category and r.k = lag + 1 group by p.category, lag),
+tested as materialized (
+  select category, n, lag, sxy / sxx / sqrt((syy - sxy * sxy / sxx) / (n - 1 - lag - (lag + 2)) / sxx) as t from ends join most using (category)),
+placed_p as (select *, case when t <= {TAU_SPLIT} then {low} else {high} end as x from tested),
+valued as (
+  select category, n, lag, t, case when t > {TAU_MOST} then 1.0 when t < {TAU_LEAST} then 0.0 else 0.5 + area end as p from placed_p,
+    lateral (select sum(case when u in (0, 4000) then 1 when u % 2 = 1 then 4 else 2 end
+                        * exp(-power(greatest(least(x, 12), -12) * u / 4000, 2) / 2)) * greatest(least(x, 12), -12) / 12000 / sqrt(2 * pi()) as area
+             from (select unnest(range(0, 4001)) as u)))
+select {key} cast(n as int) as observations, lag::int as lags, round(t, 6) as t_stat, round(p, 6) as p_value, case when p < 0.05::double then 0 else 1 end as d
+from valued"""
+
+
 BOUNDS = ("round(v, 2) as revenue, round(v - 1.96::double * sd, 2) as lower_95, "
           "round(v + 1.96::double * sd, 2) as upper_95")
 
@@ -517,6 +590,55 @@ from (select *, row_number() over (partition by defaulted order by h) as rn,
 SPLIT = SQL["stratified_split"][1]
 sql("shapley_gap", ["customers"], f"""
 select count(*) as rows, 0.0::double as largest from ({SPLIT}) where split = 'test'""")
+sql("tree_shap_gap", ["customers"], f"""
+select model, count(*) as rows, 0.0::double as largest from ({SPLIT})
+cross join (values ('Random Forest'), ('Gradient Boosting')) as m(model) where split = 'test' group by model""")
+
+
+def rule_tree_sql() -> str:
+    """Shapley values of the rule trees by all subsets of known inputs."""
+    size = len(RULE_INPUTS)
+
+    def cover(nodes: dict, wanted: int) -> str:
+        def condition(at: int, here: list[str]) -> list[str] | None:
+            if at == wanted:
+                return here
+            left, right, feature, threshold, _ = nodes[at]
+            if left < 0:
+                return None
+            name = RULE_INPUTS[feature]
+            return condition(left, [*here, f"{name} <= {threshold}"]) or condition(right, [*here, f"{name} > {threshold}"])
+        return f"(select count(*)::double from customers where {' and '.join(condition(0, []))})"
+
+    covers = {(t, at): f"n{t}_{at}" for t, nodes in enumerate(RULE_TREES) for at in nodes if at}
+    counts = ", ".join(f"{cover(RULE_TREES[t], at)} as {name}" for (t, at), name in covers.items())
+
+    def value(t: int, at: int, known: frozenset) -> str:
+        left, right, feature, threshold, leaf = RULE_TREES[t][at]
+        if left < 0:
+            return f"{leaf}::double"
+        one, two = value(t, left, known), value(t, right, known)
+        if feature in known:
+            return f"(case when {RULE_INPUTS[feature]} <= {threshold} then {one} else {two} end)"
+        a, b = covers[t, left], covers[t, right]
+        return f"coalesce(({a} * {one} + {b} * {two}) / nullif({a} + {b}, 0), 0)"
+
+    subsets = [frozenset(i for i in range(size) if mask >> i & 1) for mask in range(2 ** size)]
+    values = ", ".join(" + ".join(value(t, 0, s) for t in range(len(RULE_TREES))) + f" as v{mask}" for mask, s in enumerate(subsets))
+    parts = []
+    for i, name in enumerate(RULE_INPUTS):
+        terms = [f"(v{mask | 1 << i} - v{mask}) * {math.factorial(len(s)) * math.factorial(size - len(s) - 1)}::double / {math.factorial(size)}"
+                 for mask, s in enumerate(subsets) if i not in s]
+        parts.append(f"round({' + '.join(terms)}, 9) as phi_{name}")
+    return f"""
+select customer_id, {', '.join(parts)}, round(v{2 ** size - 1}, 9) as explained
+from (select customer_id, {values} from customers, (select {counts}))"""
+
+
+sql("rule_tree_shap", ["customers"], rule_tree_sql())
+sql("trend_optimality_by_category", ["series_cat"], f"""
+select category, 2 + least({CHANGES}, floor(count(*) * {CHANGE_RANGE}::double)::bigint - 1) + {2 * HARMONICS} as coefficients, 0::bigint as violations
+from series_cat group by category""")
 FOLD = " + ".join(f"(rn > floor({i}::double / 5 * n + 0.5::double))::int" for i in range(1, 5))
 sql("trained_rows", ["customers"], f"""
 select model, split, fold, count(*) as rows, cast(sum(defaulted) as bigint) as defaults, 0::bigint as faults
@@ -717,10 +839,15 @@ select "table", rows, orphans, case when rows > 0 and orphans = 0 then 'OK' else
                        for name, t in AUDITED.items()) + ")")
 
 
+SQL["repayment_features_grown"] = SQL["repayment_features"]
+
+
 def oracle_sql() -> dict[str, str]:
     texts = {name: compose(needs, body) for name, (needs, body) in SQL.items()}
     texts["seasonal_forecast"] = seasonal_sql("series", "", BOUNDS)
     texts["seasonal_forecast_by_category"] = seasonal_sql("series_cat", "category,", BOUNDS)
+    texts["augmented_dickey_fuller"] = augmented_dickey_fuller_sql("series", "")
+    texts["augmented_dickey_fuller_by_category"] = augmented_dickey_fuller_sql("series_cat", "category,")
     texts["forecast_rows_ahead"] = seasonal_sql("series_cat", "category,", BOUNDS + ", 'forecast' as type")
     texts["forecast_union"] = seasonal_sql(
         "series", "", BOUNDS + ", 'forecast' as type",

@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from loanloom import schemas
 from loanloom.functions.columns import half_up
-from loanloom.operators import (audit, book, distributions, evaluation, features, forecast, models,
-                                portfolio, scoring, segments)
+from loanloom.operators import (arma, audit, book, distributions, evaluation, features, forecast, models,
+                                portfolio, repayment_state, scoring, segments, stationarity, tree_shapley, trend)
 from loanloom.plans.bank import TIE_BREAK, Bank
 from loanloom.session import ensure_checkpoint_dir
 from loanloom.sources import tables
@@ -35,6 +35,16 @@ SCENARIOS = {
     "score_down_100": {"credit_score": "greatest(credit_score - 100, 300)"},
     "card_maxed": {"credit_utilisation_ratio": "1.0D"},
 }
+# The rule trees of the rule_tree_shap query: node -> (left, right, input, threshold, value); left -1 marks a leaf.
+RULE_INPUTS = ["credit_score", "income", "age"]
+RULE_TREES = [
+    {0: (1, 2, 0, 600, 0), 1: (3, 4, 1, 500_000, 0), 2: (5, 6, 0, 750, 0), 3: (-1, -1, 0, 0, 0.6), 4: (-1, -1, 0, 0, 0.4),
+     5: (-1, -1, 0, 0, 0.25), 6: (7, 8, 1, 1_000_000, 0), 7: (-1, -1, 0, 0, 0.2), 8: (-1, -1, 0, 0, 0.05)},
+    {0: (1, 2, 2, 40, 0), 1: (3, 4, 0, 550, 0), 2: (5, 6, 1, 250_000, 0), 3: (-1, -1, 0, 0, 0.3), 4: (-1, -1, 0, 0, 0.1),
+     5: (-1, -1, 0, 0, 0.12), 6: (7, 8, 2, 55, 0), 7: (-1, -1, 0, 0, 0.02), 8: (9, 10, 0, 700, 0), 9: (-1, -1, 0, 0, 0.08),
+     10: (-1, -1, 0, 0, 0.01)},
+]
+
 # Weights of the linear model whose contributions the linear_shap query reports.
 SHAP_WEIGHTS = {
     "credit_score": -0.9, "income": -0.4, "credit_utilisation_ratio": 0.35,
@@ -199,6 +209,15 @@ def repayment_features(b: Bank):
     return rounded(features.repayment_features(b.repayments(), TIE_BREAK), 8)
 
 
+@query
+def repayment_features_grown(b: Bank):
+    """The same features from states of three stretches of time, merged one after the other."""
+    rows = b.repayments()
+    cuts = [F.col("due_date") < "1997-01-01", F.col("due_date").between("1997-01-01", "1998-12-31"), F.col("due_date") > "1998-12-31"]
+    states = [repayment_state.state_of(rows.where(c), TIE_BREAK) for c in cuts]
+    return rounded(repayment_state.features_of(functools.reduce(repayment_state.grown, states)), 8)
+
+
 @query
 def missed_streak(b: Bank):
     return features.missed_streak(b.repayments(), TIE_BREAK)
@@ -533,6 +552,16 @@ def dickey_fuller_by_category(b: Bank):
     return rounded(forecast.dickey_fuller(b.category_revenue(), ["category"]), 6)
 
 
+@query
+def augmented_dickey_fuller(b: Bank):
+    return rounded(stationarity.augmented_dickey_fuller(b.revenue()), 6)
+
+
+@query
+def augmented_dickey_fuller_by_category(b: Bank):
+    return rounded(stationarity.augmented_dickey_fuller(b.category_revenue(), ["category"]), 6)
+
+
 @query
 def seasonal_forecast(b: Bank):
     return rounded(forecast.seasonal_forecast(b.revenue()), 2)
@@ -572,6 +601,37 @@ def arima_forecast_by_category(b: Bank):
     return rounded(forecast.arima_forecast(b.category_revenue(), by=["category"]), 2)
 
 
+@query
+def trend_forecast(b: Bank):
+    return rounded(trend.trend_forecast(b.revenue()), 2)
+
+
+@query
+def trend_forecast_by_category(b: Bank):
+    return rounded(trend.trend_forecast(b.category_revenue(), by=["category"]), 2)
+
+
+@query
+def trend_changes_by_category(b: Bank):
+    return rounded(trend.trend_changes(trend.trend_fits(b.category_revenue(), ["category"]), ["category"]), 2)
+
+
+@query
+def trend_optimality_by_category(b: Bank):
+    """Coefficients of each category's trend fit, and those that break the conditions of an optimum."""
+    return trend.trend_optimality(b.category_revenue(), ["category"])
+
+
+@query
+def arima_exact(b: Bank):
+    return rounded(arma.arima_exact(b.revenue()), 2)
+
+
+@query
+def arima_exact_by_category(b: Bank):
+    return rounded(arma.arima_exact(b.category_revenue(), by=["category"]), 2)
+
+
 # -- files -------------------------------------------------------------------------------------
 
 def _through_file(b: Bank, df: DataFrame, table: str, fmt: str) -> DataFrame:
@@ -686,8 +746,47 @@ def linear_model_shap(b: Bank):
 
 @query
 def mc_shapley(b: Bank):
+    """Sampled contributions of the forest: an estimate for models of any kind."""
+    data, inputs = b.training()
+    return models.sampled_shapley(b.trained(models.FOREST), data.where(F.col("split") == "test"), inputs)
+
+
+def _tree_values(b: Bank, name: str) -> tuple[DataFrame, list[str]]:
     data, inputs = b.training()
-    return models.explain(models.FOREST, b.trained(models.FOREST), data, inputs)
+    paths = tree_shapley.model_paths(b.trained(name), b.spark)
+    return tree_shapley.tree_contributions(paths, data.where(F.col("split") == "test"), inputs), inputs
+
+
+@query
+def tree_shap(b: Bank):
+    """Exact mean contributions of the forest over all test rows."""
+    return tree_shapley.mean_contributions(*_tree_values(b, models.FOREST))
+
+
+@query
+def tree_shap_boosting(b: Bank):
+    return tree_shapley.mean_contributions(*_tree_values(b, models.BOOSTING))
+
+
+@query
+def tree_shap_gap(b: Bank):
+    """Per tree model: test rows, and the largest distance of a row's summed contributions from its own prediction."""
+    data, _ = b.training()
+    parts = []
+    for name in (models.FOREST, models.BOOSTING):
+        scored = models.score(b.trained(name), data.where(F.col("split") == "test")).select("customer_id", "p_default")
+        told = F.col("p_default") if name == models.FOREST else F.ln(F.col("p_default") / (1 - F.col("p_default")))
+        parts.append(_tree_values(b, name)[0].join(scored, "customer_id").groupBy(F.lit(name).alias("model")).agg(
+            F.count(F.lit(1)).alias("rows"), half_up(F.max(F.abs(F.col("explained") - told)), 6).alias("largest")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query
+def rule_tree_shap(b: Bank):
+    """Exact contributions of the fixed rule trees for every customer, covers counted from the customers."""
+    paths = [p for nodes in tree_shapley.tree_covers(b.customers(), RULE_TREES, RULE_INPUTS) for p in tree_shapley.leaf_paths(nodes)]
+    values = tree_shapley.tree_contributions(paths, b.customers(), RULE_INPUTS)
+    return rounded(values.select("customer_id", *[F.col("phi")[i].alias(f"phi_{c}") for i, c in enumerate(RULE_INPUTS)], "explained"), 9)
 
 
 @query
@@ -719,8 +818,7 @@ def what_if_trained(b: Bank):
 
 @query
 def kmeans_segments(b: Bank):
-    model, _ = segments.fit_kmeans(b.vectors())
-    return segments.assign_segments(model, b.vectors(), b.scaler())
+    return segments.assign_segments(b.kmeans(), b.vectors(), b.scaler())
 
 
 @query
@@ -775,7 +873,7 @@ def model_tier_rows(b: Bank):
 @query
 def kmeans_fixed_point(b: Bank):
     """Customers clustered, and clusters whose centre is not the mean of its rows (to two digits)."""
-    model, _ = segments.fit_kmeans(b.vectors())
+    model = b.kmeans()
     x = vector_to_array("features")
     clustered = model.transform(b.vectors()).withColumn("x", x)
     size = len(model.clusterCenters()[0])

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loanloom.operators import features
+from loanloom.operators import features, models
 
 DAY = datetime.date(2023, 1, 1)
 WORD = {"M": "Missed", "O": "On-Time", "L": "Late"}
@@ -169,6 +169,19 @@ def test_one_hot_and_levels(spark):
     assert ids.columns == ["kind", "wide_id"] and ids.where("wide_id is null").count() == 2
 
 
+def test_wide_columns_become_ids(spark):
+    people = spark.range(40).select(
+        F.concat(F.lit("c"), "id").alias("customer_id"), F.when(F.col("id") < 39, F.concat(F.lit("v"), "id")).alias("city"),
+        F.lit("s").alias("account_type"), F.lit("e").alias("employment_type"))
+    levels = features.fit_levels(people, most=38)
+    assert set(levels) == {"account_type", "employment_type"} and set(features.fit_levels(people, most=39)) == set(features.CATEGORICALS)
+    out = features.wide_as_ids(features.one_hot(people, levels), levels)
+    assert out.columns == ["customer_id", "account_type_s", "employment_type_e", "city_id"] or set(out.columns) == {
+        "customer_id", "account_type_s", "employment_type_e", "city_id"}
+    assert out.select("city_id").distinct().count() == 40 and out.where("city_id is null").count() == 1
+    assert "city_id" not in models.model_inputs(out)
+
+
 def test_column_selection(spark):
     df = spark.createDataFrame([("a", 1, 2.0, True, 0)], "customer_id string, n int, x double, b boolean, defaulted int")
     assert features.numeric_columns(df) == ["n", "x", "b"]
