@@ -24,7 +24,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm import line_dedup
@@ -401,11 +401,12 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         merged = stored(connected_components(links, "node", "hub"), "near-labels")
         return merged, _open_members(posted, merged)
 
-    # The member of each open bucket with the least of its own is its second hub.
+    # Second hub of an open bucket is the member that meets the most others, of equal ones that with the least of its own.
     live = stored(members.join(about.hint("merge"), "node"), "near-live")
-    order = Window.partitionBy("bucket").orderBy("about.own", "node")
-    chosen = stored(live.withColumn("place", F.row_number().over(order)).where("place = 1").select(
-        "bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), F.col("about").alias("hub_about")), "near-hubs")
+    crowd = live.join(live.groupBy("bucket").agg(F.count("*").alias("n")).hint("merge"), "bucket").groupBy("node").agg(F.sum("n").alias("met"))
+    order = F.struct((-F.col("met")).alias("less"), F.col("about.own").alias("own"), "node", "label", "about")
+    chosen = live.join(stored(crowd, "near-crowd").hint("merge"), "node").groupBy("bucket").agg(F.min(order).alias("first"))
+    chosen = stored(chosen.select("bucket", F.col("first.node").alias("hub"), F.col("first.label").alias("hub_label"), F.col("first.about").alias("hub_about")), "near-hubs")
     met = live.join(chosen.hint("merge"), "bucket").where((F.col("label") != F.col("hub_label")) & _can_reach("about", "hub_about"))
     pairs = met.select(F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct()
     pairs = stored(pairs.join(done, ["node", "hub"], "left_anti"), "near-pairs")
