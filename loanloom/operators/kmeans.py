@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from loanloom.session import materialise
 
-#: A run has settled when no centre moves farther; and rounds at most.
-TOLERANCE, ROUNDS = 1e-4, 300
+#: A run has settled when its centres together move no farther (root of the summed squares); and rounds at most.
+TOLERANCE, ROUNDS = 1e-3, 300
 #: Rows of each cluster that the sampled silhouette measures against, and rows of a block of the exact one.
 SILHOUETTE_SAMPLE, SILHOUETTE_BLOCK = 500, 10_000
 _ROWS = 4096
@@ -126,7 +126,7 @@ def fit_many(vectors: DataFrame, runs: Sequence[tuple[int, int]], key: str = "cu
                         n, cost, sums = totals[r, c]
                         costs[r] += cost
                         new[c] = np.array(sums) / n
-                if (((new - centres[r]) ** 2).sum(axis=1) > TOLERANCE ** 2).any():
+                if ((new - centres[r]) ** 2).sum() > TOLERANCE ** 2:
                     still.append(r)
                 centres[r] = new
             moving = still
