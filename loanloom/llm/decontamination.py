@@ -33,6 +33,8 @@ MASKS = [np.array([PIECE * p + j for p in pair for j in range(PIECE)]) for pair
 LEAST_ITEM = 5
 #: Least words of a verified run, and the least share of them that are equal, as equal words to each substituted one.
 LEAST_RUN, EQUAL_TO_EACH = 12, 3
+#: Sets of places with more pairs than this meet by convolution, others in portions of so many pairs.
+PAIRED, PAIRS_AT_ONCE = 1 << 16, 1 << 21
 #: Text bytes of test items held by a task at once.
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
@@ -68,6 +70,26 @@ def masked_hashes(codes: np.ndarray, mask: np.ndarray, span: int, number: int) -
     return mixed(out)
 
 
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where each run of equal rows of sorted columns begins, and the end."""
+    n = len(columns[0])
+    fresh = np.ones(n, dtype=bool)
+    if n:
+        fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.append(np.flatnonzero(fresh), n)
+
+
+def _differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distinct differences of two sets of places."""
+    low_a, high_b = int(a.min()), int(b.max())
+    n = int(a.max()) - low_a + high_b - int(b.min()) + 1
+    size = 1 << (n - 1).bit_length()
+    x, y = np.zeros(size), np.zeros(size)
+    x[a - low_a] = 1
+    y[high_b - b] = 1
+    return np.flatnonzero(np.fft.irfft(np.fft.rfft(x) * np.fft.rfft(y), size)[:n] > 0.5) + low_a - high_b
+
+
 @dataclass
 class SeedIndex:
     """Masked hashes of a block of test items, with the words of the items for verification."""
@@ -75,8 +97,9 @@ class SeedIndex:
     codes: np.ndarray
     first: np.ndarray
     masks: list[tuple[np.ndarray, int, int]]    # offsets, span, number
-    keys: np.ndarray
+    keys: np.ndarray        # of each key and item that holds it, sorted
     item: np.ndarray
+    start: np.ndarray       # where its places begin in ``place``, and one end more
     place: np.ndarray
     _filter: np.ndarray | None = field(default=None, repr=False)
 
@@ -97,8 +120,11 @@ class SeedIndex:
                     item.append(np.full(len(h), i))
                     place.append(np.arange(len(h)))
         flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, item, place)]
-        by = np.argsort(flat[0], kind="stable")
-        return SeedIndex(item_ids, codes, first, masks, flat[0].astype(np.uint64)[by], flat[1][by], flat[2][by])
+        key, item, place = flat[0].astype(np.uint64), flat[1], flat[2]
+        by = np.lexsort((place, item, key))
+        key, item, place = key[by], item[by], place[by]
+        start = _starts(key, item)
+        return SeedIndex(item_ids, codes, first, masks, key[start[:-1]], item[start[:-1]], start, place)
 
     def _seen(self) -> np.ndarray:
         if self._filter is None:
@@ -108,7 +134,7 @@ class SeedIndex:
 
     def overlaps(self, codes: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int, int]]:
         """(row, item) -> run length, equal words, first document word and first item word of the longest verified run."""
-        triples = []
+        hits = []
         if not len(self.keys):
             return {}
         for mask, span, number in self.masks:
@@ -119,24 +145,63 @@ class SeedIndex:
             row = np.searchsorted(first, at, side="right") - 1
             inside = at + span <= first[row + 1]
             at, row = at[inside], row[inside]
-            low, high = (np.searchsorted(self.keys, h[at], side=s) for s in ("left", "right"))
-            n = high - low
-            which = np.repeat(np.arange(len(at)), n)
-            ref = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            if span < SPAN:     # few words under a mask are often met by chance
-                same = sum((codes[at[which] + j] == self.codes[self.first[self.item[ref]] + j]).astype(int) for j in range(span))
-                good = same >= EQUAL_TO_EACH * (span - same)
-                which, ref = which[good], ref[good]
-            triples.append(np.column_stack([row[which], self.item[ref], at[which] - first[row[which]] - self.place[ref]]))
+            hits += self._diagonals(codes, first, h[at], at, row, span)
         found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        if triples:
-            for row, item, diagonal in np.unique(np.concatenate(triples), axis=0).tolist():
-                run = self._verified(codes[first[row]:first[row + 1]], item, diagonal)
-                best = found.get((row, item), (0, 0, 0, 0))
-                if run and (run[0], run[1], -run[2]) > (best[0], best[1], -best[2]):
-                    found[row, item] = run
+        if not hits:
+            return found
+        row, item, diagonal = np.unique(np.concatenate(hits), axis=0).T
+        # Diagonals of the longest overlap come first: one that cannot beat the run found so far is not looked at.
+        over = np.minimum(np.diff(self.first)[item], np.diff(first)[row] - diagonal) - np.maximum(0, -diagonal)
+        for k in np.lexsort((diagonal, -over, item, row)).tolist():
+            r, i, d = int(row[k]), int(item[k]), int(diagonal[k])
+            best = found.get((r, i), (0, 0, 0, 0))
+            if (over[k], over[k], -max(0, d)) <= (best[0], best[1], -best[2]):
+                continue
+            run = self._verified(codes[first[r]:first[r + 1]], i, d)
+            if run and (run[0], run[1], -run[2]) > (best[0], best[1], -best[2]):
+                found[r, i] = run
         return found
 
+    def _diagonals(self, codes, first, h, at, row, span) -> list[np.ndarray]:
+        """Rows of (row, item, document place less item place), each once in a part, of the windows ``at`` with hashes ``h``.
+
+        The windows of a row with one hash meet those of an item with this hash as two sets of places.  Small ones are paired;
+        for large ones, as in texts that repeat themselves, the differences come from one convolution.
+        """
+        order = np.lexsort((at, h, row))
+        h, at, row = h[order], at[order], row[order]
+        begin = _starts(row, h)
+        low, high = (np.searchsorted(self.keys, h[begin[:-1]], side=s) for s in ("left", "right"))
+        n = high - low
+        doc = np.repeat(np.arange(len(n)), n)
+        ref = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        wide = np.diff(self.start)[ref]
+        size = np.diff(begin)[doc] * wide
+        out = []
+        crowded = (size > PAIRED) & (wide > 1)
+        for d, g in zip(doc[crowded].tolist(), ref[crowded].tolist()):
+            places, own = at[begin[d]:begin[d + 1]] - first[row[begin[d]]], self.place[self.start[g]:self.start[g + 1]]
+            apart = _differences(places, own)
+            out.append(np.column_stack([np.full(len(apart), row[begin[d]]), np.full(len(apart), self.item[g]), apart]))
+        doc, ref, wide, size = doc[~crowded], ref[~crowded], wide[~crowded], size[~crowded]
+        ends = np.cumsum(size)
+        cuts = [0]
+        while cuts[-1] < len(size):
+            done = ends[cuts[-1] - 1] if cuts[-1] else 0
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, side="right"))))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            which = np.repeat(np.arange(a, b), size[a:b])
+            k = np.arange(len(which)) - np.repeat(np.cumsum(size[a:b]) - size[a:b], size[a:b])
+            here = at[begin[doc[which]] + k // wide[which]]
+            place = self.place[self.start[ref[which]] + k % wide[which]]
+            item, of = self.item[ref[which]], row[begin[doc[which]]]
+            if span < SPAN:     # few words under a mask are often met by chance
+                same = sum((codes[here + j] == self.codes[self.first[item] + j]).astype(int) for j in range(span))
+                good = same >= EQUAL_TO_EACH * (span - same)
+                here, place, item, of = here[good], place[good], item[good], of[good]
+            out.append(np.unique(np.column_stack([of, item, here - first[of] - place]), axis=0))
+        return out
+
     def _verified(self, doc: np.ndarray, item: int, diagonal: int) -> tuple[int, int, int, int] | None:
         own = self.codes[self.first[item]:self.first[item + 1]]
         begin, end = max(0, -diagonal), min(len(own), len(doc) - diagonal)
