@@ -211,7 +211,7 @@ class Search:
         nodes = nodes.copy()
         while len(going):
             here = nodes[going]
-            u = self._uniform(row[going], place[going], self.draws * 4096 + step)
+            u = self._uniform(row[going], place[going], (self.draws << 32) + step)
             edges = self.first[here]
             goal = here + np.floor(u * _QUANTA) / _QUANTA
             # Few edges leave a node: walk along them.
@@ -281,7 +281,7 @@ class Search:
             before[a:b] = np.cumsum(np.append(known, logs[a:b]))[:-1]
         # Bound of the part left at each step: a Gumbel of the mass of the other edges, truncated at the bound of the path.
         others = np.log(-np.expm1(np.minimum(logs, 0.0)) + 1e-300)
-        waits = -np.log(self._uniform(self.row[step_part], np.arange(len(edges)) - np.repeat(cuts[:-1], counts), self.draws * 4096 + 4095))
+        waits = -np.log(self._uniform(self.row[step_part], np.arange(len(edges)) - np.repeat(cuts[:-1], counts), ((self.draws + 1) << 32) - 1))
         bounds = np.repeat([starts[r][3] for r in order], counts)
         left = np.where(others > -600, -np.logaddexp(-bounds, np.log(waits) - before - others), -np.inf)
         need = self.samples - turn
