@@ -8,7 +8,8 @@ so the sum over all subsets of the other features is the integral over u of the
 
     product over j of (share_j (1 - u) + inside_j u)
 
-of degree m - 1, which Gauss-Legendre nodes integrate exactly.  A batch of rows meets all leaves of one path length at once.
+of degree m - 1, which Gauss-Legendre nodes integrate exactly.  It depends on the row only by the 2^m cases of inside, so a
+task works out the cases of a leaf once and its rows look theirs up; long paths and few rows are integrated row by row.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from pyspark.sql import functions as F
 from loanloom.functions.columns import half_even
 from loanloom.session import ensure_checkpoint_dir
 
-#: Numbers that a task holds at a time while it meets rows with leaves.
-_BLOCK = 1 << 22
+#: Numbers that a task holds at a time while it meets rows with leaves, and values of the rows that it takes together.
+_BLOCK, _VALUES = 1 << 22, 1 << 22
+#: Features of a path whose cases are put in a table at most, and rows that look them up at a time.
+_TABLE, _STRIP = 10, 8192
 
 
 @dataclass
@@ -78,30 +81,63 @@ def grouped(paths: Sequence[tuple[float, dict]]) -> tuple[list[Leaves], float]:
     return groups, base
 
 
+def _parts(inside: np.ndarray, g: Leaves) -> np.ndarray:
+    """Contribution of each leaf and feature on its path, where ``inside`` (case, leaf, feature) tells which intervals hold the row."""
+    nodes, weights = np.polynomial.legendre.leggauss((g.feature.shape[1] + 1) // 2)
+    u, weights = (nodes + 1) / 2, weights / 2
+    absent = g.share[..., None] * (1 - u)
+    factor = np.where(inside[..., None], absent + u, absent)
+    # The product over the other features, without division: a share may be 0.
+    before, after = np.ones_like(factor), np.ones_like(factor)
+    np.cumprod(factor[:, :, :-1], axis=2, out=before[:, :, 1:])
+    np.cumprod(factor[:, :, :0:-1], axis=2, out=after[:, :, -2::-1])
+    return (inside - g.share) * ((before * after) @ weights) * g.value[:, None]
+
+
+def _row_by_row(x: np.ndarray, g: Leaves, out: np.ndarray) -> None:
+    leaves, length = g.feature.shape
+    order = np.argsort(g.feature.ravel(), kind="stable")
+    held, start = np.unique(g.feature.ravel()[order], return_index=True)
+    step = max(1, _BLOCK // (leaves * length * ((length + 1) // 2)))
+    for i in range(0, len(x), step):
+        at = x[i:i + step][:, g.feature]
+        part = _parts((at > g.low) & (at <= g.high), g)
+        out[held, i:i + step] += np.add.reduceat(part.reshape(len(at), -1)[:, order], start, axis=1).T
+
+
+def _by_pattern(columns: np.ndarray, g: Leaves, out: np.ndarray) -> None:
+    """A row meets a leaf of m features in one of 2^m ways: these are worked out once, and a row looks its own up."""
+    leaves, length = g.feature.shape
+    cases = (np.arange(1 << length)[:, None] >> np.arange(length) & 1).astype(bool)
+    step = max(1, _BLOCK // (cases.size * ((length + 1) // 2)))
+    for first in range(0, leaves, step):
+        some = Leaves(*[v[first:first + step] for v in (g.feature, g.low, g.high, g.share, g.value)])
+        inside = np.broadcast_to(cases[:, None, :], (len(cases), len(some.value), length))
+        tables = np.ascontiguousarray(_parts(inside, some).transpose(1, 2, 0))
+        for i in range(0, columns.shape[1], _STRIP):
+            strip, sums = columns[:, i:i + _STRIP], out[:, i:i + _STRIP]
+            for feature, low, high, table in zip(some.feature.tolist(), some.low.tolist(), some.high.tolist(), tables):
+                case = np.zeros(strip.shape[1], dtype=np.uint16)
+                for j, f in enumerate(feature):
+                    held = strip[f] <= high[j] if high[j] < np.inf else strip[f] > low[j]
+                    if -np.inf < low[j] and high[j] < np.inf:
+                        held &= strip[f] > low[j]
+                    case |= np.left_shift(held, j, dtype=np.uint16)
+                case = case.astype(np.intp)
+                for j, f in enumerate(feature):
+                    sums[f] += table[j].take(case)
+
+
 def contributions(x: np.ndarray, groups: Sequence[Leaves]) -> np.ndarray:
     """Shapley values of each row (of ``x``) and feature."""
-    out = np.zeros(x.shape)
+    columns, out = np.ascontiguousarray(x.T), np.zeros(x.shape[::-1])
     for g in groups:
-        leaves, length = g.feature.shape
-        nodes, weights = np.polynomial.legendre.leggauss((length + 1) // 2)
-        u, weights = (nodes + 1) / 2, weights / 2
-        absent = g.share[..., None] * (1 - u)
-        known = absent + u
-        order = np.argsort(g.feature.ravel(), kind="stable")
-        held, start = np.unique(g.feature.ravel()[order], return_index=True)
-        step = max(1, _BLOCK // (leaves * length * len(u)))
-        for i in range(0, len(x), step):
-            at = x[i:i + step][:, g.feature]
-            inside = (at > g.low) & (at <= g.high)
-            factor = np.where(inside[..., None], known, absent)
-            # The product over the other features, without division: a share may be 0.
-            before, after = np.ones_like(factor), np.ones_like(factor)
-            np.cumprod(factor[:, :, :-1], axis=2, out=before[:, :, 1:])
-            np.cumprod(factor[:, :, :0:-1], axis=2, out=after[:, :, -2::-1])
-            rest = before * after
-            part = (inside - g.share) * (rest @ weights) * g.value[:, None]
-            out[i:i + step, held] += np.add.reduceat(part.reshape(len(at), -1)[:, order], start, axis=1)
-    return out
+        length = g.feature.shape[1]
+        if length <= _TABLE and len(x) > 1 << length:
+            _by_pattern(columns, g, out)
+        else:
+            _row_by_row(x, g, out)
+    return np.ascontiguousarray(out.T)
 
 
 def tree_covers(df: DataFrame, trees: Sequence[dict[int, tuple]], inputs: Sequence[str]) -> list[dict[int, tuple]]:
@@ -153,13 +189,23 @@ def tree_contributions(paths: Sequence[tuple[float, dict]], data: DataFrame, inp
     groups, base = grouped(paths)
     width = len(inputs)
 
+    def answer(keys, x):
+        phi = contributions(x, groups)
+        ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * width)
+        return pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(ends, pa.array(phi.ravel())), pa.array(base + phi.sum(axis=1))],
+                                          [key, "phi", "explained"])
+
     def explained(batches):
+        keys, rows, held = [], [], 0
         for batch in batches:
-            x = np.asarray(batch.column("x").flatten(), dtype=float).reshape(-1, width)
-            phi = contributions(x, groups)
-            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(phi.ravel())), pa.array(base + phi.sum(axis=1))],
-                                             [key, "phi", "explained"])
+            keys.append(batch.column(0))
+            rows.append(np.asarray(batch.column("x").flatten(), dtype=float).reshape(-1, width))
+            held += rows[-1].size
+            if held >= _VALUES:
+                yield answer(pa.concat_arrays(keys), np.concatenate(rows))
+                keys, rows, held = [], [], 0
+        if rows:
+            yield answer(pa.concat_arrays(keys), np.concatenate(rows))
 
     vector = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in inputs])
     kind = data.schema[key].dataType.simpleString()

@@ -94,3 +94,16 @@ def test_fitted_models_explain_their_own_predictions(spark):
         assert ranked[0]["mean_abs_shap"] == pytest.approx(max(np.abs([r["phi"] for r in met]).mean(axis=0)), abs=1e-6)
     with pytest.raises(TypeError):
         tree_shapley.model_paths(Pipeline(stages=[assemble]).fit(filled), spark)
+
+
+def test_cases_of_a_leaf_are_worked_out_once(monkeypatch):
+    draw = np.random.default_rng(5)
+    groups, _ = tree_shapley.grouped([p for _ in range(3) for p in tree_shapley.leaf_paths(random_tree(draw, 6, 7))])
+    x = draw.normal(size=(9000, 6))
+    x[::7, 2] = np.nan
+    told = np.concatenate([tree_shapley.contributions(x[i:i + 1], groups) for i in range(0, 9000, 300)])
+    worked = []
+    parts = tree_shapley._parts
+    monkeypatch.setattr(tree_shapley, "_parts", lambda inside, g: worked.append(inside.shape[0] * inside.shape[1]) or parts(inside, g))
+    assert np.allclose(tree_shapley.contributions(x, groups)[::300], told, atol=1e-12)
+    assert sum(worked) <= sum(len(g.value) << g.feature.shape[1] for g in groups)
