@@ -109,3 +109,30 @@ def test_clusters_and_names(spark):
     assert projected.columns == ["customer_id", "pc1", "pc2"] and 0 < sum(shares) <= 1
     again, cost_again = segments.fit_kmeans(vectors, 4, restarts=4)
     assert cost == pytest.approx(cost_again)
+
+
+def test_training_table_has_a_part_for_each_core(bank):
+    data, _ = bank.training()
+    assert data.rdd.getNumPartitions() == bank.spark.sparkContext.defaultParallelism
+
+
+def test_steps_that_change_nothing_are_not_predicted(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    inputs = ["a", "b", "c", "same", "none"]
+    df = spark.createDataFrame([(f"c{i}", i % 2, float(i % 2), float(i % 5), float(i % 3), 7.0, 0.0) for i in range(60)],
+                               "customer_id string, defaulted int, a double, b double, c double, same double, none double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"),
+                             LogisticRegression(labelCol="defaulted", regParam=0.05)]).fit(df)
+    predicted = []
+    plain = models._predicted
+    monkeypatch.setattr(models, "_predicted", lambda m, rows, i: predicted.append(rows) or plain(m, rows, i))
+    values = models.shapley_values(model, df, inputs, rounds=2).collect()
+    assert len(values) == 60 * 5 and all(r["phi"] == 0 for r in values if r["feature"] in ("same", "none"))
+    assert predicted[0].count() <= 60 * 2 * 4
+    # A model without an assembler of its inputs gets them as columns.
+    other = Pipeline(stages=[VectorAssembler(inputCols=inputs[::-1], outputCol="features"),
+                             LogisticRegression(labelCol="defaulted", regParam=0.05)]).fit(df)
+    got = {(r["customer_id"], r["feature"]): r["phi"] for r in models.shapley_values(other, df, inputs, rounds=2).collect()}
+    assert all(abs(got[r["customer_id"], r["feature"]] - r["phi"]) < 1e-4 for r in values)
