@@ -136,3 +136,14 @@ def test_steps_that_change_nothing_are_not_predicted(spark, monkeypatch):
                              LogisticRegression(labelCol="defaulted", regParam=0.05)]).fit(df)
     got = {(r["customer_id"], r["feature"]): r["phi"] for r in models.shapley_values(other, df, inputs, rounds=2).collect()}
     assert all(abs(got[r["customer_id"], r["feature"]] - r["phi"]) < 1e-4 for r in values)
+
+
+def test_folds_of_all_models_are_fitted_side_by_side(bank, monkeypatch):
+    import threading
+    data, inputs = bank.training()
+    names = [models.LOGISTIC, models.FOREST]
+    together = threading.Barrier(len(names) * models.FOLDS)
+    monkeypatch.setattr(models, "fold_auc", lambda pipeline, train, fold: (together.wait(60), 0.8 + fold / 100)[1], raising=False)
+    monkeypatch.setattr(models, "evaluate", lambda scored: {"auc_roc": 0.9, "f1_score": 0.5, "avg_precision": 0.5})
+    report, _ = models.compare(data, inputs, names, fitted=lambda n: bank.trained(models.LOGISTIC))
+    assert [r["cv_auc_mean"] for r in report.collect()] == [0.82, 0.82]
