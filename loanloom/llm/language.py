@@ -5,9 +5,10 @@ letters, scaled to length one.  Each language has several spherical k-means cent
 takes the language of the centroid with the largest cosine.  A text whose best
 cosine lies below what nearly all texts of its length reach is not accepted.
 
-Document frequencies count all training rows.  Centroids and acceptance bounds
-are fitted on at most ``SAMPLE_PER_LANGUAGE`` rows of each language, taken by key hash.  For
-the bounds each of these rows is left out of its own centroid, and its beginnings of
+Document frequencies, centroids and acceptance bounds come from all training rows.  Only the first
+centres are found on at most ``SAMPLE_PER_LANGUAGE`` rows of each language, taken by key hash: every row then
+joins the nearest one of its language, and a centroid is the mean of all its rows.  For
+the bounds each row is left out of its own centroid, and its beginnings of
 many lengths count as well, so that short texts have bounds where few rows are short.
 """
 
@@ -37,6 +38,8 @@ BEGINNINGS = [4, 6, 8, 11, 16, 23, 32, 45, 64, 90, 128, 181, 256, 362, 512, 724,
 _CLASSES, _BINS, _ROWS = 64, 500, 256
 UNKNOWN = "und"
 _SMALL = 1 << 19
+#: Steps of 1 in which the sums of centroids are added.
+_UNIT = float(1 << 32)
 
 
 def _letter_codes() -> np.ndarray:
@@ -78,8 +81,17 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.where(norms > 0, norms, 1.0)[:, None]
 
 
-def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return unit_rows(np.log1p(counts) * idf)
+def vectors(counts: np.ndarray, idf: np.ndarray, sparse: bool = False) -> np.ndarray:
+    """Unit rows of weighted counts; ``sparse`` takes the logarithm of those that are not 0 alone, which pays for short texts."""
+    if not sparse:
+        return unit_rows(np.log1p(counts) * idf)
+    out = np.zeros(counts.shape)
+    at = np.flatnonzero(counts)
+    row = at // counts.shape[1]
+    value = np.log1p(counts.ravel()[at]) * idf[at % counts.shape[1]]
+    norms = np.sqrt(np.bincount(row, value * value, len(counts)))
+    out.ravel()[at] = value / norms[row]
+    return out
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -150,35 +162,61 @@ def fit(training: DataFrame, id_column: str = "doc_id", text_column: str = "text
         counts = np.concatenate(parts)
         x = vectors(counts, idf.astype(np.float32))
         centres = spherical_kmeans(x, centroids)
-        own = np.argmax(x @ centres.T, axis=1)
-        sums = [float(np.linalg.norm(x[own == j].sum(axis=0))) for j in range(len(centres))]
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centres": [centres.astype(float).ravel().tolist()], "sums": [sums]})
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centres": [centres.astype(float).ravel().tolist()]})
 
     keys, _ = sampled_keys(rows.where("id is not null").select("id", F.col("lang").alias("label")), sample)
     drawn = rows.join(F.broadcast(keys.select("id").distinct()), "id")
-    fitted = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centres array<double>, sums array<double>").orderBy("lang").collect()
+    fitted = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centres array<double>").orderBy("lang").collect()
     if not fitted:
         return LanguageModel([], np.zeros(0, int), np.zeros((0, DIMENSIONS)), idf, np.zeros(1))
     languages = [r["lang"] for r in fitted]
     centres = [np.array(r["centres"]).reshape(-1, DIMENSIONS) for r in fitted]
     owner = np.concatenate([np.full(len(c), i) for i, c in enumerate(centres)])
-    model = LanguageModel(languages, owner, np.concatenate(centres), idf, np.zeros(1))
-    sums = np.concatenate([r["sums"] for r in fitted])
-    held_model = sent(rows.sparkSession, model)
+    first = LanguageModel(languages, owner, np.concatenate(centres), idf, np.zeros(1))
+    held_first = sent(rows.sparkSession, first)
 
-    def reach(batches):
-        model = received(held_model)
-        totals = np.zeros(_CLASSES * _BINS, dtype=np.int64)
+    def pieces(batches, first):
+        """Texts and language numbers of some rows at a time; languages without a centre are left out."""
+        number = {language: i for i, language in enumerate(first.languages)}
         for batch in batches:
-            label = np.searchsorted(model.languages, np.asarray(batch.column("lang").to_pylist(), dtype=object))
-            for a, b in slices(batch.column("text"), _SMALL):
+            label = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()], dtype=np.int64)
+            at = np.flatnonzero(label >= 0)
+            column, label = batch.column("text").take(pa.array(at)), label[at]
+            for a, b in slices(column, _SMALL):
                 for c in range(a, b, _ROWS):
                     d = min(b, c + _ROWS)
-                    totals += reached(model, sums, batch.column("text").slice(c, d - c), label[c:d])
+                    yield column.slice(c, d - c), label[c:d]
+
+    def join(batches):
+        first = received(held_first)
+        totals = np.zeros(first.centroids.shape)
+        for texts, label in pieces(batches, first):
+            x = vectors(gram_counts(texts), first.idf)
+            mine = members(first, x, label)
+            for j in np.unique(mine):
+                totals[j] += x[mine == j].sum(axis=0)
+        centre, gram = np.nonzero(totals)
+        # Whole numbers, so that the order in which tasks are added makes no difference.
+        value = np.rint(totals[centre, gram] * _UNIT).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"centre": centre.astype(np.int32), "gram": gram.astype(np.int32), "value": value})
+
+    joined = map_arrow(rows.select("lang", "text"), join, "centre int, gram int, value long").groupBy("centre", "gram").agg(
+        F.sum("value").alias("value")).toArrow()    # at most a row for each centroid and dimension
+    whole = np.zeros(first.centroids.shape)
+    whole[np.asarray(joined["centre"]), np.asarray(joined["gram"])] = np.asarray(joined["value"]) / _UNIT
+    sums = np.linalg.norm(whole, axis=1)
+    model = LanguageModel(languages, owner, np.where(sums[:, None] > 0, unit_rows(whole), first.centroids), idf, np.zeros(1))
+    held_model = sent(rows.sparkSession, model)
+
+    def reach(batches):
+        first, model = received(held_first), received(held_model)
+        totals = np.zeros(_CLASSES * _BINS, dtype=np.int64)
+        for texts, label in pieces(batches, first):
+            totals += reached(first, model, sums, texts, label)
         at = np.flatnonzero(totals)
         yield pa.RecordBatch.from_pydict({"cell": at, "n": totals[at]})
 
-    cells = map_arrow(drawn.select("lang", "text"), reach, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cells = map_arrow(rows.select("lang", "text"), reach, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     totals = np.zeros(_CLASSES * _BINS, dtype=np.int64)
     for r in cells:     # at most a row for each class and bin
         totals[r["cell"]] = r["n"]
@@ -186,17 +224,23 @@ def fit(training: DataFrame, id_column: str = "doc_id", text_column: str = "text
     return model
 
 
-def reached(model: LanguageModel, sums: np.ndarray, texts: pa.Array, label: np.ndarray) -> np.ndarray:
+def members(first: LanguageModel, x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The centre of its own language that each row joins."""
+    return np.argmax(np.where(first.owner == label[:, None], x @ first.centroids.T, -2.0), axis=1)
+
+
+def reached(first: LanguageModel, model: LanguageModel, sums: np.ndarray, texts: pa.Array, label: np.ndarray) -> np.ndarray:
     """Counts by length class and bin of the best cosines of training texts and of their beginnings.
 
-    A row takes no part in the centroid it helped to make: ``sums`` are the lengths of the summed members of each.
+    A row takes no part in the centroid it helped to make: ``sums`` are the lengths of the summed members of each, who
+    joined the centres of ``first``.
     """
     counts = gram_counts(texts)
     x = vectors(counts, model.idf)
-    cosines = x @ model.centroids.T
-    mine = np.argmax(np.where(model.owner == label[:, None], cosines, -2.0), axis=1)
+    mine = members(first, x, label)
     weight = sums[mine]
-    rest = np.sqrt(np.maximum(weight ** 2 - 2.0 * weight * cosines[np.arange(len(x)), mine] + 1.0, 0.0))
+    cosines = np.einsum("ij,ij->i", x, model.centroids[mine])
+    rest = np.sqrt(np.maximum(weight ** 2 - 2.0 * weight * cosines + 1.0, 0.0))
     totals = np.zeros(_CLASSES * _BINS, dtype=np.int64)
 
     def add(at: np.ndarray, counts: np.ndarray, y: np.ndarray) -> None:
@@ -214,7 +258,7 @@ def reached(model: LanguageModel, sums: np.ndarray, texts: pa.Array, label: np.n
         at = np.flatnonzero(lengths > length)
         if len(at):
             counts = gram_counts(pc.utf8_slice_codeunits(texts.take(pa.array(at)), 0, length))
-            add(at, counts, vectors(counts, model.idf))
+            add(at, counts, vectors(counts, model.idf, sparse=True))
     return totals
 
 

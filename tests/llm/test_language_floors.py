@@ -36,3 +36,20 @@ def test_every_length_has_a_bound():
     totals[6, 20] = 100
     floors = language.acceptance_floors(totals)
     assert floors[9] == floors[6] <= 0.36 * 0.8 and (floors > 0).all() and (np.diff(floors) >= 0).all()
+
+
+def test_centroids_and_bounds_come_from_all_rows(spark, monkeypatch):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").where("text is not null and lang is not null")
+    counted = []
+    floors = language.acceptance_floors
+    monkeypatch.setattr(language, "acceptance_floors", lambda totals: counted.append(int(totals.sum())) or floors(totals))
+    small = language.fit(docs, sample=5)
+    whole = language.fit(docs)
+    assert counted[0] == counted[1] >= docs.count()
+    # With one centroid each it is the mean of all rows of the language, whatever the sample that found its first centre.
+    one = [language.fit(docs, centroids=1, sample=n) for n in (5, 800)]
+    assert np.allclose(one[0].centroids, one[1].centroids, atol=1e-9)
+    assert small.languages == whole.languages and (small.floors > 0).all()
+    counts = np.array([[0.0, 3, 0, 1], [0, 0, 0, 0]])
+    idf = np.array([1.0, 2, 3, 4])
+    assert np.allclose(language.vectors(counts, idf), language.vectors(counts, idf, sparse=True))
