@@ -35,7 +35,7 @@ SAMPLE_PER_LANGUAGE = 800
 REJECT_SHARE, REJECT_PART, LEAST_FLOOR = 0.36, 0.01, 0.04
 #: Characters of the beginnings that count for the bounds, two to each length class.
 BEGINNINGS = [4, 6, 8, 11, 16, 23, 32, 45, 64, 90, 128, 181, 256, 362, 512, 724, 1024, 1448, 2048, 2896, 4096]
-_CLASSES, _BINS, _ROWS = 64, 500, 256
+_CLASSES, _BINS, _ROWS = 64, 500, 64
 UNKNOWN = "und"
 _SMALL = 1 << 19
 #: Steps of 1 in which the sums of centroids are added.
@@ -62,7 +62,7 @@ def gram_counts(texts: pa.Array) -> np.ndarray:
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32) | (row[1:] != row[:-1])
     codes, row = codes[keep], row[keep]
-    counts = np.zeros(rows * DIMENSIONS)
+    cells = []
     for size in (2, 3):
         if len(codes) < size:
             continue
@@ -72,8 +72,8 @@ def gram_counts(texts: pa.Array) -> np.ndarray:
             gram = gram * np.uint32(0x01000193) + codes[j:j + n]
         gram = (gram * np.uint32(0x9E3779B1)) >> np.uint32(32 - 12)
         inside = row[:n] == row[size - 1:]
-        counts += np.bincount(row[:n][inside] * DIMENSIONS + gram[inside], minlength=rows * DIMENSIONS)
-    return counts.reshape(rows, DIMENSIONS)
+        cells.append(row[:n][inside] * DIMENSIONS + gram[inside])
+    return np.bincount(np.concatenate(cells) if cells else np.zeros(0, np.int64), minlength=rows * DIMENSIONS).reshape(rows, DIMENSIONS)
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
