@@ -83,3 +83,12 @@ def test_exact_silhouette_equals_brute_force(spark):
     # A sample that holds every row is exact, a smaller one is near.
     assert kmeans.plain_silhouette(assigned, 4, 1000) == pytest.approx(expected, abs=1e-9)
     assert kmeans.plain_silhouette(assigned, 4, 20) == pytest.approx(expected, abs=0.08)
+
+
+def test_ties_go_to_the_smaller_number_and_scans_keep_their_sums():
+    draw = np.random.default_rng(4)
+    far = draw.integers(0, 4, size=(9, 500)).astype(float)
+    near, member = kmeans.nearest(far, [0, 4, 5, 9])
+    for a, b, d in zip([0, 4, 5], [4, 5, 9], near):
+        assert (member[a:b].argmax(axis=0) == far[a:b].argmin(axis=0)).all() and (member[a:b].sum(axis=0) == 1).all()
+        assert (d == far[a:b].min(axis=0)).all()
