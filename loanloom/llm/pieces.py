@@ -346,7 +346,7 @@ SAMPLE_TYPE = "array<struct<ids:array<int>,log_prob:double,log_inclusion:double>
 
 def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES,
            seed: int = 0, name: str = "segmentations", model_path: str = MODEL_PATH, alpha: float = ALPHA,
-           read_back: str | None = None) -> DataFrame:
+           read_back: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """All rows and columns of ``docs`` with up to ``samples`` distinct segmentations added.
 
     Each has the piece ids, its log-probability and its log inclusion score: the log of the probability that
@@ -354,7 +354,8 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     They come in the order of the perturbed log-probabilities.  A text with fewer segmentations gives them all; a
     null text gives null, an empty one a single empty segmentation.  The draw depends on the row key and ``seed`` only,
     so that repeated rows draw alike; a null key counts as 0.  ``read_back`` names a column that tells
-    whether all segmentations decode to the text (null for a null text).
+    whether all segmentations decode to the text (null for a null text).  A task works on ``chunk`` text bytes at once,
+    which bounds its memory and changes no result.
     """
     names = [unused(docs, name)] + ([unused(docs, read_back)] if read_back else [])
     place, key = docs.columns.index(text_column), docs.columns.index(id_column)
@@ -364,7 +365,7 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         vocabulary = received(held)
         for batch in batches:
             # Slices go out one by one: a batch of long texts with all its ids would be large.
-            for a, b in slices(batch.column(place), CHUNK):
+            for a, b in slices(batch.column(place), chunk):
                 yield encoded(batch.slice(a, b - a), vocabulary)
 
     def encoded(batch, vocabulary):
