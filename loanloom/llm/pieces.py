@@ -99,73 +99,78 @@ class Vocabulary:
 
 
 class Lattices:
-    """Lattices of distinct parts as one graph: a node is a character, its edges lie in a row."""
+    """Lattices of distinct parts as one graph: a node is a character, its edges lie in a row.
+
+    Nodes are numbered in layers by how far they are from the end of their part, and in a layer by their part, longest
+    parts first.  So the mass from a node on is found a layer at a time, each of them a stretch of nodes and of edges.
+    """
 
     def __init__(self, vocabulary: Vocabulary, codes: np.ndarray, sizes: np.ndarray):
         """``codes`` holds the characters of all parts, ``sizes`` how many each has."""
-        n = len(codes)
-        ends = np.cumsum(sizes)
-        self.roots = ends - sizes
-        end = np.repeat(ends, sizes)
+        n, longest = len(codes), int(sizes.max(initial=0))
+        order = np.argsort(-sizes, kind="stable")
+        falling = -sizes[order]
+        width = np.searchsorted(falling, -np.arange(1, longest + 1), side="right")
+        layer = np.concatenate(([0], np.cumsum(width))).astype(np.int32)
+        self.roots = np.empty(len(sizes), dtype=np.int32)
+        self.roots[order] = layer[-falling - 1] + np.arange(len(sizes), dtype=np.int32)
+        left = np.repeat(np.arange(1, longest + 1, dtype=np.int32), width)
+        rank = np.arange(n, dtype=np.int32) - layer[left - 1]
+        at = np.cumsum(sizes)[order].astype(np.int32)[rank] - left
+        codes = codes.astype(np.int32, copy=False)
         # Edges by piece length, while what has been read still begins a piece.
-        at, length, piece = [], [], []
-        place, h, size = np.arange(n), np.zeros(n, dtype=np.uint64), 0
-        while len(place):
-            h = h * np.uint64(_STEP) + (codes[place + size] + 1).astype(np.uint64)
+        found_at, found_piece, found_target = [], [], []
+        degree = np.zeros(n, dtype=np.int32)
+        node, h, size = np.arange(n, dtype=np.int32), np.zeros(n, dtype=np.uint64), 0
+        while len(node):
+            h = h * np.uint64(_STEP) + (codes[at + size] + 1).astype(np.uint64)
             size += 1
             found = vocabulary.find(h)
-            if size == 1:
-                alone = place[found < 0]
-                at.append(alone)
-                length.append(np.ones(len(alone), np.int64))
-                piece.append(-1 - codes[alone])
-            hit = found >= 0
-            at.append(place[hit])
-            length.append(np.full(int(hit.sum()), size))
-            piece.append(found[hit])
-            going = (found >= -1) & (place + size < end[place])
-            place, h = place[going], h[going]
-        at, length, self.piece = (np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32) for x in (at, length, piece))
-        order = np.argsort(at, kind="stable")    # pieces of a node came in by length
-        at, length, self.piece = at[order], length[order], self.piece[order]
-        stop = end.astype(np.int32)[at]
-        self.target = at + length
-        # Mass from a node to the end of its part, for all parts at once from their ends: edges by how far their node is from it.
-        left = stop - at
-        by = np.argsort(left.astype(np.uint16) if left.max(initial=0) < 1 << 16 else left, kind="stable")
-        cuts = np.searchsorted(left[by], np.arange(1, int(left.max(initial=0)) + 2))
-        self.target[self.target == stop] = -1
-        target, node, kind = self.target[by], at[by], self.piece[by]
-        own = vocabulary.logs[np.maximum(kind, 0)]
-        raw = np.flatnonzero(kind < 0)
-        c = -1 - kind[raw]
-        own[raw] = vocabulary.byte_cost * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
+            # A character that no piece covers stands for itself.
+            piece = np.where(found < 0, -1 - codes[at], found) if size == 1 else found
+            hit = slice(None) if size == 1 else np.flatnonzero(found >= 0)
+            here, gap = node[hit], left[hit] - size
+            degree[here] += 1
+            found_at.append(here)
+            found_piece.append(piece[hit])
+            found_target.append(np.where(gap > 0, layer[gap - 1] + rank[hit], -1))
+            going = np.flatnonzero((found >= -1) & (left > size))
+            node, at, h, left, rank = node[going], at[going], h[going], left[going], rank[going]
+        self.first = np.zeros(n + 1, dtype=np.int32)
+        np.cumsum(degree, out=self.first[1:])
+        edges = int(self.first[-1])
+        self.piece, self.target = np.empty(edges, np.int32), np.empty(edges, np.int32)
+        self.node = np.repeat(np.arange(n, dtype=np.int32), degree)
+        free = self.first[:-1].copy()
+        for here, piece, target in zip(found_at, found_piece, found_target):
+            to = free[here]
+            self.piece[to], self.target[to] = piece, target
+            free[here] = to + 1
+        self.log = vocabulary.logs[np.maximum(self.piece, 0)]
+        raw = np.flatnonzero(self.piece < 0)
+        c = -1 - self.piece[raw]
+        self.log[raw] = vocabulary.byte_cost * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
+        # Mass from a node to the end of its part, for all parts at once from their ends.
         after = np.zeros(n + 1)    # the last is that of an ended part: -1
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
-            w = own[a:b]
-            w += after[target[a:b]]
-            heads = np.flatnonzero(np.diff(node[a:b], prepend=-1))
-            spread = np.diff(np.append(heads, b - a))
+        for low, high in zip(layer[:-1].tolist(), layer[1:].tolist()):
+            a, b = self.first[low], self.first[high]
+            w, spread = self.log[a:b], degree[low:high]
+            w += after[self.target[a:b]]
+            heads = self.first[low:high] - a
             top = np.maximum.reduceat(w, heads)
             total = top + np.log(np.add.reduceat(np.exp(w - np.repeat(top, spread)), heads))
-            after[node[a:b][heads]] = total
+            after[low:high] = total
             w -= np.repeat(total, spread)
-        self.log = np.empty(len(at))
-        self.log[by] = own
-        self.first = np.searchsorted(at, np.arange(n + 1))
         # Probability of an edge and the earlier ones of its node, added within the node alone and in
         # steps that stay exact beside the node number: a draw must not hang on what else is in the slice.
         share = np.exp(self.log)
-        rank = np.arange(len(at)) - self.first[at]
-        more = np.flatnonzero(rank)
-        more = more[np.argsort(rank[more].astype(np.uint16), kind="stable")]
-        levels = np.searchsorted(rank[more], np.arange(1, int(rank.max(initial=0)) + 2))
-        for a, b in zip(levels[:-1], levels[1:]):
-            e = more[a:b]
+        more, passed = np.flatnonzero(degree > 1), 1
+        while len(more):
+            e = self.first[more] + passed
             share[e] += share[e - 1]
-        self.reach = at + np.rint(share * _QUANTA) / _QUANTA
+            passed += 1
+            more = more[degree[more] > passed]
+        self.reach = self.node + np.rint(share * _QUANTA) / _QUANTA
         if n:
             self.reach[self.first[1:] - 1] = np.arange(n) + 1.0
 
@@ -187,12 +192,15 @@ class Search:
         stops = np.append(starts[1:], len(codes))
         counts = np.diff(np.searchsorted(starts, np.append(rows_at, len(codes))))
         # Each distinct part once, by the hash of its characters.
-        _, once, which = np.unique(sequence_hashes(mixed(codes.astype(np.uint64)), starts, stops), return_index=True, return_inverse=True)
+        hashed = pa.array(sequence_hashes(mixed(codes.astype(np.uint64)), starts, stops)).dictionary_encode()
+        which = np.asarray(hashed.indices)
+        once = np.empty(len(hashed.dictionary), dtype=np.int64)
+        once[which] = np.arange(len(which))
         width = stops[once] - starts[once]
         at = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(starts[once], width)
         graph = Lattices(vocabulary, codes[at], width)
-        self.first, self.reach, self.log, self.target, self.piece = graph.first, graph.reach, graph.log, graph.target, graph.piece
-        self.roots = graph.roots[which] if len(which) else np.zeros(0, np.int64)
+        self.first, self.reach, self.log, self.target, self.piece, self.node = graph.first, graph.reach, graph.log, graph.target, graph.piece, graph.node
+        self.roots = graph.roots[which]
         self.begin = np.concatenate(([0], np.cumsum(counts)))
         self.row = np.repeat(np.arange(len(texts)), counts)
         self.seeds, self.samples, self.draws = seeds, samples, 0
@@ -201,41 +209,40 @@ class Search:
         key = self.seeds[row] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((salt * 0xD1B54A32D192ED03) & (2 ** 64 - 1))
         return uniforms(mixed(key))
 
-    def _descend(self, parts: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ancestral samples through ``parts`` from ``nodes``: the part, node and edge of every step."""
+    def _descend(self, parts: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ancestral samples through ``parts`` from ``nodes``: the part and edge of every step."""
         self.draws += 1
-        steps, going, step = [], np.arange(len(parts)), 0
+        steps, going, here, step = [], np.arange(len(parts), dtype=np.int32), nodes, 0
         row = self.row[parts]
         place = parts - self.begin[row]
-        taken = np.zeros(len(parts), dtype=np.int64)
-        nodes = nodes.copy()
+        taken = np.zeros(len(parts), dtype=np.int32)
         while len(going):
-            here = nodes[going]
-            u = self._uniform(row[going], place[going], (self.draws << 32) + step)
+            u = self._uniform(row, place, (self.draws << 32) + step)
             edges = self.first[here]
             goal = here + np.floor(u * _QUANTA) / _QUANTA
             # Few edges leave a node: walk along them.
-            open_ = np.arange(len(edges))
-            while len(open_ := open_[self.reach[edges[open_]] <= goal[open_]]):
-                edges[open_] += 1
-            steps.append((going, here, edges))
-            taken[going] += 1
-            after = self.target[edges]
-            nodes[going] = after
-            going = going[after >= 0]
+            open_ = np.flatnonzero(self.reach[edges] <= goal)
+            while len(open_):
+                passed = edges[open_] + 1
+                edges[open_] = passed
+                open_ = open_[self.reach[passed] <= goal[open_]]
             step += 1
+            steps.append((going, edges))
+            taken[going] = step
+            after = self.target[edges]
+            on = np.flatnonzero(after >= 0)
+            going, here, row, place = going[on], after[on], row[on], place[on]
         # Every part's steps in a row.
-        ends = np.cumsum(taken)
-        which, at, chosen = (np.empty(ends[-1] if len(ends) else 0, dtype=np.int64) for _ in range(3))
-        for k, (part, here, edges) in enumerate(steps):
-            to = ends[part] - taken[part] + k
-            which[to], at[to], chosen[to] = part, here, edges
-        return which, at, chosen
+        begins = np.cumsum(taken) - taken
+        chosen = np.empty(int(taken.sum()), dtype=np.int32)
+        for k, (part, edges) in enumerate(steps):
+            chosen[begins[part] + k] = edges
+        return np.repeat(np.arange(len(parts)), taken), chosen
 
     def run(self) -> list[list[tuple[np.ndarray, float, float]]]:
         """For each row its samples, in order of their perturbed log-probabilities: edges, log-probability, log inclusion score."""
         rows = len(self.begin) - 1
-        paths: list[list] = [[] for _ in range(rows)]     # (nodes, parts, edges, log before each step, bound)
+        paths: list[list] = [[] for _ in range(rows)]     # (parts, edges, log before each step, bound)
         queues: list[list] = [[] for _ in range(rows)]    # (bound, path, step, mass left out)
         live = [r for r in range(rows) if self.begin[r + 1] > self.begin[r]]
         bounds = dict(zip(live, (-np.log(-np.log(self._uniform(np.array(live, np.int64), np.zeros(len(live), np.int64), 1)))).tolist()))
@@ -250,7 +257,7 @@ class Search:
             # The largest bound not visited is the threshold of the inclusion scores.
             threshold = max((q[0] for q in queues[r]), default=-np.inf)
             found = []
-            for nodes, parts, edges, before, bound in paths[r]:
+            for _, edges, before, _ in paths[r]:
                 logp = float(before[-1] + self.log[edges[-1]])
                 gap = logp - threshold
                 score = 0.0 if gap > 30 else (gap if gap < -30 else float(np.log(-np.expm1(-np.exp(gap)))))
@@ -268,35 +275,37 @@ class Search:
         # A start of node -1 has just ended its part, which then has no step of its own.
         nodes[heads] = [starts[r][2] for r in order]
         live = nodes >= 0
-        which, at, edges = self._descend(parts[live], nodes[live])
+        which, edges = self._descend(parts[live], nodes[live])
         step_part = parts[live][which]
         cuts = np.searchsorted(step_part, [*(self.begin[r] for r in order), self.begin[order[-1] + 1]])
         counts = np.diff(cuts)
         logs = self.log[edges]
         # Log-probability of what precedes each step of its row.
         fixed = [starts[r][0] for r in order]
-        base = np.array([0.0 if p is None else p[3][-1] + self.log[p[2][-1]] for p in fixed])
+        base = np.array([0.0 if p is None else p[2][-1] + self.log[p[1][-1]] for p in fixed])
         before = np.empty(len(logs))
-        for a, b, known in zip(cuts[:-1], cuts[1:], base):
-            before[a:b] = np.cumsum(np.append(known, logs[a:b]))[:-1]
+        before[1:] = logs[:-1]
+        before[cuts[:-1][counts > 0]] = base[counts > 0]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            np.cumsum(before[a:b], out=before[a:b])
         # Bound of the part left at each step: a Gumbel of the mass of the other edges, truncated at the bound of the path.
         others = np.log(-np.expm1(np.minimum(logs, 0.0)) + 1e-300)
         waits = -np.log(self._uniform(self.row[step_part], np.arange(len(edges)) - np.repeat(cuts[:-1], counts), ((self.draws + 1) << 32) - 1))
-        bounds = np.repeat([starts[r][3] for r in order], counts)
-        left = np.where(others > -600, -np.logaddexp(-bounds, np.log(waits) - before - others), -np.inf)
+        late = np.where(others > -600, np.log(waits) - before - others, np.inf)
         need = self.samples - turn
         for k, r in enumerate(order):
             a, b = cuts[k], cuts[k + 1]
-            path = (at[a:b], step_part[a:b], edges[a:b], before[a:b])
+            path = (step_part[a:b], edges[a:b], before[a:b])
             skip = 0
             if fixed[k] is not None:
                 path = tuple(np.concatenate(x) for x in zip(fixed[k], path))
-                skip = len(fixed[k][2])
+                skip = len(fixed[k][1])
             paths[r].append((*path, starts[r][3]))
-            own = left[a:b]
-            # No more than `need` of these can be visited or be the threshold.
-            best = np.argpartition(-own, need - 1)[:need] if b - a > need else range(b - a)
-            queues[r] += [(float(own[i]), len(paths[r]) - 1, skip + i, (int(edges[a + i]),)) for i in map(int, best) if own[i] > -np.inf]
+            own = late[a:b]
+            # No more than `need` of these can be visited or be the threshold; a bound falls as `late` rises.
+            best = np.argpartition(own, need - 1)[:need] if b - a > need else np.arange(b - a)
+            left = -np.logaddexp(-starts[r][3], own[best])
+            queues[r] += [(bound, len(paths[r]) - 1, skip + i, (int(edges[a + i]),)) for bound, i in zip(left.tolist(), best.tolist()) if bound > -np.inf]
 
     def _choose(self, paths: list, queues: list) -> dict:
         """Takes the region of the largest bound of each row: picks an edge in it and puts back what is left of it."""
@@ -306,8 +315,8 @@ class Search:
                 continue
             top = max(range(len(queue)), key=lambda i: queue[i][0])
             bound, p, step, gone = queue.pop(top)
-            nodes, parts, edges, before, _ = paths[r][p]
-            node = int(nodes[step])
+            parts, edges, before, _ = paths[r][p]
+            node = int(self.node[edges[step]])
             options = np.array([e for e in range(self.first[node], self.first[node + 1]) if e not in gone])
             shares = np.exp(self.log[options])
             u, wait = (float(self._uniform(np.array([r]), np.array([step]), 7 + 2 * len(paths[r]) + k)[0]) for k in (0, 1))
@@ -316,7 +325,7 @@ class Search:
             if len(options) > 1 and rest > 0:
                 mass = before[step] + np.log(rest)
                 queue.append((float(-np.logaddexp(-bound, np.log(-np.log(wait)) - mass)), p, step, (*gone, chosen)))
-            prefix = (nodes[:step + 1], parts[:step + 1], np.append(edges[:step], chosen), before[:step + 1])
+            prefix = (parts[:step + 1], np.append(edges[:step], np.int32(chosen)), before[:step + 1])
             target, part = int(self.target[chosen]), int(parts[step])
             starts[r] = (prefix, part, target, bound)
         return starts
@@ -363,12 +372,13 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
     def work(batches):
         vocabulary = received(held)
+        spellings = pa.array(vocabulary.decoded, pa.large_binary())
         for batch in batches:
             # Slices go out one by one: a batch of long texts with all its ids would be large.
             for a, b in slices(batch.column(place), chunk):
-                yield encoded(batch.slice(a, b - a), vocabulary)
+                yield encoded(batch.slice(a, b - a), vocabulary, spellings)
 
-    def encoded(batch, vocabulary):
+    def encoded(batch, vocabulary, spellings):
         text = batch.column(place)
         keys = np.array([hash_of(k) for k in batch.column(key).to_pylist()], dtype=np.uint64)
         seeds = mixed(keys ^ np.uint64((seed * 0xA0761D6478BD642F) & (2 ** 64 - 1)))
@@ -381,9 +391,11 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         owners = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *map(len, edges)])]
         restored = [None if t is None else True for t in texts]
         if read_back:
+            told, at = spelled(flat, owners, spellings)
             for i, t in enumerate(texts):
-                for j in range(rows[i], rows[i + 1]):
-                    restored[i] = restored[i] and decoded(flat[owners[j]:owners[j + 1]], vocabulary.decoded) == t
+                if t is not None:
+                    whole = b" " + t.encode() if t else b""
+                    restored[i] = all(bytes(told[at[j]:at[j + 1]]) == whole for j in range(rows[i], rows[i + 1]))
         ids = pa.ListArray.from_arrays(pa.array(owners, pa.int32()), pa.array(flat))
         items = pa.StructArray.from_arrays([ids, pa.array(logs, pa.float64()), pa.array(scores, pa.float64())], ["ids", "log_prob", "log_inclusion"])
         offsets = pa.array(rows.astype(np.int32), pa.int32(), mask=np.append(np.asarray(text.is_null()), False))
@@ -404,6 +416,12 @@ def hash_of(key) -> int:
     return int.from_bytes(hashlib.blake2b(str(key).encode(), digest_size=8).digest(), "little")
 
 
+def spelled(ids: np.ndarray, cuts: np.ndarray, spellings: pa.Array) -> tuple[memoryview, list[int]]:
+    """The bytes of all piece ids in a row, and where those of each stretch between ``cuts`` begin."""
+    _, offsets, data = spellings.take(pa.array(ids)).buffers()
+    return memoryview(data or b""), np.frombuffer(offsets, dtype=np.int64)[cuts].tolist()
+
+
 def decoded(ids: np.ndarray, pieces: list) -> str:
     """The text of piece ids: bytes joined, without the blank put before the text."""
     return b"".join([pieces[i] for i in ids.tolist()]).decode(errors="replace")[1:]
