@@ -92,3 +92,41 @@ def test_ties_go_to_the_smaller_number_and_scans_keep_their_sums():
     for a, b, d in zip([0, 4, 5], [4, 5, 9], near):
         assert (member[a:b].argmax(axis=0) == far[a:b].argmin(axis=0)).all() and (member[a:b].sum(axis=0) == 1).all()
         assert (d == far[a:b].min(axis=0)).all()
+
+
+def test_the_sweep_measures_every_row_against_every_other(spark):
+    points = blobs(5, [(0, 0), (2, 0), (0, 3)], n=600, spread=1.0)
+    df = vectors(spark, points)
+    ks, far = [2, 3], np.sqrt(((points[:, None] - points) ** 2).sum(axis=2))
+    sweep = {r["k"]: r["silhouette"] for r in segments.k_sweep(df, ks, restarts=2).collect()}
+    fits = kmeans.fit_many(df, [(k, 42 + i) for k in ks for i in range(2)])
+    for n, k in enumerate(ks):
+        centres = kmeans.best_of(fits[2 * n:2 * n + 2]).centres
+        label = ((points[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        sums = np.stack([far[:, label == c].sum(axis=1) for c in range(k)], axis=1)
+        size = np.bincount(label, minlength=k)
+        own = np.arange(k) == label[:, None]
+        inside, outside = (sums / (size - 1))[own], np.where(own, np.inf, sums / size).min(axis=1)
+        assert sweep[k] == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean(), abs=1e-9)
+
+
+def test_rows_of_equal_and_missing_keys_count_each(spark):
+    points = blobs(6, [(0, 0), (3, 1)], n=20, spread=1.0)
+    df = vectors(spark, points).selectExpr("if(customer_id < 'c2', null, 'same') as customer_id", "features", "cast(substr(customer_id, 2) >= 20 as int) as prediction")
+    assert kmeans.plain_silhouette(df, 2) == pytest.approx(brute_silhouette(points, np.arange(40) // 20), abs=1e-9)
+
+
+@pytest.mark.parametrize("counts", [(2, 3), (9, 8, 7, 6)])
+def test_pairs_of_blocks_hold_every_distance(counts, monkeypatch):
+    """Few and many cells, blocks of several tiles, equal points, and points far from the origin."""
+    monkeypatch.setattr(kmeans, "_HIGH", 64)
+    monkeypatch.setattr(kmeans, "_WIDE", 48)
+    draw = np.random.default_rng(7)
+    x, y = draw.normal(1e6, 1, (150, 3)), draw.normal(1e6, 1, (130, 3))
+    y[:40] = x[:40]
+    a, b = (np.stack([draw.integers(0, k, n) for k in counts], axis=1) for n in (150, 130))
+    got_x, got_y = kmeans.pair_sums(x, a, y, b, counts)
+    far = np.sqrt(((x[:, None] - y) ** 2).sum(axis=2))
+    told_x = np.concatenate([np.stack([far[:, b[:, i] == c].sum(axis=1) for c in range(k)], axis=1) for i, k in enumerate(counts)], axis=1)
+    told_y = np.concatenate([np.stack([far[a[:, i] == c].sum(axis=0) for c in range(k)], axis=1) for i, k in enumerate(counts)], axis=1)
+    assert np.allclose(got_x, told_x, rtol=0, atol=1e-7) and np.allclose(got_y, told_y, rtol=0, atol=1e-7)
